@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from auditloom.llm import exact_dedup, mixing, sharding
+from auditloom.llm import exact_dedup, mixing, packing, quality, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +17,27 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def remainder(of: int) -> Column:
+    """crc32 of doc_id as text, modulo."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = quality.measured(table(spark, sf_dir, "documents"))
+    model = quality.fit(stats, table(spark, sf_dir, "labels"), remainder(5) != 0)
+    return quality.score(stats, model).select("doc_id", F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), remainder(4) != 2)
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -23,7 +46,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_mixing, op5_exact_dedup, op7_sharding)}
+QUERIES = {f.__name__: f for f in (op3_mixing, op4_quality, op5_exact_dedup, op7_sharding, op8_toxicity, op9_packing)}
 
 SQL = {
     "op3_mixing": r"""
