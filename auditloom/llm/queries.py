@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import exact_dedup, mixing, packing, quality, sharding, toxicity
+from auditloom.llm import exact_dedup, mixing, packing, pii, quality, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +46,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_mixing, op4_quality, op5_exact_dedup, op7_sharding, op8_toxicity, op9_packing)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op3_mixing, op4_quality, op5_exact_dedup, op7_sharding, op8_toxicity, op9_packing, op10_pii)}
 
 SQL = {
     "op3_mixing": r"""
