@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import exact_dedup, mixing, packing, pii, quality, sharding, toxicity
+from auditloom.llm import exact_dedup, mixing, ngram_join, packing, pii, quality, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -50,9 +54,27 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op3_mixing, op4_quality, op5_exact_dedup, op7_sharding, op8_toxicity, op9_packing, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op3_mixing, op4_quality, op5_exact_dedup, op7_sharding, op8_toxicity, op9_packing, op10_pii)}
 
 SQL = {
+    "op1_ngram_join": r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM split
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+keyed AS (SELECT doc_id, hash(g) AS h FROM grams),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM keyed a JOIN keyed b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL
+), linked AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)
+), sides AS (SELECT x, y FROM linked UNION SELECT y, x FROM linked),
+reach(x, y) AS (
+  SELECT x, y FROM sides UNION SELECT r.x, b.y FROM reach r JOIN sides b ON r.y = b.x
+), least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(least.y, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON least.x = d.doc_id""",
     "op3_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
