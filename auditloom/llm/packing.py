@@ -15,8 +15,10 @@ an empty table gives no row.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,51 +34,63 @@ GROUP_TOKENS = 1 << 24
 OPEN_BINS = 4096
 
 
+def _byte_signs() -> list[str]:
+    """The sign by which a byte-level vocabulary writes each byte: itself if printable, else the next free one from 256 on."""
+    own = [33 <= b <= 126 or 161 <= b <= 172 or b >= 174 for b in range(256)]
+    return [chr(b if own[b] else 256 + b - sum(own[:b])) for b in range(256)]
+
+
 class WordIds:
     """Ids of texts as little-endian 32-bit bytes, word by word.
 
     The tokenizer drops white space and merges within words only, so that a text's ids are those of its
-    words in a row, and a word is encoded once. A word's ASCII letters are lower-cased by the tokenizer
-    anyway, and a full stop or comma after an ASCII letter or digit is a piece of its own.
+    words in a row, and a word is encoded once. It lower-cases ASCII letters anyway (but for its special
+    tokens, which begin with ``<|``), and a full stop or comma after an ASCII letter or digit is a piece
+    of its own.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.seen, self.bare = Tokenizer.from_file(path), {}, {}
-
-    def _encode(self, words: set[bytes]) -> None:
-        todo = [w for w in words if w not in self.bare]
-        for w, e in zip(todo, self.tokenizer.encode_batch([w.decode() for w in todo], add_special_tokens=False), strict=True):
-            self.bare[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-
-    @staticmethod
-    def _parts(word: bytes) -> tuple[bytes, bytes]:
-        if b"<|" in word:  # may hold a special token, which counts case
-            return word, b""
-        if word[-1:] in b".," and len(word) > 1 and word[-2:-1].isalnum():
-            return word[:-1].lower(), word[-1:]
-        return word.lower(), b""
+        self.model, signs = self.tokenizer.model, _byte_signs()
+        self.signs = {b: signs[b] for b in range(256)}
+
+    def _encode(self, words: list[bytes]) -> None:
+        """A word of Latin letters alone is one piece, lower-cased and composed already: the model takes it as it is."""
+        rest, model, signs = [], self.model, self.signs
+        for w in words:
+            word = w.decode()
+            if word.isalpha() and max(word) < "\u0250" and word == word.lower():
+                ids = [t.id for t in model.tokenize(w.decode("latin-1").translate(signs))]
+                self.bare[w] = array("I", ids).tobytes()
+            else:
+                rest.append(w)
+        if rest:
+            for w, e in zip(rest, self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False), strict=True):
+                self.bare[w] = array("I", e.ids).tobytes()
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
             self.bare.clear()
-        parts = {w: self._parts(w) for w in words}
-        self._encode({x for p in parts.values() for x in p if x})
-        bare = self.bare
-        for w, (a, b) in parts.items():
-            self.seen[w] = bare[a] + bare[b] if b else bare[a]
+        bare, ended = self.bare, [w for w in words if w[-1] in b".," and len(w) > 1 and w[-2:-1].isalnum() and b"<|" not in w]
+        whole = words.difference(ended)
+        self._encode([w for w in {*whole, *(w[:-1] for w in ended), b".", b","} if w not in bare])
+        for w in whole:
+            self.seen[w] = bare[w]
+        for w in ended:
+            self.seen[w] = bare[w[:-1]] + bare[w[-1:]]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         get = self.seen.get
         got = [list(map(get, s)) for s in split]
         lacking = [k for k, g in enumerate(got) if None in g]
         if lacking:
-            self.learn({w for k in lacking for w in set(split[k])})
-            get = self.seen.get
-            for k in range(len(split)) if len(self.seen) > REMEMBERED else lacking:
+            full = len(self.seen) > REMEMBERED
+            self.learn({w for k in lacking for w, x in zip(split[k], got[k], strict=True) if x is None or full})
+            for k in lacking:
                 got[k] = list(map(get, split[k]))
         return [b"".join(g) for g in got]
 
@@ -91,9 +105,9 @@ def tokenised(batches: Iterator[pa.RecordBatch], path: str, sequence: int, end:
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
         out: tuple[list, ...] = ([], [], [], [], [])
-        for lo in range(0, len(ids), 64):
-            part = [t or b"" for t in texts.slice(lo, 64).to_pylist()]
-            for doc, data in zip(ids.slice(lo, 64).to_pylist(), words.encode(part), strict=True):
+        for lo in range(0, len(ids), 256):
+            part = [t or b"" for t in texts.slice(lo, 256).to_pylist()]
+            for doc, data in zip(ids.slice(lo, 256).to_pylist(), words.encode(part), strict=True):
                 data += tail
                 for piece, at in enumerate(range(0, len(data), 4 * sequence)):
                     cut = data[at : at + 4 * sequence]

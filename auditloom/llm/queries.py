@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import exact_dedup, mixing, ngram_join, packing, pii, quality, sharding, toxicity
+from auditloom.llm import embedding_dedup, exact_dedup, mixing, ngram_join, packing, pii, quality, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op3_mixing, op4_quality, op5_exact_dedup, op7_sharding, op8_toxicity, op9_packing, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op3_mixing, op4_quality, op5_exact_dedup, op6_embedding_dedup, op7_sharding, op8_toxicity, op9_packing, op10_pii)}
 
 SQL = {
     "op1_ngram_join": r"""
