@@ -174,7 +174,9 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def fit(stats: DataFrame, labels: DataFrame, learn: Column | None = None, rows: int = FIT_ROWS) -> RuleModel:
     known = labels.select("doc_id", "quality").filter("quality in (0, 1)").filter(F.lit(True) if learn is None else learn).dropDuplicates(["doc_id"])
-    both = stats.join(known, "doc_id").withColumn("_order", F.md5(F.col("doc_id").cast("string").cast("binary"))).orderBy("_order", *NAMES).limit(rows)
+    order = F.md5(F.col("doc_id").cast("string").cast("binary"))
+    picked = known.orderBy(order).limit(rows)
+    both = stats.join(F.broadcast(picked), "doc_id").orderBy(order, *NAMES).limit(rows)  # two columns of so many rows at most
     data = np.array([[float(v) for v in r] for r in both.select(*NAMES, "quality").collect()]).reshape(-1, len(NAMES) + 1)
     return RuleModel(data[:, :-1], data[:, -1])
 

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import python_batches
+from auditloom.llm.common import python_batches, saved
 
 WINDOW = 64
 STOCK_BYTES = 100_000
@@ -166,17 +166,16 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, learn=None, rows: int = FIT_ROWS, most_bytes: int = FIT_BYTES) -> Model:
     """A model of the labelled documents; learn: which label rows may be learnt from."""
     known = labels.select("doc_id", "toxic").filter("toxic in (0, 1)").filter(F.lit(True) if learn is None else learn).dropDuplicates(["doc_id"])
-    both = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id")
+    order = F.md5(F.col("doc_id").cast("string").cast("binary"))
+    picked = known.filter("toxic = 1").orderBy(order).limit(rows).union(known.filter("toxic = 0").orderBy(order).limit(2 * rows))
+    both = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")  # 3 x rows at most
     texts: dict[int, list[bytes]] = {0: [], 1: []}
-    for kind, most in ((1, rows), (0, 2 * rows)):
-        room = most_bytes * most // (3 * rows)
-        picked = both.filter(F.col("toxic") == kind).withColumn("_order", F.md5(F.col("doc_id").cast("string").cast("binary"))).orderBy("_order").limit(most)
-        for r in picked.select("text").toLocalIterator():
-            data = r["text"].encode()
-            room -= len(data)
-            if room < 0:
-                break
-            texts[kind].append(data)
+    room = {1: most_bytes // 3, 0: most_bytes * 2 // 3}
+    for r in saved(both).withColumn("_order", order).orderBy("_order", "text").toLocalIterator():
+        data = r["text"].encode()
+        room[r["toxic"]] -= len(data)
+        if room[r["toxic"]] >= 0:
+            texts[r["toxic"]].append(data)
     return Model(texts[1], texts[0])
 
 
