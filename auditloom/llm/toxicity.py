@@ -1,8 +1,9 @@
 """Toxicity by compression distance: two zstandard dictionaries, window by window.
 
-Both dictionaries end in a tail on top of one common stock of ordinary text. The toxic tail is trained
+Both dictionaries begin with a part of their own and go on with one common stock of ordinary text, which
+is nearest to a window and serves what both have alike. The toxic part is trained
 by zstandard on the passages of toxic documents that ordinary documents lack (runs of 5-byte strings
-whose rate is ``ENRICHED`` times higher); the ordinary tail is trained on ordinary text. A document is
+whose rate is ``ENRICHED`` times higher); the ordinary part is trained on ordinary text. A document is
 cut at white space into windows of about 64 bytes; how many bytes shorter a window becomes with the
 toxic dictionary is its distance. A logistic function of the number of windows at each distance, fitted
 on labelled rows, is the score; it is calibrated so that 0.3 is the threshold.
@@ -29,13 +30,14 @@ from auditloom.llm.common import python_batches, saved
 
 WINDOW = 64
 STOCK_BYTES = 100_000
-TAIL_BYTES = 4096
+OWN_BYTES = 4096
 GRAM = 5
 ENRICHED = 30
 FIT_ROWS = 2000
 FIT_BYTES = 24_000_000
 THRESHOLD = 0.3
 STEPS = 9
+LEVEL = 12
 FOLDS = 3
 
 
@@ -104,8 +106,8 @@ class Distances:
         self.lengths = []
         for content in self.dictionaries:
             d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=3)
-            self.lengths.append(zstandard.ZstdCompressor(level=3, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
+            d.precompute_compress(level=LEVEL)
+            self.lengths.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
 
     def __getstate__(self) -> tuple:
         return self.dictionaries
@@ -124,10 +126,10 @@ class Distances:
 
 def dictionaries(toxic: list[bytes], plain: list[bytes]) -> Distances:
     rich = enriched(toxic, plain)
-    extra = trained([p for t in toxic for p in passages(t, rich)] or toxic, TAIL_BYTES)
+    extra = trained([p for t in toxic for p in passages(t, rich)] or toxic, OWN_BYTES)
     stock = b" ".join(t[:600] for t in plain)[:STOCK_BYTES]
-    other = trained([t[i : i + 256] for t in plain for i in range(0, len(t), 256)][:20_000], TAIL_BYTES)
-    return Distances(stock + extra, stock + other)
+    other = trained([t[i : i + 256] for t in plain for i in range(0, len(t), 256)][:20_000], OWN_BYTES)
+    return Distances(extra + stock, other + stock)
 
 
 class Model:
