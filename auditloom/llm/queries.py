@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import embedding_dedup, exact_dedup, mixing, ngram_join, packing, pii, quality, sharding, toxicity
+from auditloom.llm import embedding_dedup, exact_dedup, mixing, ngram_join, packing, pii, quality, repeats, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -58,7 +62,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op3_mixing, op4_quality, op5_exact_dedup, op6_embedding_dedup, op7_sharding, op8_toxicity, op9_packing, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_suffix_dedup, op3_mixing, op4_quality, op5_exact_dedup, op6_embedding_dedup, op7_sharding, op8_toxicity, op9_packing, op10_pii)}
 
 SQL = {
     "op1_ngram_join": r"""
