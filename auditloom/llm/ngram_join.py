@@ -240,3 +240,12 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, d
     least = labelled.filter("n > 0").groupBy("label").agg(F.min("id").alias("least"))
     out = labelled.join(least, "label", "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs, with their columns, of which each component keeps the one with the smallest doc_id (nulls last, one of equals)."""
+    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()))
+    groups = near_duplicates(rows, k, percent, "_row").select(F.col("doc_id").alias("_row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    kept = rows.select("_row", "doc_id").join(groups, "_row").groupBy("component_id").agg(first.alias("first")).select("first._row")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
