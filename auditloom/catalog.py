@@ -1,4 +1,6 @@
-"""All queries by name."""
+"""All queries by name, and their SQL."""
 
-QUERIES = {}
-SQL = {}
+from auditloom.plans import documents, events, star
+
+QUERIES = documents.register.queries | events.register.queries | star.register.queries
+SQL = documents.register.sql | events.register.sql | star.register.sql
