@@ -6,10 +6,15 @@ Two sets at the threshold share ``l`` shingles among the first n - ceil(threshol
 l; a document takes the l whose prefix costs least by those counts, candidates being fewer the more
 shingles they must share. Pairs that share at least the smaller l of theirs are verified on whole sets.
 
-A shingle that more than ``SMALL`` classes hold in their prefix would give pairs by the square. Its
-classes are compared with a few of them first, then with more, and at last pair by pair, and each time
-only across the components that the links found so far leave; so a large group of near copies falls
-together after the first rounds, and no link between classes of different components is lost.
+A shingle that many classes hold in their prefix would give pairs by the square. So each shingle's
+classes are compared with one of them first, the one whose prefix is held by most others. What follows
+goes only across the components that the links found so far leave: all pairs where at most ``SMALL``
+classes hold a shingle, else a few partners, then more, and at last all. A large group of near copies
+falls together after the first rounds, and no link between classes of different components is lost.
+
+A pair is dropped before its texts are moved if the places of a shared shingle prove it too far apart:
+what both hold before it is at most what either's prefix shares with anyone, and what they hold after
+it at most what either has left.
 
 Defined results: null and empty texts, and texts of white space, have the empty set and link with
 nothing; texts shorter than a shingle are one shingle as a whole; rows that repeat are links of their
@@ -23,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditloom.llm.common import components, dropped, python_batches, saved, shuffle_parts
@@ -120,7 +125,7 @@ def prefix(tokens: np.ndarray, sketch: np.ndarray, floor: float, percent: int) -
 
 
 def postings(batches: Iterator[pa.RecordBatch], sketch, k: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """(token, set, n, shared) for each shingle of each document's prefix."""
+    """(token, set, n, shared, place) for each shingle of each document's prefix, the first at place 1."""
     counts = sketch.value
     floor = float(np.median(counts))
     for batch in batches:
@@ -132,7 +137,8 @@ def postings(batches: Iterator[pa.RecordBatch], sketch, k: int, percent: int) ->
         if parts:
             sizes = [len(p[0]) for p in parts]
             arrays = [np.concatenate([p[0] for p in parts]).view(np.int64), *(np.repeat(np.array([p[i] for p in parts], np.int64), sizes) for i in (1, 2, 3))]
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["token", "set", "n", "shared"])
+            arrays.append(np.concatenate([np.arange(1, n + 1) for n in sizes]))
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["token", "set", "n", "shared", "place"])
 
 
 def with_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -171,59 +177,62 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return saved(rows.mapInArrow(lambda x: verified(x, k, percent), "a long, b long"))
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes of different components that share enough of their prefixes: (a, b), a < b."""
-    r = right.select("token", F.col("set").alias("b"), F.col("n").alias("m"), F.col("shared").alias("shared_b"), F.col("label").alias("label_b"))
-    near = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
-    both = left.join(r, "token").filter((F.col("set") != F.col("b")) & (F.col("label") != F.col("label_b")) & near)
-    pair = both.select(F.least("set", "b").alias("a"), F.greatest("set", "b").alias("b"), "token", F.least("shared", "shared_b").alias("least"))
-    return pair.groupBy("a", "b").agg(F.count_distinct("token").alias("common"), F.first("least").alias("least"))
+def possible_pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """(a, b, token, least), a < b: classes of different components with a shared shingle that doesn't prove them apart."""
+    there = {"set": "b", "n": "m", "shared": "shared_b", "label": "label_b", "place": "place_b", "nth": "nth_b"}
+    r = right.select(F.col("token").alias("token_b"), *[F.col(k).alias(v) for k, v in there.items()])
+    most = F.least("nth", "nth_b") + F.least(F.col("n") - F.col("place"), F.col("m") - F.col("place_b"))
+    near = most * (100 + percent) >= (F.col("n") + F.col("m")) * percent
+    on = (F.col("token") == F.col("token_b")) & (F.col("set") != F.col("b")) & (F.col("label") != F.col("label_b")) & near
+    both = left.join(r, on)
+    return both.select(F.least("set", "b").alias("a"), F.greatest("set", "b").alias("b"), "token", F.least("shared", "shared_b").alias("least"))
 
 
 def relabelled(held: DataFrame, links: DataFrame) -> DataFrame:
+    """held with the components that the links make, without the shingles whose classes are all in one."""
     labels = components(links).withColumnRenamed("node", "set")
-    return held.drop("label").join(labels, "set", "left").withColumn("label", F.coalesce("label", "set"))
+    fresh = saved(held.drop("label", "classes").join(labels, "set", "left").withColumn("label", F.coalesce("label", "set")))
+    split = fresh.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("classes")).filter("lo <> hi").select("token", "classes")
+    return saved(fresh.join(split, "token"))
 
 
 def links(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFrame:
     """Links (a, b) between classes that join all classes of a component."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(sketch)
-    rows = docs.select("text").mapInArrow(lambda b: postings(b, shared, k, percent), "token long, set long, n long, shared long")
-    single = rows.repartition(shuffle_parts(spark), "token").groupBy("token", "set").agg(F.first("n").alias("n"), F.first("shared").alias("shared"))
-    single = saved(single)
+    rows = docs.select("text").mapInArrow(lambda b: postings(b, shared, k, percent), "token long, set long, n long, shared long, place long")
+    firsts = [F.first(c).alias(c) for c in ("n", "shared", "place")]
+    single = saved(rows.repartition(shuffle_parts(spark), "token").groupBy("token", "set").agg(*firsts))
     counted = single.groupBy("token").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
-    held = saved(single.join(counted, "token").withColumn("label", F.col("set")))
+    held = single.join(counted, "token")
+    nth = F.row_number().over(Window.partitionBy("set").orderBy("place")).cast("long")
+    weight = F.sum("classes").over(Window.partitionBy("set"))
+    held = saved(held.withColumn("nth", nth).withColumn("weight", weight).withColumn("label", F.col("set")))
     dropped(single)
     wanted = held.select("set").distinct()
     texts = saved(docs.select("text").mapInArrow(lambda b: with_sets(b, k), "set long, text string").join(wanted, "set", "left_semi").dropDuplicates(["set"]))
 
-    small = candidate_pairs(held.filter(F.col("classes") <= SMALL), held.filter(F.col("classes") <= SMALL), percent).filter("common >= least")
-    frequent = held.filter(F.col("classes") > SMALL)
-    found = None
-    tested = None
+    fields = ("set", "n", "shared", "label", "place", "nth")
+    central = held.groupBy("token").agg(F.max_by(F.struct(*fields), F.struct("weight", F.xxhash64("set"))).alias("one")).select("token", "one.*")
+    tested = saved(possible_pairs(held, central, percent).select("a", "b").distinct())
+    found = verify(tested, texts, k, percent)
+    held = relabelled(held, found)
     for most in (*ROUNDS, None):
-        if most is None:
-            few = frequent
-        else:
-            few = frequent.filter(F.pmod(F.xxhash64("set", F.lit(most)), F.col("classes")) < most)
-        pairs = candidate_pairs(frequent, few, percent).select("a", "b")
-        if found is None:
-            pairs = pairs.union(small.select("a", "b")).distinct()
-        else:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = saved(pairs)
-        fresh = verify(pairs, texts, k, percent)
-        found = fresh if found is None else saved(found.union(fresh))
-        tested = pairs if tested is None else saved(tested.union(pairs))
-        # Only frequent shingles whose classes are still in several components go on.
-        if not frequent.limit(1).count():
+        if not held.limit(1).count():
             break
-        frequent = relabelled(frequent, found)
-        split = frequent.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
-        frequent = saved(frequent.join(split, "token", "left_semi").select("token", "set", "n", "shared", "classes", "label"))
+        frequent = held.filter(F.col("classes") > SMALL)
+        few = frequent if most is None else frequent.filter(F.pmod(F.xxhash64("set", F.lit(most)), F.col("classes")) < most)
+        pairs = possible_pairs(frequent, few, percent).select("a", "b")
+        if most == ROUNDS[0]:
+            rare = held.filter(F.col("classes") <= SMALL)
+            small = possible_pairs(rare, rare, percent).groupBy("a", "b").agg(F.count_distinct("token").alias("common"), F.first("least").alias("least"))
+            pairs = pairs.union(small.filter("common >= least").select("a", "b"))
+        pairs = saved(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
+        found = saved(found.union(verify(pairs, texts, k, percent)))
+        tested = saved(tested.union(pairs))
         if not frequent.limit(1).count():
             break
+        held = relabelled(frequent, found)
     return found
 
 
