@@ -76,6 +76,18 @@ def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return on
 
 
+def narrowed(docs: DataFrame, used: list[str]) -> DataFrame:
+    """docs with the used columns and all others in one, ``rest_columns``, so that no name of theirs meets a name of ours."""
+    others = [docs[c].alias(c) for c in docs.columns if c not in used]
+    rest = F.struct(*others) if others else F.lit(None).cast("boolean")
+    return docs.select(*used, rest.alias("rest_columns"))
+
+
+def widened(docs: DataFrame, names: list[str], used: list[str]) -> DataFrame:
+    """The columns of the frame that narrowed() got, in its order."""
+    return docs.select(*[F.col(n) if n in used else F.col("rest_columns").getField(n).alias(n) for n in names])
+
+
 def running(df: DataFrame, order: list[Column], keys: list[str], amount: str) -> DataFrame:
     """df with ``_before``: the sum of ``amount`` over the rows of the same keys that come earlier in order.
 

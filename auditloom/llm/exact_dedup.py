@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import SPACES, saved
+from auditloom.llm.common import SPACES, narrowed, saved, widened
 
 
 def normal_text(text: str = "text"):
@@ -79,7 +79,7 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 def distinct_documents(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The rows of docs that stay, with docs' own columns: of rows that repeat id and text, one stays."""
     index = index or DigestIndex(docs.sparkSession)
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    rows = saved(rows)
+    used = ["doc_id", "text"]
+    rows = saved(narrowed(docs, used).withColumn("_row", F.monotonically_increasing_id()))
     keys = rows.select("_row", F.col("doc_id").alias("_id"), F.unhex(F.sha2(normal_text(), 256)).alias("digest"))
-    return rows.join(index.add(saved(keys)).filter("kept").select("_row"), "_row").select(*docs.columns)
+    return widened(rows.join(index.add(saved(keys)).filter("kept").select("_row"), "_row"), docs.columns, used)

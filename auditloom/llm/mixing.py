@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import SPACES, WORD, running, saved
+from auditloom.llm.common import SPACES, WORD, narrowed, running, saved, widened
 
 WEIGHTS = (3.0, 1.0, 2.0)
 BUDGET = 1.5
@@ -62,7 +62,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = B
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: docs' rows as often as taken, the last one cut to the words that fill its source's target."""
-    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()))
+    used = [c for c in ("doc_id", "text", "source", "n_chars") if c in docs.columns]
+    rows = saved(narrowed(docs, used).withColumn("_row", F.monotonically_increasing_id()))
     takes = mix(rows.select(F.col("_row").alias("doc_id"), "source", "text"), **how).select(F.col("doc_id").alias("_row"), "size", "taken")
     whole = F.expr("cast(taken div greatest(size, 1) as int)")
     rest = F.col("taken") - whole * F.col("size")
@@ -71,6 +72,6 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     first = F.array_join(F.slice(words, 1, F.greatest(F.col("_words"), F.lit(1)).cast("int")), " ")
     cut = F.when(F.col("_words") == 0, F.col("text")).otherwise(first)
     out = rows.join(copies, "_row").withColumn("text", cut)
-    if "n_chars" in docs.columns:
+    if "n_chars" in used:
         out = out.withColumn("n_chars", F.when(F.col("_words") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+    return widened(out, docs.columns, used)

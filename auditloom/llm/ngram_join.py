@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import components, dropped, python_batches, saved, shuffle_parts
+from auditloom.llm.common import components, dropped, narrowed, python_batches, saved, shuffle_parts, widened
 from auditloom.llm.shingles import mixed, shingle_sets
 
 SHINGLE = 5
@@ -253,8 +253,9 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, d
 
 def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of docs, with their columns, of which each component keeps the one with the smallest doc_id (nulls last, one of equals)."""
-    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()))
+    used = ["doc_id", "text"]
+    rows = saved(narrowed(docs, used).withColumn("_row", F.monotonically_increasing_id()))
     groups = near_duplicates(rows, k, percent, "_row").select(F.col("doc_id").alias("_row"), "component_id")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
     kept = rows.select("_row", "doc_id").join(groups, "_row").groupBy("component_id").agg(first.alias("first")).select("first._row")
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    return widened(rows.join(kept, "_row", "left_semi"), docs.columns, used)

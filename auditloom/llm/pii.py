@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import dropped, saved
+from auditloom.llm.common import dropped, narrowed, saved, widened
 
 KEY = "surrogate-key"
 
@@ -137,7 +137,9 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """docs with text replaced, and n_entities and entity_types, for each row."""
+    """docs with text replaced, and n_entities and entity_types (in place of columns so named), for each row."""
+    names, used = [c for c in docs.columns if c not in ("n_entities", "entity_types")], ["text"]
+    docs = narrowed(docs.select(*names), used)
     has = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
     none = docs.filter(~has).withColumns({"n_entities": F.lit(0).cast("long"), "entity_types": F.lit("")})
     found = docs.filter(has).withColumn("_found", F.regexp_extract_all("text", F.lit(f"({ANY})"), F.lit(1)))
@@ -151,4 +153,5 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     parts = F.zip_with(gaps, F.col("_put.surrogate"), lambda g, s: F.concat(F.coalesce(g, F.lit("")), F.coalesce(s, F.lit(""))))
     kinds = F.array_sort(F.array_distinct(F.col("_put.type")))
     out = joined.withColumns({"text": F.array_join(parts, ""), "n_entities": F.size("_found").cast("long"), "entity_types": F.array_join(kinds, ",")})
-    return none.unionByName(out.select(*none.columns))
+    both = none.unionByName(out.select(*none.columns))
+    return widened(both, [*names, "n_entities", "entity_types"], [*used, "n_entities", "entity_types"])

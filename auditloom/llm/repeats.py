@@ -39,7 +39,7 @@ from auditloom.llm.shingles import _power_tables, mixed
 LENGTH = 400
 ANCHOR = 64
 BLOCK = 1 << 19
-PART = 256
+PART = 2048
 #: Bytes of texts whose anchors are found at once.
 SLICE = 1 << 22
 
