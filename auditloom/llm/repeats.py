@@ -39,7 +39,7 @@ from auditloom.llm.shingles import _power_tables, mixed
 LENGTH = 400
 ANCHOR = 64
 BLOCK = 1 << 19
-PART = 2048
+PART = 4096
 #: Bytes of texts whose anchors are found at once.
 SLICE = 1 << 22
 
@@ -149,7 +149,7 @@ def suffix_array(signs: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarra
         rank[order] = np.cumsum(fresh).astype(np.uint64)
         width *= 2
         if width > longest + 1 or fresh[1:].all():
-            return order, rank.astype(np.int64)
+            return order.astype(np.int32), rank.astype(np.int32)
 
 
 def long_boundaries(signs: np.ndarray, ends: int, order: np.ndarray, rank: np.ndarray, length: int) -> np.ndarray:
@@ -162,7 +162,8 @@ def long_boundaries(signs: np.ndarray, ends: int, order: np.ndarray, rank: np.nd
     n = len(signs)
     before = order - 1  # the sign before suffix 0 is the last record's end, as if the text went round
     bwt, back = signs[before], rank[before]
-    run = np.concatenate([[0], np.cumsum(bwt[1:] != bwt[:-1])])
+    run = np.zeros(n, np.int32)
+    np.cumsum(bwt[1:] != bwt[:-1], out=run[1:])
     run_first = np.concatenate([[0], np.flatnonzero(bwt[1:] != bwt[:-1]) + 1])
     run_last = np.concatenate([run_first[1:] - 1, [n - 1]])
     unset = np.ones(n + 1, bool)
@@ -188,7 +189,7 @@ def long_boundaries(signs: np.ndarray, ends: int, order: np.ndarray, rank: np.nd
             sign = bwt[first]
             pick = sign >= ends
             owner, first, last, sign = owner[pick], first[pick], last[pick], sign[pick]
-            at = np.argsort(owner * (int(signs.max()) + 1) + sign, kind="stable")
+            at = np.argsort(owner.astype(np.int64) * (int(signs.max()) + 1) + sign, kind="stable")
             owner, first, last, sign = owner[at], first[at], last[at], sign[at]
             edge = np.concatenate([[True], (owner[1:] != owner[:-1]) | (sign[1:] != sign[:-1])]) if len(at) else np.zeros(0, bool)
             begin = np.flatnonzero(edge)
@@ -209,7 +210,7 @@ def repeated_starts(datas: list[bytes], copies: np.ndarray, length: int) -> np.n
     m, sizes = len(datas), np.array([len(d) for d in datas])
     ends = np.cumsum(sizes + 1) - 1
     raw = np.frombuffer(b"\0".join(datas) + b"\0", np.uint8)
-    signs = raw.astype(np.int64) + m
+    signs = raw.astype(np.int32) + m
     signs[ends] = np.arange(m)
     order, rank = suffix_array(signs, int(sizes.max()))
     same = long_boundaries(signs, m, order, rank, length)
