@@ -16,22 +16,26 @@ REGION = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.St
 _BRACED = {"go": r"^func\s+(?:\([^)]*\)\s*)?(\w+)", "rust": r"^\s*(?:pub(?:\([^)]*\))?\s+)?(?:async\s+)?fn\s+(\w+)", "java": r"^\s*(?:public|private|protected)[\w<>\[\], ]*\s(\w+)\s*\([^;]*$"}
 
 
-def _depths(text: str) -> list[int]:
-    """Brace depth after each line; braces in strings, characters and comments don't count."""
+def _depths(text: str) -> list[tuple[int, int]]:
+    """Greatest brace depth in each line and the depth after it; braces in strings, characters and comments don't count."""
     clean = re.sub(r'//[^\n]*|/\*.*?\*/|"(?:\\.|[^"\\\n])*"|`[^`]*`|\'(?:\\.|[^\'\\\n])\'', lambda m: "\n" * m[0].count("\n"), text, flags=re.S)
     depth, out = 0, []
     for line in clean.split("\n"):
-        depth += line.count("{") - line.count("}")
-        out.append(depth)
+        most = depth
+        for sign in re.findall("[{}]", line):
+            depth += 1 if sign == "{" else -1
+            most = max(most, depth)
+        out.append((most, depth))
     return out
 
 
-def _closed(depths: list[int], at: int) -> int | None:
-    base = depths[at - 1] if at else 0
+def _closed(depths: list[tuple[int, int]], at: int) -> int | None:
+    """The line that closes what opens at the line or after it."""
+    base = depths[at - 1][1] if at else 0
     opened = False
     for k in range(at, len(depths)):
-        opened = opened or depths[k] > base
-        if opened and depths[k] <= base:
+        opened = opened or depths[k][0] > base
+        if opened and depths[k][1] <= base:
             return k
     return None
 
@@ -77,7 +81,7 @@ def rust_test_regions(source: pd.Series) -> pd.Series:
     return source.map(regions)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def parses(source: pd.Series) -> pd.Series:
     """Whether a Python source has a syntax tree."""
 
@@ -91,7 +95,7 @@ def parses(source: pd.Series) -> pd.Series:
     return source.map(fine)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def equivalent(a: pd.Series, b: pd.Series, language: pd.Series) -> pd.Series:
     """Equal syntax trees (Python), or equal tokens without comments."""
 
@@ -106,7 +110,7 @@ def equivalent(a: pd.Series, b: pd.Series, language: pd.Series) -> pd.Series:
     return pd.Series([form(x or "", k) == form(y or "", k) for x, y, k in zip(a, b, language, strict=True)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unified_diff(before: pd.Series, after: pd.Series, path: pd.Series) -> pd.Series:
     out = []
     for x, y, p in zip(before, after, path, strict=True):
@@ -115,7 +119,7 @@ def unified_diff(before: pd.Series, after: pd.Series, path: pd.Series) -> pd.Ser
     return pd.Series(out)
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def found_at(text: pd.Series, snippet: pd.Series) -> pd.Series:
     """Line at which the snippet stands, white space at line ends aside; else the most alike window, from 0.85 on; 0 if none."""
 

@@ -19,7 +19,8 @@ def blank(c: Column) -> Column:
 
 
 def words(c: Column) -> Column:
-    return F.filter(F.split(blank(c), r"\s+"), lambda w: w != "")
+    t = F.regexp_replace(blank(c), r"^\s+|\s+$", "")
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, r"\s+"))
 
 
 def word_count(c: Column) -> Column:

@@ -26,7 +26,9 @@ SPEC = _struct(language=_S, language_version=_S, go_version=_S, rust_version=_S,
 def read_lines(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """Unknown keys dropped, missing ones null, lines that aren't JSON skipped."""
     bad = "_corrupt"
-    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(bad, _S, True)])).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad).json(path)
+    full = T.StructType([*schema.fields, T.StructField(bad, _S, True)])
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    rows = lines.select(F.from_json("value", full, {"columnNameOfCorruptRecord": bad}).alias("r")).select("r.*")
     return rows.where(F.col(bad).isNull()).drop(bad)
 
 

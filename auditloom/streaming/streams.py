@@ -19,7 +19,7 @@ def landed(spark: SparkSession, path: str, schema: StructType, files_per_trigger
 
 
 def daily_totals(events: DataFrame, delay: str = "2 days") -> DataFrame:
-    rows = events.withWatermark("ts", delay).groupBy(F.window("ts", "1 day"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("value"))
+    rows = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay).groupBy(F.window("ts", "1 day"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("value"))
     return rows.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n", "value")
 
 
