@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -142,17 +143,22 @@ def postings(batches: Iterator[pa.RecordBatch], sketch, k: int, percent: int) ->
 
 
 def with_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """(set, text): the text compressed, which it stays until it is verified."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
         keys = pa.array([set_key(s) for s in shingle_sets(batch.column(0), k)], pa.int64())
-        yield pa.RecordBatch.from_arrays([keys, batch.column(0)], names=["set", "text"])
+        texts = pa.array([squeeze(t or b"") for t in batch.column(0).cast(pa.binary()).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([keys, texts], names=["set", "text"])
 
 
 def verified(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Links among rows (a, part, b, text) sorted so that a's own text (b null) comes before its partners'."""
     current, own = None, np.zeros(0, np.uint64)
+    expand = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         out: tuple[list, list] = ([], [])
-        keys = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), shingle_sets(batch.column(3), k), strict=True)
+        texts = pa.array([expand(t) for t in batch.column(3).to_pylist()], pa.binary())
+        keys = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), shingle_sets(texts, k), strict=True)
         for a, b, tokens in keys:
             if b is None:
                 current, own = a, tokens
@@ -174,7 +180,9 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     own = dealt.select("a", "part").distinct().join(texts.withColumnRenamed("set", "a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "text")
     other = dealt.join(texts.withColumnRenamed("set", "b"), "b").select("a", "part", "b", "text")
     rows = own.union(other).repartition(parts, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return saved(rows.mapInArrow(lambda x: verified(x, k, percent), "a long, b long"))
+    out = saved(rows.mapInArrow(lambda x: verified(x, k, percent), "a long, b long"))
+    dropped(dealt)
+    return out
 
 
 def possible_pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
@@ -193,7 +201,9 @@ def relabelled(held: DataFrame, links: DataFrame) -> DataFrame:
     labels = components(links).withColumnRenamed("node", "set")
     fresh = saved(held.drop("label", "classes").join(labels, "set", "left").withColumn("label", F.coalesce("label", "set")))
     split = fresh.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("classes")).filter("lo <> hi").select("token", "classes")
-    return saved(fresh.join(split, "token"))
+    out = saved(fresh.join(split, "token"))
+    dropped(fresh)
+    return out
 
 
 def links(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFrame:
@@ -202,21 +212,20 @@ def links(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFram
     shared = spark.sparkContext.broadcast(sketch)
     rows = docs.select("text").mapInArrow(lambda b: postings(b, shared, k, percent), "token long, set long, n long, shared long, place long")
     firsts = [F.first(c).alias(c) for c in ("n", "shared", "place")]
-    single = saved(rows.repartition(shuffle_parts(spark), "token").groupBy("token", "set").agg(*firsts))
-    counted = single.groupBy("token").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
-    held = single.join(counted, "token")
+    single = rows.repartition(shuffle_parts(spark), "token").groupBy("token", "set").agg(*firsts)  # dealt once for this, the count and the filter
+    held = single.withColumn("classes", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("classes > 1")
     nth = F.row_number().over(Window.partitionBy("set").orderBy("place")).cast("long")
     weight = F.sum("classes").over(Window.partitionBy("set"))
     held = saved(held.withColumn("nth", nth).withColumn("weight", weight).withColumn("label", F.col("set")))
-    dropped(single)
     wanted = held.select("set").distinct()
-    texts = saved(docs.select("text").mapInArrow(lambda b: with_sets(b, k), "set long, text string").join(wanted, "set", "left_semi").dropDuplicates(["set"]))
+    texts = saved(docs.select("text").mapInArrow(lambda b: with_sets(b, k), "set long, text binary").join(wanted, "set", "left_semi").dropDuplicates(["set"]))
 
     fields = ("set", "n", "shared", "label", "place", "nth")
     central = held.groupBy("token").agg(F.max_by(F.struct(*fields), F.struct("weight", F.xxhash64("set"))).alias("one")).select("token", "one.*")
     tested = saved(possible_pairs(held, central, percent).select("a", "b").distinct())
     found = verify(tested, texts, k, percent)
-    held = relabelled(held, found)
+    last, held = held, relabelled(held, found)
+    dropped(last)
     for most in (*ROUNDS, None):
         if not held.limit(1).count():
             break
@@ -228,11 +237,15 @@ def links(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFram
             small = possible_pairs(rare, rare, percent).groupBy("a", "b").agg(F.count_distinct("token").alias("common"), F.first("least").alias("least"))
             pairs = pairs.union(small.filter("common >= least").select("a", "b"))
         pairs = saved(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
-        found = saved(found.union(verify(pairs, texts, k, percent)))
-        tested = saved(tested.union(pairs))
+        fresh = verify(pairs, texts, k, percent)
+        more, seen = saved(found.union(fresh)), saved(tested.union(pairs))
+        dropped(found, tested, pairs, fresh)
+        found, tested = more, seen
         if not frequent.limit(1).count():
             break
-        held = relabelled(frequent, found)
+        last, held = held, relabelled(frequent, found)
+        dropped(last)
+    dropped(held, texts, tested)
     return found
 
 
@@ -253,6 +266,10 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, d
 
 def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of docs, with their columns, of which each component keeps the one with the smallest doc_id (nulls last, one of equals)."""
+    total, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if total == ids:  # an id names a row, so the texts needn't be written to tell rows apart
+        kept = near_duplicates(docs, k, percent).where("component_id = doc_id").select("doc_id")
+        return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
     used = ["doc_id", "text"]
     rows = saved(narrowed(docs, used).withColumn("_row", F.monotonically_increasing_id()))
     groups = near_duplicates(rows, k, percent, "_row").select(F.col("doc_id").alias("_row"), "component_id")
