@@ -218,7 +218,7 @@ def links(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFram
     weight = F.sum("classes").over(Window.partitionBy("set"))
     held = saved(held.withColumn("nth", nth).withColumn("weight", weight).withColumn("label", F.col("set")))
     wanted = held.select("set").distinct()
-    texts = saved(docs.select("text").mapInArrow(lambda b: with_sets(b, k), "set long, text binary").join(wanted, "set", "left_semi").dropDuplicates(["set"]))
+    texts = saved(docs.select("text").mapInArrow(lambda b: with_sets(b, k), "set long, text binary").join(wanted.hint("merge"), "set", "left_semi").dropDuplicates(["set"]))
 
     fields = ("set", "n", "shared", "label", "place", "nth")
     central = held.groupBy("token").agg(F.max_by(F.struct(*fields), F.struct("weight", F.xxhash64("set"))).alias("one")).select("token", "one.*")
