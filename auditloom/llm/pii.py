@@ -46,7 +46,7 @@ PATTERNS = {
     "email": r"(?<![\p{L}0-9._%+-])[A-Za-z0-9\p{L}][A-Za-z0-9\p{L}._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,4}",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{20,80}\b|\bsk-[A-Za-z0-9-]{20,80}\b",
-    "secret": r"\b(?=[a-f]{0,63}[0-9])[0-9a-f]{32,64}\b",
+    "secret": r"\b(?=[A-Fa-f]{0,63}[0-9])[0-9A-Fa-f]{32,64}\b",
     "card": r"(?<![\d-])\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7}(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
@@ -65,6 +65,7 @@ def type_of(entity: Column) -> Column:
 def _drawn(entity: Column, digest: Column, start: int = 0) -> Column:
     """The entity with each digit and letter drawn anew from digest's hexadecimal digits, class by class."""
     chars = F.split(entity, "")
+    hexadecimal = entity.rlike("^(?:[0-9a-f]+|[0-9A-Fa-f]{32,64})$")
 
     def one(c: Column, i: Column) -> Column:
         at = F.pmod(i * 2 + start, F.lit(62)).cast("int") + 1
@@ -72,7 +73,8 @@ def _drawn(entity: Column, digest: Column, start: int = 0) -> Column:
         pick = lambda letters: F.substring(F.lit(letters), F.pmod(n + i, F.lit(len(letters))).cast("int") + 1, F.lit(1))
         return (
             F.when(c.rlike("[0-9]"), pick("0123456789"))
-            .when(c.rlike("[a-f]") & entity.rlike("^[0-9a-f]+$"), pick("abcdef"))
+            .when(c.rlike("[a-f]") & hexadecimal, pick("abcdef"))
+            .when(c.rlike("[A-F]") & hexadecimal, pick("ABCDEF"))
             .when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz"))
             .when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
             .when(c.rlike(r"\p{IsCyrillic}") & c.rlike(r"\p{Lu}"), pick("АБВГДЕЖЗИКЛМНОПРСТУФХ"))

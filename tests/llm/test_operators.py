@@ -187,6 +187,18 @@ def test_pii(spark):
     assert got[1]["n_entities"] == 9
 
 
+def test_pii_secrets_of_any_case(spark):
+    secrets = {"upper": "9233A8EC24BE64439E3E49CF46B2D7C90F3602A3", "mixed": "9233a8EC24be64439E3e49cf46b2D7c90f3602a3", "lower": "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"}
+    rows = [(i, f'TOKEN = "{t}" and again {t}', k) for i, (k, t) in enumerate(secrets.items())] + [(9, "A" * 40, "word"), (10, "9233A8EC", "short")]
+    got = {r["source"]: r for r in pii.replaced(frame(spark, rows)).collect()}
+    shape = lambda t: re.sub("[a-f]", "a", re.sub("[A-F]", "A", re.sub("[0-9]", "0", t)))
+    for k, t in secrets.items():
+        new = re.fullmatch(r'TOKEN = "(\w+)" and again (\w+)', got[k]["text"])
+        assert new[1] == new[2] != t and shape(new[1]) == shape(t)
+        assert got[k]["n_entities"] == 2 and got[k]["entity_types"] == "secret"
+    assert got["word"]["text"] == "A" * 40 and got["short"]["text"] == "9233A8EC"
+
+
 def test_pii_surrogates_stay_distinct(spark):
     names = [(f"Dr {chr(65 + i // 26)}{chr(97 + i % 26)}",) for i in range(150)] + [(f"Dr {n}",) for n in pii.NAMES["n"]]
     table = spark.createDataFrame(names, "entity string").withColumn("type", F.lit("name"))
