@@ -71,6 +71,20 @@ def decontam_first_source(read):
     return decontam.contaminated(docs, bench.union(copies)).select("instance_id", "source")
 
 
+@register(r"""
+WITH i AS (SELECT CAST(doc_id AS VARCHAR) AS instance_id, sha256(regexp_replace(text, '\s+$', '')) AS patch_hash FROM documents),
+r AS (SELECT CAST(item_id * 3 AS VARCHAR) AS instance_id, sha256(regexp_replace(text, '\s+$', '')) AS patch_hash, CASE WHEN item_id % 2 = 0 THEN 'even' ELSE 'odd' END AS source, CAST(item_id % 2 AS INT) AS source_order FROM benchmark
+      UNION ALL SELECT CAST(-doc_id AS VARCHAR), sha256(regexp_replace(text, '\s+$', '')), 'copy', 2 FROM documents)
+SELECT i.instance_id, arg_min(r.source, r.source_order) AS source FROM i LEFT JOIN r ON i.instance_id = r.instance_id OR i.patch_hash = r.patch_hash GROUP BY i.instance_id""")
+def decontam_first_source_whole(read):
+    """decontam_first_source with every document in the reference."""
+    hashed = F.sha2(F.regexp_replace("text", r"\s+$", "").cast("binary"), 256).alias("patch_hash")
+    bench = read("benchmark").select((F.col("item_id") * 3).cast("string").alias("instance_id"), hashed, F.when(F.col("item_id") % 2 == 0, "even").otherwise("odd").alias("source"), (F.col("item_id") % 2).cast("int").alias("source_order"))
+    copies = read("documents").select((-F.col("doc_id")).cast("string").alias("instance_id"), hashed, F.lit("copy").alias("source"), F.lit(2).alias("source_order"))
+    docs = read("documents").select(F.col("doc_id").cast("string").alias("instance_id"), hashed)
+    return decontam.contaminated(docs, bench.union(copies)).select("instance_id", "source")
+
+
 @register("SELECT doc_id, md5(coalesce(text, '')) AS text_md5 FROM documents QUALIFY row_number() OVER (PARTITION BY md5(coalesce(text, '')) ORDER BY doc_id) = 1")
 def dedup_keep_first(read):
     docs = read("documents").select("doc_id", F.md5(text.blank(F.col("text")).cast("binary")).alias("text_md5"))
@@ -142,6 +156,13 @@ def interleave(read):
     return samples.interleaved(read("documents").select("lang", "doc_id", "n_chars"), "lang", [F.desc("n_chars"), F.col("doc_id")]).where("turn <= 20").select("lang", "doc_id", "turn")
 
 
+@register("SELECT lang, doc_id, CAST(row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS INT) AS turn FROM documents")
+def interleave_whole(read):
+    """interleave with every document's turn."""
+    order = [F.desc("n_chars"), F.col("doc_id")]
+    return samples.interleaved(read("documents").select("lang", "doc_id", "n_chars"), "lang", order).select("lang", "doc_id", "turn")
+
+
 @register(r"""
 SELECT doc_id, CAST(CASE WHEN coalesce(text, '') = '' THEN 0 ELSE len(string_split(text, chr(10))) - (CASE WHEN ends_with(text, chr(10)) THEN 1 ELSE 0 END) END AS INT) AS n_lines,
   CAST(len(list_distinct(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: x <> ''))) AS INT) AS n_distinct_lines,

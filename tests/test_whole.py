@@ -47,3 +47,23 @@ def test_every_part_is_known(spark):
     known = {p[0] for p in parts} | {"red", "small", "ECONOMY"}
     want = Counter(next(((level, o) for level, o in (("full", f"{n} {s}"), ("word", n.split(" ")[0]), ("type", t)) if o in known), (None, None)) for n, s, t in parts)
     assert {(r["level"], r["key"]): r["n"] for r in catalog.QUERIES["snap_fallback_whole"](spark, DATA).collect()} == want
+
+
+def test_every_document_has_a_turn(spark):
+    docs = rows(spark, "documents", "lang", "doc_id", "n_chars")
+    want, seen = set(), Counter()
+    for lang, i, _ in sorted(docs, key=lambda d: (-d[2], d[1])):
+        seen[lang] += 1
+        want.add((lang, i, seen[lang]))
+    got = [tuple(r) for r in catalog.QUERIES["interleave_whole"](spark, DATA).select("lang", "doc_id", "turn").collect()]
+    assert len(got) == len(docs) and set(got) == want and max(seen.values()) > 20
+
+
+def test_every_document_is_reference(spark):
+    docs, bench = rows(spark, "documents", "doc_id", "text"), rows(spark, "benchmark", "item_id", "text")
+    found = defaultdict(set)
+    for i, t in bench:
+        for key in (str(i * 3), t.rstrip()):
+            found[key].add((i % 2, ("even", "odd")[i % 2]))
+    want = {str(i): min(found[str(i)] | (found[t.rstrip()] if t is not None else set()) | ({(2, "copy")} if t is not None else set()), default=(0, None))[1] for i, t in docs}
+    assert {r["instance_id"]: r["source"] for r in catalog.QUERIES["decontam_first_source_whole"](spark, DATA).collect()} == want
