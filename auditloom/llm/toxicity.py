@@ -6,7 +6,8 @@ by zstandard on the passages of toxic documents that ordinary documents lack (ru
 whose rate is ``ENRICHED`` times higher); the ordinary part is trained on ordinary text. A document is
 cut at white space into windows of about 64 bytes; how many bytes shorter a window becomes with the
 toxic dictionary is its distance. A logistic function of the number of windows at each distance, fitted
-on labelled rows, is the score; it is calibrated so that 0.3 is the threshold.
+on labelled rows and moved to the share of toxic rows among all rows that may be learnt from, is the
+score; so the threshold of 0.3 means the same whatever part of each class is fitted on.
 
 At most ``FIT_ROWS`` toxic and twice as many ordinary labelled rows, of ``FIT_BYTES`` bytes in all, are
 fitted on the driver, the first by md5 of their id. Every document is scored over its whole text.
@@ -133,11 +134,15 @@ def dictionaries(toxic: list[bytes], plain: list[bytes]) -> Distances:
 
 
 class Model:
-    """Dictionaries of all rows; the logistic weights come from distances under dictionaries that did not see the row."""
+    """Dictionaries of all rows; the logistic weights come from distances under dictionaries that did not see the row.
 
-    def __init__(self, toxic: list[bytes], plain: list[bytes]):
+    population: how many toxic and ordinary rows the given ones stand for; the given ones themselves if None.
+    """
+
+    def __init__(self, toxic: list[bytes], plain: list[bytes], population: tuple[int, int] | None = None):
         toxic, plain = [t.lower() for t in toxic], [t.lower() for t in plain]
-        self.share = len(toxic) / max(1, len(toxic) + len(plain))
+        n_toxic, n_plain = population or (len(toxic), len(plain))
+        self.share = n_toxic / max(1, n_toxic + n_plain)
         self.distances = None
         if len(toxic) < FOLDS or len(plain) < FOLDS:
             return
@@ -148,6 +153,7 @@ class Model:
             marks += [1.0] * len(toxic[k::FOLDS]) + [0.0] * len(plain[k::FOLDS])
         self.distances = dictionaries(toxic, plain)
         self._fit(np.array(rows), np.array(marks))
+        self.bias += float(np.log(n_toxic / len(toxic)) - np.log(n_plain / len(plain)))
 
     def _fit(self, x: np.ndarray, y: np.ndarray) -> None:
         """Ridge logistic regression by Newton's steps."""
@@ -169,6 +175,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn=None, rows: int = FIT_ROWS, mo
     """A model of the labelled documents; learn: which label rows may be learnt from."""
     known = labels.select("doc_id", "toxic").filter("toxic in (0, 1)").filter(F.lit(True) if learn is None else learn).dropDuplicates(["doc_id"])
     order = F.md5(F.col("doc_id").cast("string").cast("binary"))
+    # Labels count by document row, as the fitted texts do.
+    counts = {r["toxic"]: r["n"] for r in docs.select("doc_id").join(known, "doc_id").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = known.filter("toxic = 1").orderBy(order).limit(rows).union(known.filter("toxic = 0").orderBy(order).limit(2 * rows))
     both = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")  # 3 x rows at most
     texts: dict[int, list[bytes]] = {0: [], 1: []}
@@ -178,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn=None, rows: int = FIT_ROWS, mo
         room[r["toxic"]] -= len(data)
         if room[r["toxic"]] >= 0:
             texts[r["toxic"]].append(data)
-    return Model(texts[1], texts[0])
+    return Model(texts[1], texts[0], (counts.get(1, 0), counts.get(0, 0)))
 
 
 def scored(batches: Iterator[pa.RecordBatch], model: Model, threshold: float) -> Iterator[pa.RecordBatch]:
