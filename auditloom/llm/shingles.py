@@ -35,10 +35,9 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, and where each text's words begin (and end) among them."""
+def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where all words begin and end; no word crosses a bound."""
     n = len(data)
-    power, inverse = _power_tables(n + 1)
     space = _SPACE[data]
     first = np.zeros(n + 1, bool)
     first[bounds[:-1]] = True
@@ -47,11 +46,22 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     last = np.zeros(n + 1, bool)
     last[bounds[1:]] = True
     last[:n] |= space
-    ends = np.flatnonzero(last[1:] & ~space) + 1
+    return starts, np.flatnonzero(last[1:] & ~space) + 1
+
+
+def span_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the spans of data, A-Z lower-cased."""
+    n = len(data)
+    power, inverse = _power_tables(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTES[data] * power[:n], out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)
-    return mixed(hashes), np.searchsorted(starts, bounds)
+    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and where each text's words begin (and end) among them."""
+    starts, ends = word_spans(data, bounds)
+    return span_keys(data, starts, ends), np.searchsorted(starts, bounds)
 
 
 def _column(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
