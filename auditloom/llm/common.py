@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 #: ASCII white space; words are what lies between.
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows of an Arrow batch: whole texts may be long, and a Python worker holds a batch at a time.
+#: Rows and bytes of an Arrow batch: whole texts may be long, and a Python worker holds a batch at a time.
 ARROW_ROWS = 256
+ARROW_BYTES = 1 << 22
+#: 64-bit keys that may be broadcast: some ten megabytes as a hash table.
+FEW_KEYS = 250_000
 
-_paths: dict[int, tuple[SparkSession, str]] = {}
+_paths: dict[str, SparkSession] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,21 +41,20 @@ def saved(df: DataFrame) -> DataFrame:
     spark, path = df.sparkSession, f"{shared_folder(df.sparkSession)}/scratch-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    _paths[id(out)] = (spark, path)
-    out._scratch = path
+    _paths[path], out._scratch = spark, path
     return out
 
 
 def dropped(*frames: DataFrame) -> None:
     """Deletes the tables behind frames that saved() made and no later plan reads."""
     for df in frames:
-        if found := _paths.pop(id(df), None):
-            _delete(*found)
+        if spark := _paths.pop(path := getattr(df, "_scratch", None), None):
+            _delete(spark, path)
 
 
 @atexit.register
 def _sweep() -> None:
-    for spark, path in list(_paths.values()):
+    for path, spark in list(_paths.items()):
         try:
             _delete(spark, path)
         except Exception:  # the session may be gone, and its folder with it
@@ -60,9 +62,10 @@ def _sweep() -> None:
 
 
 def python_batches(spark: SparkSession) -> None:
-    """Keeps Arrow batches small enough for long texts."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    """Keeps the session's Arrow batches small enough for long texts; plans are run later, so the setting stays."""
+    for name, most in (("maxRecordsPerBatch", ARROW_ROWS), ("maxBytesPerBatch", ARROW_BYTES)):
+        if int(spark.conf.get(f"spark.sql.execution.arrow.{name}").rstrip("bB")) > most:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", most)
 
 
 def shuffle_parts(spark: SparkSession) -> int:
@@ -88,6 +91,13 @@ def widened(docs: DataFrame, names: list[str], used: list[str]) -> DataFrame:
     return docs.select(*[F.col(n) if n in used else F.col("rest_columns").getField(n).alias(n) for n in names])
 
 
+def without_rows(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """rows but for those whose key gone holds. Few keys go to the rows, beyond ``FEW_KEYS`` both sides are dealt by key; texts travel only then."""
+    gone = saved(gone)
+    few = gone.count() <= FEW_KEYS
+    return rows.join(F.broadcast(gone) if few else gone.hint("merge"), key, "left_anti")
+
+
 def running(df: DataFrame, order: list[Column], keys: list[str], amount: str) -> DataFrame:
     """df with ``_before``: the sum of ``amount`` over the rows of the same keys that come earlier in order.
 
@@ -126,4 +136,6 @@ def components(links: DataFrame) -> DataFrame:
         labels = fresh
         if not moved:
             dropped(both)
-            return labels.select("node", "label")
+            out = labels.select("node", "label")
+            out._scratch = labels._scratch
+            return out

@@ -45,26 +45,25 @@ def targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: floa
     return table.select("source", "source_size", F.least("cap", F.col("weight") * F.lit(level)).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
-    """docs' rows with size, source_size, target and taken, the words that the mix takes of each."""
-    rows = sizes(docs).select("doc_id", "source", "size")
-    rows = saved(rows)
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET, epochs: int = EPOCHS, seed: str = SEED, carried: tuple[str, ...] = ()) -> DataFrame:
+    """docs' rows with size, source_size, target and taken, the words that the mix takes of each; carried: columns that come along."""
+    rows = saved(sizes(docs).select("doc_id", "source", "size", F.xxhash64("text").alias("_text"), *carried))
     goals = targets(rows, weights, budget, epochs)
     keyed = rows.withColumn("_order", F.md5(F.concat_ws("-", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary")))
-    placed = running(keyed, [F.col("_order"), F.col("doc_id").asc_nulls_last(), F.col("size")], ["source"], "size")
+    placed = running(keyed, [F.col("_order"), F.col("doc_id").asc_nulls_last(), F.col("size"), F.col("_text")], ["source"], "size")
     goals = goals.withColumnRenamed("source", "_source")
     both = placed.join(goals, F.col("source").eqNullSafe(F.col("_source")))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     part = F.floor(F.col("target") - whole * F.col("source_size") - F.col("_before"))
     taken = whole * F.col("size") + F.greatest(F.lit(0), F.least(part, F.col("size")))
-    return both.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return both.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), *carried)
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: docs' rows as often as taken, the last one cut to the words that fill its source's target."""
     used = [c for c in ("doc_id", "text", "source", "n_chars") if c in docs.columns]
     rows = saved(narrowed(docs, used).withColumn("_row", F.monotonically_increasing_id()))
-    takes = mix(rows.select(F.col("_row").alias("doc_id"), "source", "text"), **how).select(F.col("doc_id").alias("_row"), "size", "taken")
+    takes = mix(rows.select("doc_id", "source", "text", "_row"), carried=("_row",), **how).select("_row", "size", "taken")
     whole = F.expr("cast(taken div greatest(size, 1) as int)")
     rest = F.col("taken") - whole * F.col("size")
     copies = takes.filter("taken > 0").select("_row", F.explode(F.concat(F.array_repeat(F.lit(0).cast("long"), whole), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<long>")))).alias("_words"))
