@@ -14,8 +14,13 @@ stops below ``length``. Boundaries still unset then separate suffixes that share
 run of such suffixes is one string, which repeats if its records occur more than once together.
 
 Each start belongs to one anchor, so a start is judged once, and by all others of its anchor. An anchor
-with very many different records is split by hash into parts of about ``PART`` records; strings found
-once in their part are then compared across parts by hash, so nothing is left out.
+with very many different records is split by hash into parts of about ``PART`` records. Their strings
+are then compared across parts by runs: the starts of a record in ``STEP`` neighbouring places before the
+anchor have a core of bytes in common, and give one row with the core's hash. Only where a core comes
+twice are the hashes of the run's strings themselves compared, so nothing is left out.
+
+Texts are taken up in slices of about ``SLICE`` bytes, long ones in overlapping slices; a record that a
+slice cuts is two records of one anchor.
 
 Defined results: a null text is empty; a shorter text keeps all; equal rows repeat each other wholly if
 long enough; overlapping occurrences count; matches stay within a document and its bytes (UTF-8);
@@ -40,6 +45,8 @@ LENGTH = 400
 ANCHOR = 64
 BLOCK = 1 << 19
 PART = 4096
+#: Neighbouring starts of a record that are compared across parts by their common core first.
+STEP = 16
 #: Bytes of texts whose anchors are found at once.
 SLICE = 1 << 22
 
@@ -71,12 +78,12 @@ def least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def records(texts: list[bytes], length: int) -> list[np.ndarray]:
-    """[text number, anchor hash, record hash, first start, end of starts], an entry a record."""
+    """[text number, anchor hash, record hash, first start, end of starts, the anchor's place after the first start], an entry a record."""
     size = min(ANCHOR, length)
     data = np.frombuffer(b"".join(texts), np.uint8)
     bounds = np.cumsum([0, *map(len, texts)])
     if len(data) < length:
-        return [np.zeros(0, np.int64)] * 5
+        return [np.zeros(0, np.int64)] * 6
     sums = prefix_sums(data)
     at = np.arange(len(data) - size + 1)
     hashes = span_hashes(sums, at, at + size)
@@ -86,33 +93,40 @@ def records(texts: list[bytes], length: int) -> list[np.ndarray]:
     owner = anchors[starts]
     first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (starts[1:] != starts[:-1] + 1)])) if len(starts) else np.zeros(0, np.int64)
     if not len(first):
-        return [np.zeros(0, np.int64)] * 5
+        return [np.zeros(0, np.int64)] * 6
     last = np.concatenate([first[1:], [len(starts)]]) - 1
     lo, hi = starts[first], starts[last] + 1
     text = np.searchsorted(bounds, lo, side="right") - 1
     # Empty texts share a bound with the next one; the last of equal bounds holds the start.
-    return [text, hashes[owner[first]].view(np.int64), span_hashes(sums, lo, hi - 1 + length).view(np.int64), lo - bounds[text], hi - bounds[text]]
+    return [text, hashes[owner[first]].view(np.int64), span_hashes(sums, lo, hi - 1 + length).view(np.int64), lo - bounds[text], hi - bounds[text], owner[first] - lo]
 
 
-def sliced(texts: list[bytes]) -> Iterator[list[bytes]]:
+def sliced(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """(text number, place of the slice in it, bytes): every start of a text is in one slice."""
     part, size = [], 0
-    for t in texts:
-        if part and size + len(t) > SLICE:
-            yield part
-            part, size = [], 0
-        part.append(t)
-        size += len(t)
+    for k, t in enumerate(texts):
+        for base in range(0, len(t) - length + 1, SLICE):
+            piece = t if len(t) <= SLICE else t[base : base + SLICE + length - 1]
+            if part and size + len(piece) > SLICE:
+                yield part
+                part, size = [], 0
+            part.append((k, base, piece))
+            size += len(piece)
+            if piece is t:
+                break
     if part:
         yield part
 
 
 def anchored(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(key, bytes, anchor, record, lo, hi) for each record of each text."""
+    """(key, bytes, anchor, record, lo, hi, place) for each record of each text."""
     for batch in batches:
-        for part in sliced([t for t in batch.column(0).cast(pa.binary()).to_pylist() if t and len(t) >= length]):
-            text, *rest = records(part, length)
-            keys, sizes = np.array([text_key(t) for t in part], np.int64), np.array([len(t) for t in part], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys[text], sizes[text], *rest)], names=["key", "bytes", "anchor", "record", "lo", "hi"])
+        texts = [t for t in batch.column(0).cast(pa.binary()).to_pylist() if t and len(t) >= length]
+        keys, sizes = np.array([text_key(t) for t in texts], np.int64), np.array([len(t) for t in texts], np.int64)
+        for part in sliced(texts, length):
+            piece, anchor, record, lo, hi, place = records([p[2] for p in part], length)
+            text, base = np.array([p[0] for p in part])[piece], np.array([p[1] for p in part])[piece]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys[text], sizes[text], anchor, record, lo + base, hi + base, place)], names=["key", "bytes", "anchor", "record", "lo", "hi", "place"])
 
 
 def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,14 +137,14 @@ def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(anchor, record, copies, kinds, data): the bytes of the records that rows (text, wanted) name."""
+    """(anchor, record, copies, kinds, place, data): the bytes of the records that rows (text, wanted) name."""
     for batch in batches:
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], []]
         for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             for w in wanted:
-                for column, value in zip(out, (w["anchor"], w["record"], w["copies"], w["kinds"], text[w["lo"] : w["hi"] - 1 + length]), strict=True):
+                for column, value in zip(out, (w["anchor"], w["record"], w["copies"], w["kinds"], w["place"], text[w["lo"] : w["hi"] - 1 + length]), strict=True):
                     column.append(value)
-        yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in out[:4]], pa.array(out[4], pa.binary())], names=["anchor", "record", "copies", "kinds", "data"])
+        yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in out[:5]], pa.array(out[5], pa.binary())], names=["anchor", "record", "copies", "kinds", "place", "data"])
 
 
 def suffix_array(signs: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -223,50 +237,67 @@ def repeated_starts(datas: list[bytes], copies: np.ndarray, length: int) -> np.n
     return out & (at + length <= ends[of])
 
 
+def runs_of(anchor: int, record: int, place: int, data: bytes, hit: np.ndarray, length: int, told: set) -> Iterator[tuple]:
+    """(anchor, record, lo, None, core, strings, known) for each run of a record's starts that may have to be met in other parts.
+
+    strings: the hash of each start's string, null where it is known to repeat and was told before.
+    """
+    n, step = len(hit), max(1, min(STEP, length // 4))
+    sums, at = prefix_sums(np.frombuffer(data, np.uint8)), np.arange(len(hit))
+    strings = span_hashes(sums, at, at + length).view(np.int64).tolist()
+    number = (place - at) // step
+    begin = np.concatenate([[0], np.flatnonzero(np.diff(number)) + 1])
+    first = place - number[begin] * step  # the latest start that such a run may have, and from there to the end of the earliest's string
+    cores = span_hashes(sums, first, first - step + 1 + length).view(np.int64).tolist()
+    known = hit.tolist()
+    for lo, hi, core in zip(begin.tolist(), [*begin[1:].tolist(), n], cores, strict=True):
+        own: list[int | None] = strings[lo:hi]
+        for i in range(lo, hi):
+            if known[i]:
+                if (anchor, strings[i]) in told:
+                    own[i - lo] = None
+                told.add((anchor, strings[i]))
+        if any(h is not None for h in own):
+            yield anchor, record, lo, None, core, own, known[lo:hi]
+
+
+VERDICT = "anchor long, record long, lo long, hi long, core long, strings array<long>, known array<boolean>"
+
+
 def judged(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Rows (anchor, part, record, copies, kinds, data), sorted by anchor and part, to (anchor, record, lo, hi, string, copies).
+    """Rows (anchor, part, record, copies, kinds, place, data), sorted by anchor and part, to VERDICT.
 
-    A row with a null string gives starts that repeat; one with a string gives a start (or, without
-    a record, a string known to repeat) of an anchor that is split into parts.
+    A row with a null core gives starts that repeat; one with a core is a run of starts of an anchor
+    that is split into parts, as runs_of() gives it.
     """
     held: list[tuple] = []
     size = 0
 
     def settle() -> pa.RecordBatch:
-        nonlocal held, size
-        datas = [h[5] for h in held]
+        datas = [h[6] for h in held]
         found = repeated_starts(datas, np.array([h[3] for h in held]), length)
-        out: list[list] = [[], [], [], [], [], []]
+        rows: list[tuple] = []
         offset, told = 0, set()
-        for anchor, _, record, _, kinds, data in held:
-            n = len(data) - length + 1
-            hit = found[offset : offset + n]
+        for anchor, _, record, _, kinds, place, data in held:
+            hit = found[offset : offset + len(data) - length + 1]
             edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))).tolist()
-            rows = [(anchor, record, a, b, None, 1) for a, b in zip(edges[::2], edges[1::2], strict=True)]
+            rows += [(anchor, record, a, b, None, None, None) for a, b in zip(edges[::2], edges[1::2], strict=True)]
             if kinds > PART:
-                sums = prefix_sums(np.frombuffer(data, np.uint8))
-                at = np.arange(n)
-                for i, h in enumerate(span_hashes(sums, at, at + length).view(np.int64).tolist()):
-                    if not hit[i]:
-                        rows.append((anchor, record, i, i + 1, h, 1))
-                    elif (anchor, h) not in told:
-                        told.add((anchor, h))
-                        rows.append((anchor, None, 0, 0, h, 2))
-            for row in rows:
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
+                rows += runs_of(anchor, record, place, data, hit, length, told)
             offset += len(data) + 1
-        held, size = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["anchor", "record", "lo", "hi", "string", "copies"])
+        columns = zip(*rows, strict=True) if rows else [()] * 7
+        types = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.list_(pa.bool_())]
+        return pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(columns, types, strict=True)], names=["anchor", "record", "lo", "hi", "core", "strings", "known"])
 
     last = None
     for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+        for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
             if row[:2] != last and size > BLOCK:
                 yield settle()
+                held, size = [], 0
             last = row[:2]
             held.append(row)
-            size += len(row[5])
+            size += len(row[6])
     if held:
         yield settle()
 
@@ -299,25 +330,29 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(key, bytes, lo, hi): the starts of repeated strings of each text, by the text's key and size."""
     spark = docs.sparkSession
     parts = shuffle_parts(spark)
-    seen = saved(docs.select("text").mapInArrow(lambda b: anchored(b, length), "key long, bytes long, anchor long, record long, lo long, hi long"))
+    seen = saved(docs.select("text").mapInArrow(lambda b: anchored(b, length), "key long, bytes long, anchor long, record long, lo long, hi long, place long"))
     common = seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("record").alias("r0"), F.max("record").alias("r1")).filter("n > 1").select("anchor", (F.col("r0") == F.col("r1")).alias("alike"))
     twice = saved(seen.join(common, "anchor"))
     dropped(seen)
     mixed_rows = twice.filter("not alike")
-    kinds = mixed_rows.groupBy("anchor", "record").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "bytes", "lo", "hi")).alias("at"))
+    kinds = mixed_rows.groupBy("anchor", "record").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "bytes", "lo", "hi", "place")).alias("at"))
     kinds = saved(kinds)
     number = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
-    wanted = kinds.join(number, "anchor").select("at.key", "at.bytes", F.struct("anchor", "record", "copies", "kinds", "at.lo", "at.hi").alias("one")).groupBy("key", "bytes").agg(F.collect_list("one").alias("wanted"))
+    wanted = kinds.join(number, "anchor").select("at.key", "at.bytes", F.struct("anchor", "record", "copies", "kinds", "at.lo", "at.hi", "at.place").alias("one")).groupBy("key", "bytes").agg(F.collect_list("one").alias("wanted"))
     long_docs = docs.filter(F.octet_length("text") >= length)
     texts = long_docs.select(F.lit(0).alias("id"), "text").mapInArrow(keyed, "id int, text binary, key long, bytes long")
-    cuts = texts.join(wanted, ["key", "bytes"]).select("text", "wanted").mapInArrow(lambda b: cut(b, length), "anchor long, record long, copies long, kinds long, data binary").dropDuplicates(["anchor", "record"])
-    split = cuts.select("anchor", F.pmod(F.xxhash64("record"), F.expr(f"(kinds + {PART} - 1) div {PART}")).alias("part"), "record", "copies", "kinds", "data")
+    cuts = texts.join(wanted, ["key", "bytes"]).select("text", "wanted").mapInArrow(lambda b: cut(b, length), "anchor long, record long, copies long, kinds long, place long, data binary").dropDuplicates(["anchor", "record"])
+    split = cuts.select("anchor", F.pmod(F.xxhash64("record"), F.expr(f"(kinds + {PART} - 1) div {PART}")).alias("part"), "record", "copies", "kinds", "place", "data")
     dealt = split.repartition(parts, "anchor", "part").sortWithinPartitions("anchor", "part", "record")
-    verdicts = saved(dealt.mapInArrow(lambda b: judged(b, length), "anchor long, record long, lo long, hi long, string long, copies long"))
-    strings = verdicts.filter("string is not null")
-    across = strings.groupBy("anchor", "string").agg(F.sum("copies").alias("total")).filter("total > 1").select("anchor", "string")
-    late = strings.filter("record is not null").join(across, ["anchor", "string"]).select("anchor", "record", "lo", "hi")
-    found = verdicts.filter("string is null").select("anchor", "record", "lo", "hi").union(late)
+    verdicts = saved(dealt.mapInArrow(lambda b: judged(b, length), VERDICT))
+    runs = verdicts.filter("core is not null")
+    weight = F.when(F.exists("known", lambda k: k), 2).otherwise(1)
+    met = runs.groupBy("anchor", "core").agg(F.sum(weight).alias("total")).filter("total > 1").select("anchor", "core")
+    strings = runs.join(met, ["anchor", "core"]).select("anchor", "record", "lo", F.posexplode(F.arrays_zip("strings", "known")).alias("nth", "one"))
+    strings = strings.select("anchor", "record", (F.col("lo") + F.col("nth")).alias("lo"), F.col("one.strings").alias("string"), F.col("one.known").alias("known")).filter("string is not null")
+    across = strings.groupBy("anchor", "string").agg(F.sum(F.when(F.col("known"), 2).otherwise(1)).alias("total")).filter("total > 1").select("anchor", "string")
+    late = strings.filter("not known").join(across, ["anchor", "string"]).select("anchor", "record", "lo", (F.col("lo") + 1).alias("hi"))
+    found = verdicts.filter("core is null").select("anchor", "record", "lo", "hi").union(late)
     found = found.withColumnsRenamed({"lo": "from", "hi": "to"})
     in_place = mixed_rows.join(found, ["anchor", "record"]).select("key", "bytes", (F.col("lo") + F.col("from")).alias("lo"), (F.col("lo") + F.col("to")).alias("hi"))
     return twice.filter("alike").select("key", "bytes", "lo", "hi").union(in_place)
