@@ -1,20 +1,26 @@
 """Toxicity by compression distance: two zstandard dictionaries, window by window.
 
-Both dictionaries begin with a part of their own and go on with one common stock of ordinary text, which
-is nearest to a window and serves what both have alike. The toxic part is trained
-by zstandard on the passages of toxic documents that ordinary documents lack (runs of 5-byte strings
-whose rate is ``ENRICHED`` times higher); the ordinary part is trained on ordinary text. A document is
-cut at white space into windows of about 64 bytes; how many bytes shorter a window becomes with the
-toxic dictionary is its distance. A logistic function of the number of windows at each distance, fitted
-on labelled rows and moved to the share of toxic rows among all rows that may be learnt from, is the
-score; so the threshold of 0.3 means the same whatever part of each class is fitted on.
-
-At most ``FIT_ROWS`` toxic and twice as many ordinary labelled rows, of ``FIT_BYTES`` bytes in all, are
-fitted on the driver, the first by md5 of their id. Every document is scored over its whole text.
+Each dictionary is trained by zstandard on text of its class. What toxic documents have in common with
+ordinary ones would fill the toxic one, so its samples are the passages of toxic documents that ordinary
+documents lack (runs of 5-byte strings whose rate is ``ENRICHED`` times higher); the ordinary one's are
+pieces of ordinary documents. Both go on with one common stock of ordinary text, which is nearest to a
+window and serves what both have alike. A document is cut at white space into windows of about 64 bytes;
+how many bytes shorter a window becomes with the toxic dictionary is its distance.
+
+Calibration: a logistic function of the number of windows at each distance is fitted on distances under
+dictionaries that did not see the row (``FOLDS`` folds), and moved to the share of toxic rows among all
+rows that may be learnt from. The score is then a probability at the corpus's own rate, so the threshold
+of 0.3 means the same at every size, whatever part of each class is fitted on.
+
+At most ``FIT_ROWS`` toxic and twice as many ordinary labelled rows, the first by md5 of their id, are
+fitted on the driver, ``FIT_BYTES`` bytes in all (a third of them toxic); a row whose text is longer
+than the room left is passed over and takes none. Stock and samples are spread evenly over all fitted
+texts, from end to end. Every document is scored over its whole text, however long.
 
 Defined results: null and empty texts have one empty window; rows without a label are never learnt
-from; a null id is never held out; where a class has fewer than three rows, every score is the share
-of toxic rows among those that have a label (0 without any). Repeated rows are scored each.
+from; of labels that contradict, toxic counts; a null id is never held out; where a class has fewer than
+three rows, every score is the share of toxic rows among those that have a label (0 without any).
+Repeated rows are scored each; an empty table gives no row; other columns are left alone.
 """
 
 from __future__ import annotations
@@ -28,9 +34,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditloom.llm.common import python_batches, saved
+from auditloom.llm.shingles import mixed
 
 WINDOW = 64
 STOCK_BYTES = 100_000
+STOCK_PIECE = 600
 OWN_BYTES = 4096
 GRAM = 5
 ENRICHED = 30
@@ -40,41 +48,57 @@ THRESHOLD = 0.3
 STEPS = 9
 LEVEL = 12
 FOLDS = 3
+#: Pieces of ordinary text that the ordinary dictionary is trained on, and the bytes of each.
+SAMPLES = 20_000
+SAMPLE_BYTES = 256
+#: Cells (a power of two) in which documents are counted by the 5-byte strings they hold.
+CELLS = 1 << 22
 
 
 def grams(text: bytes) -> np.ndarray:
+    """Cells of all runs of GRAM bytes."""
     a = np.frombuffer(text, np.uint8).astype(np.uint64)
     n = len(a) - GRAM + 1
     out = np.zeros(max(n, 0), np.uint64)
     for k in range(GRAM if n > 0 else 0):
         out = (out << np.uint64(8)) | a[k : n + k]
-    return out
+    return (mixed(out) & np.uint64(CELLS - 1)).astype(np.int32)
 
 
-def document_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    parts = [np.unique(grams(t)) for t in texts]
-    return np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+def document_counts(texts: list[bytes]) -> np.ndarray:
+    """How many texts hold each cell."""
+    out = np.zeros(CELLS, np.int32)
+    for t in texts:
+        out[np.unique(grams(t))] += 1
+    return out
 
 
 def enriched(toxic: list[bytes], plain: list[bytes]) -> np.ndarray:
-    ours, n = document_counts(toxic)
-    theirs, m = document_counts(plain)
-    at = np.minimum(np.searchsorted(theirs, ours), max(len(theirs) - 1, 0))
-    back = np.where(theirs[at] == ours, m[at], 0) if len(theirs) else np.zeros(len(ours))
-    rate = (n / len(toxic)) / ((back + 1) / len(plain))
-    return ours[(n >= max(3, 0.01 * len(toxic))) & (rate >= min(ENRICHED, len(plain) / 3))]
+    """For each cell, whether toxic texts hold it so much more often."""
+    ours, theirs = document_counts(toxic), document_counts(plain)
+    rate = min(ENRICHED, len(plain) / 3)
+    return (ours >= max(3, 0.01 * len(toxic))) & (ours * (len(plain) / len(toxic)) >= rate * (theirs + 1))
 
 
 def passages(text: bytes, rich: np.ndarray) -> list[bytes]:
-    hit = np.isin(grams(text), rich)
     cover = np.zeros(len(text) + 2, np.int32)
-    at = np.flatnonzero(hit)
+    at = np.flatnonzero(rich[grams(text)])
     np.add.at(cover, at + 1, 1)
     np.add.at(cover, at + GRAM + 1, -1)
     edges = np.flatnonzero(np.diff((np.cumsum(cover) > 0).astype(np.int8)))
     return [text[a:b] for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
 
 
+def spread(texts: list[bytes], n: int, size: int) -> list[bytes]:
+    """n pieces of so many bytes from texts at even distances, from places all over them."""
+    out = []
+    for j in range(n if texts else 0):
+        text = texts[j * len(texts) // n]
+        at = int(j * 0.6180339887 % 1 * max(0, len(text) - size))
+        out.append(text[at : at + size])
+    return out
+
+
 def trained(samples: list[bytes], size: int) -> bytes:
     """The content that zstandard's trainer picks from samples; the samples themselves where they are too few to train on."""
     try:
@@ -128,8 +152,8 @@ class Distances:
 def dictionaries(toxic: list[bytes], plain: list[bytes]) -> Distances:
     rich = enriched(toxic, plain)
     extra = trained([p for t in toxic for p in passages(t, rich)] or toxic, OWN_BYTES)
-    stock = b" ".join(t[:600] for t in plain)[:STOCK_BYTES]
-    other = trained([t[i : i + 256] for t in plain for i in range(0, len(t), 256)][:20_000], OWN_BYTES)
+    stock = b" ".join(spread(plain, STOCK_BYTES // STOCK_PIECE, STOCK_PIECE))
+    other = trained(spread(plain, SAMPLES, SAMPLE_BYTES), OWN_BYTES)
     return Distances(extra + stock, other + stock)
 
 
@@ -173,7 +197,7 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, learn=None, rows: int = FIT_ROWS, most_bytes: int = FIT_BYTES) -> Model:
     """A model of the labelled documents; learn: which label rows may be learnt from."""
-    known = labels.select("doc_id", "toxic").filter("toxic in (0, 1)").filter(F.lit(True) if learn is None else learn).dropDuplicates(["doc_id"])
+    known = labels.select("doc_id", "toxic").filter("toxic in (0, 1)").filter(F.lit(True) if learn is None else learn).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.md5(F.col("doc_id").cast("string").cast("binary"))
     # Labels count by document row, as the fitted texts do.
     counts = {r["toxic"]: r["n"] for r in docs.select("doc_id").join(known, "doc_id").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -183,8 +207,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn=None, rows: int = FIT_ROWS, mo
     room = {1: most_bytes // 3, 0: most_bytes * 2 // 3}
     for r in saved(both).withColumn("_order", order).orderBy("_order", "text").toLocalIterator():
         data = r["text"].encode()
-        room[r["toxic"]] -= len(data)
-        if room[r["toxic"]] >= 0:
+        if len(data) <= room[r["toxic"]]:
+            room[r["toxic"]] -= len(data)
             texts[r["toxic"]].append(data)
     return Model(texts[1], texts[0], (counts.get(1, 0), counts.get(0, 0)))
 
