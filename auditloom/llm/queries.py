@@ -59,7 +59,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.session_key(spark))
 
 
 QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_suffix_dedup, op3_mixing, op4_quality, op5_exact_dedup, op6_embedding_dedup, op7_sharding, op8_toxicity, op9_packing, op10_pii)}
