@@ -107,8 +107,41 @@ def test_repeats_edges(spark):
     assert repeats.without_repeats(frame(spark, [])).count() == 0
 
 
-def test_embeddings(spark, monkeypatch):
-    monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
+@pytest.mark.parametrize("hashes", [1, 2, 3, 4])
+def test_recall_for_each_number_of_hashes(hashes):
+    """Pairs at the threshold exactly: how many meet in a bucket where one is at home."""
+    rng = np.random.default_rng(hashes)
+    a, b = rng.normal(size=(2, 4000, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(1)[:, None] * a
+    b = 0.95 * a + np.sqrt(1 - 0.95**2) * b / np.linalg.norm(b, axis=1)[:, None]
+    x, y = (embedding_dedup.codes(v, embedding_dedup.tables_for(hashes), hashes, embedding_dedup.PROBES, embedding_dedup.SEED) for v in (a, b))
+    met = ((x[:, :, :1] == y) | (y[:, :, :1] == x)).any((1, 2))
+    assert met.mean() >= 0.96
+
+
+@pytest.mark.parametrize("tile", [3, 1024])
+def test_block_labels_join_whole_components(monkeypatch, tile):
+    """Chains of links in any order of keys: each member's label leads to the least of its component."""
+    monkeypatch.setattr(embedding_dedup, "TILE", tile)
+    rng = np.random.default_rng(tile)
+    for _ in range(20):
+        n = 40
+        angles = np.cumsum(rng.choice([0.1, 0.5], n, p=[0.8, 0.2]))[rng.permutation(n)]
+        unit, key = np.c_[np.cos(angles / 10), np.sin(angles / 10)], rng.choice(10_000, n, replace=False)
+        code = np.zeros(1 + embedding_dedup.PROBES, np.int64).tobytes()
+        table = pa.table({"table_no": [0] * n, "bucket": [0] * n, "dim": [2] * n, "key": key, "copies": [1] * n, "home": [True] * n, "block": [0] * n, "unit": [u.tobytes() for u in unit], "codes": [code] * n, "lo": [0] * n, "hi": [0] * n})
+        got = embedding_dedup.joined(table, float(np.cos(0.015))).to_pylist()
+        near = unit @ unit.T >= float(np.cos(0.015))
+        want = component_ids(key.tolist(), [(int(key[a]), int(key[b])) for a, b in zip(*np.nonzero(near), strict=True)])
+        assert {**{int(k): int(k) for k in key}, **{r["key"]: r["label"] for r in got}} == want
+        assert sum(r["links"] for r in got) == near.sum() - near.trace()
+
+
+@pytest.mark.parametrize(("block", "tile"), [(16, 1024), (64, 7)])
+def test_embeddings(spark, monkeypatch, block, tile):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    monkeypatch.setattr(embedding_dedup, "TILE", tile)
     rng = np.random.default_rng(0)
     centres = rng.normal(size=(40, 48))
     x = [*(centres[i % 40] + 0.22 * rng.normal(size=48) for i in range(400)), *[centres[0]] * 5, *(centres[1] + 0.02 * rng.normal(size=48) for _ in range(60))]
@@ -128,3 +161,5 @@ def test_embeddings(spark, monkeypatch):
     assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i and got[i]["kept"] for i in range(1000, 1005))
     assert got[1005]["n_links"] == 1 and got[None]["component_id"] == 1005 and not got[None]["kept"]
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+    clashing = df.limit(3).selectExpr("*", "1 AS key", "'x' AS unit", "2 AS links", "3 AS id", "4 AS dim")
+    assert embedding_dedup.near_duplicates(clashing).columns == ["vec_id", "n_links", "component_id", "kept"]
