@@ -81,8 +81,8 @@ def word_runs(w: Column, n: int) -> Column:
 
 
 def shingles(c: Column, n: int = 3) -> Column:
-    """Distinct runs of n lower-cased words."""
-    return F.array_distinct(word_runs(words(F.lower(blank(c))), n))
+    """Distinct runs of n lower-cased words, words being letters, digits and underscores."""
+    return F.array_distinct(word_runs(F.regexp_extract_all(F.lower(blank(c)), F.lit(rf"({LETTER}+)"), F.lit(1)), n))
 
 
 def jaccard(a: Column, b: Column, both_empty: float = 1.0) -> Column:
@@ -176,9 +176,13 @@ def failed_names(c: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(c, F.lit(r"FAILED (\S+::\S+)"), F.lit(1)))
 
 
+#: How tools name a failing test.
+FAILURE_LINES = (r"FAILED\s+(\S+::(?:\S+::)?\S+)", r"(?m)^---\s+FAIL:\s+(\S+/\S+)", r"(?m)^---\s+FAIL:\s+(\S+)", r"(?m)^FAIL\s+(\S+)", r"(?m)^test\s+(\S+)\s+\.\.\.\s+FAILED", r"<<<\s+(?:FAILURE|ERROR)!\s+-\s+in\s+(\S+)")
+
+
 def first_failure(c: Column) -> Column:
-    patterns = (r"FAILED (\S+::\S+)", r"(\S+::\S+) FAILED", r"--- FAIL: (\S+)", r"test (\S+) \.\.\. FAILED", r"Tests run:.*FAILURE! -- in (\S+)", r"FAIL\s+(\S+)")
-    return first_of(*[F.regexp_extract(c, p, 1) for p in patterns])
+    """The first failing test by the lines of several tools, in this order; a subtest before its parent."""
+    return first_of(*[F.regexp_extract(c, p, 1) for p in FAILURE_LINES])
 
 
 def code_block(c: Column) -> Column:

@@ -58,25 +58,12 @@ def decontam_contains(read):
     return decontam.containing(read("documents").select("doc_id", "text"), read("benchmark").select("item_id", F.col("text").alias("passage")))
 
 
-@register(r"""
-WITH i AS (SELECT CAST(doc_id AS VARCHAR) AS instance_id, sha256(regexp_replace(text, '\s+$', '')) AS patch_hash FROM documents),
-r AS (SELECT CAST(item_id * 3 AS VARCHAR) AS instance_id, sha256(regexp_replace(text, '\s+$', '')) AS patch_hash, CASE WHEN item_id % 2 = 0 THEN 'even' ELSE 'odd' END AS source, CAST(item_id % 2 AS INT) AS source_order FROM benchmark
-      UNION ALL SELECT CAST(-doc_id AS VARCHAR), sha256(regexp_replace(text, '\s+$', '')), 'copy', 2 FROM documents WHERE doc_id % 10 = 0)
-SELECT i.instance_id, arg_min(r.source, r.source_order) AS source FROM i LEFT JOIN r ON i.instance_id = r.instance_id OR i.patch_hash = r.patch_hash GROUP BY i.instance_id""")
-def decontam_first_source(read):
-    hashed = F.sha2(F.regexp_replace("text", r"\s+$", "").cast("binary"), 256).alias("patch_hash")
-    bench = read("benchmark").select((F.col("item_id") * 3).cast("string").alias("instance_id"), hashed, F.when(F.col("item_id") % 2 == 0, "even").otherwise("odd").alias("source"), (F.col("item_id") % 2).cast("int").alias("source_order"))
-    copies = read("documents").where("doc_id % 10 = 0").select((-F.col("doc_id")).cast("string").alias("instance_id"), hashed, F.lit("copy").alias("source"), F.lit(2).alias("source_order"))
-    docs = read("documents").select(F.col("doc_id").cast("string").alias("instance_id"), hashed)
-    return decontam.contaminated(docs, bench.union(copies)).select("instance_id", "source")
-
-
 @register(r"""
 WITH i AS (SELECT CAST(doc_id AS VARCHAR) AS instance_id, sha256(regexp_replace(text, '\s+$', '')) AS patch_hash FROM documents),
 r AS (SELECT CAST(item_id * 3 AS VARCHAR) AS instance_id, sha256(regexp_replace(text, '\s+$', '')) AS patch_hash, CASE WHEN item_id % 2 = 0 THEN 'even' ELSE 'odd' END AS source, CAST(item_id % 2 AS INT) AS source_order FROM benchmark
       UNION ALL SELECT CAST(-doc_id AS VARCHAR), sha256(regexp_replace(text, '\s+$', '')), 'copy', 2 FROM documents)
 SELECT i.instance_id, arg_min(r.source, r.source_order) AS source FROM i LEFT JOIN r ON i.instance_id = r.instance_id OR i.patch_hash = r.patch_hash GROUP BY i.instance_id""")
-def decontam_first_source_whole(read):
+def decontam_first_source(read):
     """decontam_first_source with every document in the reference."""
     hashed = F.sha2(F.regexp_replace("text", r"\s+$", "").cast("binary"), 256).alias("patch_hash")
     bench = read("benchmark").select((F.col("item_id") * 3).cast("string").alias("instance_id"), hashed, F.when(F.col("item_id") % 2 == 0, "even").otherwise("odd").alias("source"), (F.col("item_id") % 2).cast("int").alias("source_order"))
@@ -92,8 +79,8 @@ def dedup_keep_first(read):
 
 
 @register(r"""
-WITH w AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') AS w FROM documents),
-b AS (SELECT item_id AS id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') AS w FROM benchmark),
+WITH w AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents),
+b AS (SELECT item_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchmark),
 ds AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2])) AS s FROM w WHERE len(w) >= 3),
 bs AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2])) AS s FROM b WHERE len(w) >= 3),
 dn AS (SELECT id, count(*) AS n FROM ds GROUP BY id), bn AS (SELECT id, count(*) AS n FROM bs GROUP BY id),
@@ -151,13 +138,8 @@ def quota_sample(read):
     return samples.quotas([(docs.where("lang = 'en'").select("doc_id"), 40), (docs.select("doc_id"), 60)], "doc_id")
 
 
-@register("SELECT lang, doc_id, CAST(row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS INT) AS turn FROM documents QUALIFY turn <= 20")
-def interleave(read):
-    return samples.interleaved(read("documents").select("lang", "doc_id", "n_chars"), "lang", [F.desc("n_chars"), F.col("doc_id")]).where("turn <= 20").select("lang", "doc_id", "turn")
-
-
 @register("SELECT lang, doc_id, CAST(row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS INT) AS turn FROM documents")
-def interleave_whole(read):
+def interleave(read):
     """interleave with every document's turn."""
     order = [F.desc("n_chars"), F.col("doc_id")]
     return samples.interleaved(read("documents").select("lang", "doc_id", "n_chars"), "lang", order).select("lang", "doc_id", "turn")

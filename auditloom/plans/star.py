@@ -45,42 +45,22 @@ def outer_compare(read):
     return reports.outer_comparison(ours, theirs, ["nation", "id"], ["nation"])
 
 
-@register("""
-WITH b AS (SELECT o_orderkey, CAST(date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) AS INT) AS d FROM orders), i AS (SELECT o_orderkey AS key, d AS lo, d + 3 AS hi FROM b WHERE o_orderkey % 100 = 0)
-SELECT key, CAST(count(*) AS BIGINT) AS n FROM i JOIN b ON d BETWEEN lo AND hi GROUP BY key""")
-def interval_join(read):
-    days = read("orders").select("o_orderkey", F.date_diff(F.to_date("o_orderdate"), F.lit("1990-01-01").cast("date")).alias("d"))
-    spans = days.where("o_orderkey % 100 = 0").select(F.col("o_orderkey").alias("key"), F.col("d").alias("lo"), (F.col("d") + 3).alias("hi"))
-    return joins.in_intervals(days, spans, "d", "lo", "hi", 4).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-
-
 @register("""
 WITH b AS (SELECT o_orderkey, CAST(date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) AS INT) AS d FROM orders), i AS (SELECT o_orderkey AS key, d AS lo, d + 3 AS hi FROM b)
 SELECT key, CAST(count(*) AS BIGINT) AS n FROM i JOIN b ON d BETWEEN lo AND hi GROUP BY key""")
-def interval_join_whole(read):
-    """interval_join with every order as an interval: points are counted by day first, so no pair of orders is made."""
+def interval_join(read):
+    """Every order is an interval: points are counted by day first, so no pair of orders is made."""
     days = read("orders").select("o_orderkey", F.date_diff(F.to_date("o_orderdate"), F.lit("1990-01-01").cast("date")).alias("d"))
     spans = days.select(F.col("o_orderkey").alias("key"), F.col("d").alias("lo"), (F.col("d") + 3).alias("hi"))
     per_day = days.groupBy("d").agg(F.count(F.lit(1)).alias("m"))
     return joins.in_intervals(per_day, spans, "d", "lo", "hi", 4).groupBy("key").agg(F.sum("m").alias("n"))
 
 
-@register("""
-WITH k AS (SELECT DISTINCT p_name AS key FROM part WHERE p_partkey % 7 = 0 UNION SELECT 'red' UNION SELECT 'small' UNION SELECT 'ECONOMY')
-SELECT CASE WHEN a.key IS NOT NULL THEN 'full' WHEN b.key IS NOT NULL THEN 'word' WHEN c.key IS NOT NULL THEN 'type' END AS level, coalesce(a.key, b.key, c.key) AS key, CAST(count(*) AS BIGINT) AS n
-FROM part LEFT JOIN k a ON p_name || ' ' || p_size = a.key LEFT JOIN k b ON string_split(p_name, ' ')[1] = b.key LEFT JOIN k c ON p_type = c.key GROUP BY ALL""")
-def snap_fallback(read):
-    part, spark = read("part"), read("part").sparkSession
-    known = part.where("p_partkey % 7 = 0").select(F.col("p_name").alias("key")).union(spark.createDataFrame([("red",), ("small",), ("ECONOMY",)], "key string"))
-    options = {"full": F.concat_ws(" ", "p_name", "p_size"), "word": F.split("p_name", " ")[0], "type": F.col("p_type")}
-    return joins.snapped(part, known, options).groupBy("level", "key").agg(F.count(F.lit(1)).alias("n"))
-
-
 @register("""
 WITH k AS (SELECT DISTINCT p_name AS key FROM part UNION SELECT 'red' UNION SELECT 'small' UNION SELECT 'ECONOMY')
 SELECT CASE WHEN a.key IS NOT NULL THEN 'full' WHEN b.key IS NOT NULL THEN 'word' WHEN c.key IS NOT NULL THEN 'type' END AS level, coalesce(a.key, b.key, c.key) AS key, CAST(count(*) AS BIGINT) AS n
 FROM part LEFT JOIN k a ON p_name || ' ' || p_size = a.key LEFT JOIN k b ON string_split(p_name, ' ')[1] = b.key LEFT JOIN k c ON p_type = c.key GROUP BY ALL""")
-def snap_fallback_whole(read):
+def snap_fallback(read):
     """snap_fallback with the names of all parts known."""
     part, spark = read("part"), read("part").sparkSession
     known = part.select(F.col("p_name").alias("key")).union(spark.createDataFrame([("red",), ("small",), ("ECONOMY",)], "key string"))
@@ -165,20 +145,6 @@ def spec_hash(read):
     return read("part").select("p_partkey", F.sha2(F.to_json(fields).cast("binary"), 256).alias("spec_hash"))
 
 
-@register("""
-WITH t AS (SELECT c_nationkey, CAST(count(*) FILTER (WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') AS BIGINT) AS a, CAST(count(*) FILTER (WHERE o_orderstatus <> 'F' AND o_orderpriority = '1-URGENT') AS BIGINT) AS b,
-  CAST(count(*) FILTER (WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW') AS BIGINT) AS c, CAST(count(*) FILTER (WHERE o_orderstatus <> 'F' AND o_orderpriority = '5-LOW') AS BIGINT) AS d FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 20 = 0 GROUP BY c_nationkey),
-x AS (SELECT *, unnest(range(greatest(0, a + b + a + c - (a + b + c + d)), least(a + b, a + c) + 1)) AS k FROM t),
-p AS (SELECT *, lgamma(a + b + 1) + lgamma(c + d + 1) + lgamma(a + c + 1) + lgamma(b + d + 1) - lgamma(a + b + c + d + 1) - lgamma(k + 1) - lgamma(a + b - k + 1) - lgamma(a + c - k + 1) - lgamma(d - a + k + 1) AS lp,
-  lgamma(a + b + 1) + lgamma(c + d + 1) + lgamma(a + c + 1) + lgamma(b + d + 1) - lgamma(a + b + c + d + 1) - lgamma(a + 1) - lgamma(b + 1) - lgamma(c + 1) - lgamma(d + 1) AS l0 FROM x)
-SELECT c_nationkey, a, b, c, d, round(least(1.0, sum(CASE WHEN lp <= l0 + 1e-7 THEN exp(lp) ELSE 0 END)), 6) AS p_value FROM p GROUP BY ALL""")
-def fisher_nations(read):
-    rows = read("orders").where("o_orderkey % 20 = 0").join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
-    solved, urgent, low = F.col("o_orderstatus") == "F", F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority") == "5-LOW"
-    t = rows.groupBy("c_nationkey").agg(F.count_if(solved & urgent).alias("a"), F.count_if(~solved & urgent).alias("b"), F.count_if(solved & low).alias("c"), F.count_if(~solved & low).alias("d"))
-    return t.withColumn("p_value", F.round(fishers_exact(F.col("a"), F.col("b"), F.col("c"), F.col("d")), 6))
-
-
 @register("""
 WITH t AS (SELECT c_nationkey, CAST(count(*) FILTER (WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') AS BIGINT) AS a, CAST(count(*) FILTER (WHERE o_orderstatus <> 'F' AND o_orderpriority = '1-URGENT') AS BIGINT) AS b,
   CAST(count(*) FILTER (WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW') AS BIGINT) AS c, CAST(count(*) FILTER (WHERE o_orderstatus <> 'F' AND o_orderpriority = '5-LOW') AS BIGINT) AS d FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey),
@@ -186,8 +152,8 @@ x AS (SELECT *, unnest(range(greatest(0, a + b + a + c - (a + b + c + d)), least
 p AS (SELECT *, lgamma(a + b + 1) + lgamma(c + d + 1) + lgamma(a + c + 1) + lgamma(b + d + 1) - lgamma(a + b + c + d + 1) - lgamma(k + 1) - lgamma(a + b - k + 1) - lgamma(a + c - k + 1) - lgamma(d - a + k + 1) AS lp,
   lgamma(a + b + 1) + lgamma(c + d + 1) + lgamma(a + c + 1) + lgamma(b + d + 1) - lgamma(a + b + c + d + 1) - lgamma(a + 1) - lgamma(b + 1) - lgamma(c + 1) - lgamma(d + 1) AS l0 FROM x)
 SELECT c_nationkey, a, b, c, d, round(least(1.0, sum(CASE WHEN lp <= l0 + 1e-7 THEN exp(lp) ELSE 0 END)), 6) AS p_value FROM p GROUP BY ALL""")
-def fisher_nations_whole(read):
-    """fisher_nations over all orders."""
+def fisher_nations(read):
+    """Over all orders."""
     rows = read("orders").join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
     solved, urgent, low = F.col("o_orderstatus") == "F", F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority") == "5-LOW"
     t = rows.groupBy("c_nationkey").agg(F.count_if(solved & urgent).alias("a"), F.count_if(~solved & urgent).alias("b"), F.count_if(solved & low).alias("c"), F.count_if(~solved & low).alias("d"))

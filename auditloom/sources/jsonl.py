@@ -10,6 +10,7 @@ from auditloom.functions.text import decoded_list
 
 _S, _L, _D, _B = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
 _LIST = T.ArrayType(_S)
+_LONGS = T.ArrayType(_L)
 
 
 def _struct(**fields: T.DataType) -> T.StructType:
@@ -17,8 +18,8 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 
 CANDIDATE_PR = _struct(repo=_S, pr_number=_L, title=_S, body=_S, base_commit=_S, merge_commit=_S, diff_url=_S, resolved_issues=T.ArrayType(_L), resolved_jira_issues=_LIST, created_at=_S, merged_at=_S, link_confidence=_D)
-CANDIDATE = _struct(repo=_S, pr_number=_L, instance_id=_S, base_commit=_S, patch=_S, test_patch=_S, problem_statement=_S, hints_text=_S, created_at=_S, provenance=_S)
-TASK = _struct(repo=_S, instance_id=_S, base_commit=_S, patch=_S, test_patch=_S, problem_statement=_S, hints_text=_S, created_at=_S, version=_S, FAIL_TO_PASS=_S, PASS_TO_PASS=_S, environment_setup_commit=_S, language=_S, product=_S, image_name=_S)
+CANDIDATE = _struct(repo=_S, pr_number=_L, instance_id=_S, base_commit=_S, merge_commit=_S, patch=_S, test_patch=_S, problem_statement=_S, hints_text=_S, created_at=_S, resolved_issues=_LONGS, resolved_jira_issues=_LIST, merged_at=_S, link_confidence=_D, provenance=_S)
+TASK = _struct(repo=_S, instance_id=_S, base_commit=_S, patch=_S, test_patch=_S, problem_statement=_S, hints_text=_S, created_at=_S, version=_S, FAIL_TO_PASS=_S, PASS_TO_PASS=_S, environment_setup_commit=_S, language=_S, product=_S, image_name=_S, fix_merge_date=_S, provenance=_S, link_confidence=_D, repo_language=_S, n_fail_to_pass=_L, patch_lines=_L, files_touched=_L, cross_file=_B, env_spec_hash=_S, n_runs=_L, flake_count=_L, quarantined_tests=_LIST, decontamination_overlap=_B, decontamination_overlap_source=_S)
 EVAL = _struct(instance_id=_S, resolved=_B, agent_patch=_S, tests_passed=_LIST, tests_failed=_LIST, cost_usd=_D, error_message=_S)
 SPEC = _struct(language=_S, language_version=_S, go_version=_S, rust_version=_S, package_manager=_S, install_cmd=_S, build_cmd=_S, test_cmd=_S, module_mode=_S, workspace_mode=_S, workspace_members=_LIST, edition=_S, features=_S, goflags=_S, pre_install=_LIST, pip_packages=_LIST, system_dependencies=_LIST, base_image=_S, env_spec_hash=_S)
 
@@ -37,8 +38,8 @@ def read_strict(spark: SparkSession, path: str | list[str], schema: T.StructType
     lines = spark.read.text(path).where(F.trim("value") != "")
     extra = F.array_except(F.json_object_keys("value"), F.array(*[F.lit(f.name) for f in schema]))
     why = F.when(F.json_object_keys("value").isNull(), F.lit("a line is no JSON object")).when(F.size(extra) > 0, F.concat(F.lit("unknown keys: "), F.array_join(extra, ", ")))
-    checked = F.when(why.isNotNull(), F.raise_error(why)).otherwise(F.from_json("value", schema))
-    return lines.select(checked.alias("r")).select("r.*")
+    fine = F.when(why.isNotNull(), F.raise_error(why).cast("boolean")).otherwise(F.lit(True))  # a filter, so that it is checked whatever columns are read
+    return lines.where(fine).select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
 def tests_of(rows: DataFrame) -> DataFrame:
@@ -81,9 +82,16 @@ def read_sources(spark: SparkSession, path: str, suffix: str, excluded: str) ->
     return rows.where(~F.col("path").rlike(excluded))
 
 
+def ascii_json(text: Column) -> Column:
+    """JSON text with signs beyond ASCII as escapes of four small hexadecimal digits, two where a sign needs two."""
+    escaped = lambda c: F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\u$1")
+    signs = F.transform(F.regexp_extract_all(text, F.lit("(?s)(.)"), F.lit(1)), lambda c: F.when(F.ascii(c) > 127, escaped(c)).otherwise(c))
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.array_join(signs, "")).otherwise(text)
+
+
 def canonical_hash(fields: dict[str, Column]) -> Column:
     """sha256 of the fields as JSON with sorted keys; list fields must come sorted, nulls as empty."""
-    return F.sha2(F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)])).cast("binary"), 256)
+    return F.sha2(ascii_json(F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]))).cast("binary"), 256)
 
 
 #: Fields of each language's environment that its hash covers.
@@ -98,14 +106,15 @@ _LISTS = {"pre_install", "pip_packages", "system_dependencies", "workspace_membe
 
 def spec_hash(language: str) -> Column:
     value = lambda n: F.array_sort(F.coalesce(F.col(n), F.array().cast("array<string>"))) if n in _LISTS else F.coalesce(F.col(n), F.lit(""))
-    return canonical_hash({n: value(n) for n in HASHED[language]})
+    fields = {n: value(n) for n in HASHED[language]}
+    return canonical_hash(fields | {"language": F.coalesce(F.nullif("language", F.lit("")), F.lit(language))})
 
 
 def env_spec_hash() -> Column:
-    """The hash of a row of SPEC by its language; unknown languages count as Python."""
-    out = spec_hash("python")
-    for language in ("go", "java", "rust"):
-        out = F.when(F.col("language") == language, spec_hash(language)).otherwise(out)
+    """The hash of a row of SPEC by its language; a missing language counts as Go, an unknown one as Python."""
+    out, language = spec_hash("python"), F.coalesce(F.nullif("language", F.lit("")), F.lit("go"))
+    for name in ("go", "java", "rust"):
+        out = F.when(language == name, spec_hash(name)).otherwise(out)
     return out
 
 

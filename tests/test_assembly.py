@@ -69,3 +69,34 @@ def test_frames_and_relations(spark):
     assert {tuple(r) for r in assembly.relevant_assertions(asserted, spark.createDataFrame([("f",)], "target string")).collect()} == {(1, "f"), (2, "f")}
     issues = spark.createDataFrame([(1, 2, "t2", None), (1, 1, "t1", "b1")], "pr int, nth int, title string, body string")
     assert assembly.statement(issues, "pr", "nth").first()["problem_statement"] == "t1\nb1\n\nt2"
+
+
+def test_strict_read_raises_whatever_is_read(spark, tmp_path):
+    from auditloom.sources import jsonl
+
+    path = tmp_path / "x.jsonl"
+    path.write_text('{"instance_id": "a", "resolved": true, "unknown": 1}\n')
+    with pytest.raises(Exception, match="unknown"):
+        jsonl.read_strict(spark, str(path), jsonl.EVAL).count()
+
+
+def test_spec_hashes_as_canonical_ascii_json(spark):
+    import hashlib
+    import json
+
+    from auditloom.sources import jsonl
+
+    made = [{"language": "python", "language_version": "3.9", "install_cmd": "pip install é😀", "pip_packages": ["b", "a"]}, {"go_version": "1.21", "build_cmd": "go build"}, {"language": "rust", "rust_version": "1.7", "workspace_members": ["z", "y"]}, {"language": "java", "language_version": "17"}]
+    rows = spark.createDataFrame([tuple(m.get(f.name) for f in jsonl.SPEC) for m in made], jsonl.SPEC)
+    got = [r["h"] for r in rows.select(jsonl.env_spec_hash().alias("h")).collect()]
+    for m, h in zip(made, got, strict=True):
+        language = m.get("language", "go")
+        fields = {n: sorted(m.get(n, [])) if n in ("pre_install", "pip_packages", "system_dependencies", "workspace_members") else m.get(n, "") for n in jsonl.HASHED[language]} | {"language": language}
+        assert h == hashlib.sha256(json.dumps(fields, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+
+
+def test_shingles_are_of_word_signs(spark):
+    from auditloom.functions import text
+
+    df = spark.createDataFrame([("Foo, bar-baz; été", "foo bar baz été", "a b")], "a string, b string, c string")
+    assert tuple(df.select(text.trigram_jaccard(F.col("a"), F.col("b")), text.trigram_jaccard(F.col("a"), F.col("c"))).first()) == (1.0, 0.0)

@@ -1,4 +1,4 @@
-"""Queries over every row against brute force, where a query of the catalogue keeps to a subset of ids."""
+"""Queries over every row against brute force."""
 
 import math
 from collections import Counter, defaultdict
@@ -19,7 +19,7 @@ def rows(spark, table, *columns):
 def test_every_order_is_an_interval(spark):
     days = [(k, d.toordinal()) for k, d in rows(spark, "orders", "o_orderkey", "o_orderdate")]
     want = {k: sum(lo <= d <= lo + 3 for _, d in days) for k, lo in days}
-    assert {r["key"]: r["n"] for r in catalog.QUERIES["interval_join_whole"](spark, DATA).collect()} == want
+    assert {r["key"]: r["n"] for r in catalog.QUERIES["interval_join"](spark, DATA).collect()} == want
 
 
 def test_every_order_is_counted(spark):
@@ -28,7 +28,7 @@ def test_every_order_is_counted(spark):
     for customer, status, priority in rows(spark, "orders", "o_custkey", "o_orderstatus", "o_orderpriority"):
         if customer in nation:
             want[nation[customer]][("ab" if priority == "1-URGENT" else "cd" if priority == "5-LOW" else "--")[status != "F"]] += 1
-    got = catalog.QUERIES["fisher_nations_whole"](spark, DATA).collect()
+    got = catalog.QUERIES["fisher_nations"](spark, DATA).collect()
     assert {r["c_nationkey"]: tuple(r[x] for x in "abcd") for r in got} == {k: tuple(c[x] for x in "abcd") for k, c in want.items()}
 
 
@@ -46,7 +46,7 @@ def test_every_part_is_known(spark):
     parts = rows(spark, "part", "p_name", "p_size", "p_type")
     known = {p[0] for p in parts} | {"red", "small", "ECONOMY"}
     want = Counter(next(((level, o) for level, o in (("full", f"{n} {s}"), ("word", n.split(" ")[0]), ("type", t)) if o in known), (None, None)) for n, s, t in parts)
-    assert {(r["level"], r["key"]): r["n"] for r in catalog.QUERIES["snap_fallback_whole"](spark, DATA).collect()} == want
+    assert {(r["level"], r["key"]): r["n"] for r in catalog.QUERIES["snap_fallback"](spark, DATA).collect()} == want
 
 
 def test_every_document_has_a_turn(spark):
@@ -55,7 +55,7 @@ def test_every_document_has_a_turn(spark):
     for lang, i, _ in sorted(docs, key=lambda d: (-d[2], d[1])):
         seen[lang] += 1
         want.add((lang, i, seen[lang]))
-    got = [tuple(r) for r in catalog.QUERIES["interleave_whole"](spark, DATA).select("lang", "doc_id", "turn").collect()]
+    got = [tuple(r) for r in catalog.QUERIES["interleave"](spark, DATA).select("lang", "doc_id", "turn").collect()]
     assert len(got) == len(docs) and set(got) == want and max(seen.values()) > 20
 
 
@@ -66,4 +66,4 @@ def test_every_document_is_reference(spark):
         for key in (str(i * 3), t.rstrip()):
             found[key].add((i % 2, ("even", "odd")[i % 2]))
     want = {str(i): min(found[str(i)] | (found[t.rstrip()] if t is not None else set()) | ({(2, "copy")} if t is not None else set()), default=(0, None))[1] for i, t in docs}
-    assert {r["instance_id"]: r["source"] for r in catalog.QUERIES["decontam_first_source_whole"](spark, DATA).collect()} == want
+    assert {r["instance_id"]: r["source"] for r in catalog.QUERIES["decontam_first_source"](spark, DATA).collect()} == want
