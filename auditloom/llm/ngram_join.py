@@ -4,14 +4,17 @@ Documents with equal shingle sets are one class. All shingles are ordered by the
 corpus (from a count sketch of fixed width that every partition adds to) and by hash, rare ones first.
 Two sets at the threshold share ``l`` shingles among the first n - ceil(threshold n) + l of both, for any
 l; a document takes the l whose prefix costs least by those counts, candidates being fewer the more
-shingles they must share. Pairs that share at least the smaller l of theirs are verified on whole sets.
+shingles they must share. Pairs that share at least the smaller l of theirs, counted over the prefix
+shingles that a round looks at, are verified on whole sets; no pair is verified on fewer.
 
 A shingle that many classes hold in their prefix would give pairs by the square. So each shingle's
 classes are compared with one of them first, the one whose prefix is held by most others. What follows
 goes only across the components that the links found so far leave: all pairs where at most ``SMALL``
-classes hold a shingle, else a few partners, then more, and at last all. A large group of near copies
-falls together after the first rounds, and no link between classes of different components is lost.
+classes hold a shingle, else a few partners, then more, and at last all, of all shingles. A pair that a
+round's shingles leave short of its number waits for the last one, which counts all. A large group of near copies falls
+together after the first rounds, and no link between classes of different components is lost.
 
+Shingles that more than ``HOT`` documents may hold are dealt in parts, and their partners to each part.
 A pair is dropped before its texts are moved if the places of a shared shingle prove it too far apart:
 what both hold before it is at most what either's prefix shares with anyone, and what they hold after
 it at most what either has left.
@@ -32,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import components, dropped, narrowed, python_batches, saved, shuffle_parts, widened
+from auditloom.llm.common import FEW_KEYS, components, dropped, narrowed, python_batches, saved, shuffle_parts, widened, without_rows
 from auditloom.llm.shingles import mixed, shingle_sets
 
 SHINGLE = 5
@@ -48,6 +51,10 @@ VERIFY_COST = 20.0
 ROUNDS = (8, 64)
 #: Partners whose texts stand with a copy of one text.
 CHUNK = 64
+#: Documents of one shingle, by the sketch, that stand in one part.
+HOT = 1 << 16
+#: What a class brings to a pair.
+FIELDS = ("set", "n", "shared", "label", "place", "nth")
 
 
 def set_key(tokens: np.ndarray) -> int:
@@ -60,26 +67,16 @@ def set_key(tokens: np.ndarray) -> int:
 
 def described(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """(id, n, set): each document's set size and key; and (block, cells, counts) of the partition's sketch."""
-    counters, waiting, held = np.zeros(1 << SKETCH_BITS, np.int32), [], 0
+    counters = np.zeros(1 << SKETCH_BITS, np.int32)
     mask, kind = np.uint64((1 << SKETCH_BITS) - 1), pa.int64()
-
-    def add() -> None:
-        nonlocal waiting, held
-        if waiting:
-            counters[:] += np.bincount((np.concatenate(waiting) & mask).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.int32)
-        waiting, held = [], 0
-
     names = ["id", "n", "set", "block", "cells", "counts"]
     for batch in batches:
         kind = batch.schema.field(0).type
         sets = shingle_sets(batch.column(1), k)
-        waiting += sets
-        held += sum(map(len, sets))
-        if held > 1 << 21:
-            add()
+        for s in sets:
+            np.add.at(counters, (s & mask).astype(np.int64), 1)
         m = len(sets)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], names=names)
-    add()
     blocks, cells, counts = [], [], []
     for b in range(1 << (SKETCH_BITS - BLOCK_BITS)):
         part = counters[b << BLOCK_BITS : (b + 1) << BLOCK_BITS]
@@ -125,21 +122,23 @@ def prefix(tokens: np.ndarray, sketch: np.ndarray, floor: float, percent: int) -
     return tokens[order[: lengths[best]]], best + 1
 
 
-def postings(batches: Iterator[pa.RecordBatch], sketch, k: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """(token, set, n, shared, place) for each shingle of each document's prefix, the first at place 1."""
-    counts = sketch.value
-    floor = float(np.median(counts))
+def postings(batches: Iterator[pa.RecordBatch], shared, k: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """(token, set, n, shared, place, part, parts) for each shingle of each document's prefix, the first at place 1."""
+    counts, floor = shared.value
+    cell = np.uint64(len(counts) - 1)
     for batch in batches:
-        parts = []
+        found = []
         for s in shingle_sets(batch.column(0), k):
             if len(s):
-                tokens, shared = prefix(s, counts, floor, percent)
-                parts.append((tokens, set_key(s), len(s), shared))
-        if parts:
-            sizes = [len(p[0]) for p in parts]
-            arrays = [np.concatenate([p[0] for p in parts]).view(np.int64), *(np.repeat(np.array([p[i] for p in parts], np.int64), sizes) for i in (1, 2, 3))]
-            arrays.append(np.concatenate([np.arange(1, n + 1) for n in sizes]))
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["token", "set", "n", "shared", "place"])
+                tokens, least = prefix(s, counts, floor, percent)
+                found.append((tokens, set_key(s), len(s), least))
+        if found:
+            sizes = [len(p[0]) for p in found]
+            token = np.concatenate([p[0] for p in found])
+            sets, n, least = (np.repeat(np.array([p[i] for p in found], np.int64), sizes) for i in (1, 2, 3))
+            parts = 1 + np.maximum(counts[(token & cell).astype(np.int64)] - int(floor), 0) // HOT
+            arrays = [token.view(np.int64), sets, n, least, np.concatenate([np.arange(1, m + 1) for m in sizes]), (sets % parts).astype(np.int32), parts.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["token", "set", "n", "shared", "place", "part", "parts"])
 
 
 def with_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -172,81 +171,117 @@ def verified(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterato
 
 
 def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold. A text goes once to every CHUNK of its partners."""
+    """The pairs (a, b) whose sets reach the threshold. Only texts of a pair move, and one goes once to every CHUNK of its partners."""
     parts = shuffle_parts(pairs.sparkSession)
+    wanted = saved(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct())
+    few = wanted.count() <= FEW_KEYS
+    near = saved(texts.join(F.broadcast(wanted) if few else wanted.hint("merge"), "set", "left_semi").dropDuplicates(["set"]))
     sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners"))
     dealt = pairs.join(sizes, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.expr(f"partners div {CHUNK} + 1")).cast("int")).select("a", "part", "b")
     dealt = saved(dealt)
-    own = dealt.select("a", "part").distinct().join(texts.withColumnRenamed("set", "a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "text")
-    other = dealt.join(texts.withColumnRenamed("set", "b"), "b").select("a", "part", "b", "text")
+    own = dealt.select("a", "part").distinct().join(near.withColumnRenamed("set", "a").hint("merge"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "text")
+    other = dealt.join(near.withColumnRenamed("set", "b").hint("merge"), "b").select("a", "part", "b", "text")
     rows = own.union(other).repartition(parts, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
     out = saved(rows.mapInArrow(lambda x: verified(x, k, percent), "a long, b long"))
-    dropped(dealt)
+    dropped(wanted, near, dealt)
     return out
 
 
+def each_part(rows: DataFrame) -> DataFrame:
+    """rows once for each part of their shingle."""
+    return rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+
+
 def possible_pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """(a, b, token, least), a < b: classes of different components with a shared shingle that doesn't prove them apart."""
+    """(a, b, common, least), a < b, from shingles that ``left`` holds and ``right``, a part of it, too.
+
+    Classes are of different components; left rows that are in right have ``chosen`` set, so that a
+    pair comes once a shingle. common: how many shingles the two share here that don't prove them apart.
+    """
     there = {"set": "b", "n": "m", "shared": "shared_b", "label": "label_b", "place": "place_b", "nth": "nth_b"}
-    r = right.select(F.col("token").alias("token_b"), *[F.col(k).alias(v) for k, v in there.items()])
+    r = each_part(right.select("token", "parts", *FIELDS)).select(F.col("token").alias("token_b"), F.col("part").alias("part_b"), *[F.col(k).alias(v) for k, v in there.items()])
     most = F.least("nth", "nth_b") + F.least(F.col("n") - F.col("place"), F.col("m") - F.col("place_b"))
     near = most * (100 + percent) >= (F.col("n") + F.col("m")) * percent
-    on = (F.col("token") == F.col("token_b")) & (F.col("set") != F.col("b")) & (F.col("label") != F.col("label_b")) & near
-    both = left.join(r, on)
-    return both.select(F.least("set", "b").alias("a"), F.greatest("set", "b").alias("b"), "token", F.least("shared", "shared_b").alias("least"))
-
-
-def relabelled(held: DataFrame, links: DataFrame) -> DataFrame:
-    """held with the components that the links make, without the shingles whose classes are all in one."""
-    labels = components(links).withColumnRenamed("node", "set")
-    fresh = saved(held.drop("label", "classes").join(labels, "set", "left").withColumn("label", F.coalesce("label", "set")))
-    split = fresh.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("classes")).filter("lo <> hi").select("token", "classes")
-    out = saved(fresh.join(split, "token"))
+    once = (F.col("set") < F.col("b")) | (~F.col("chosen") & (F.col("set") != F.col("b")))
+    both = left.join(r.hint("merge"), (F.col("token") == F.col("token_b")) & (F.col("part") == F.col("part_b")) & once & (F.col("label") != F.col("label_b")) & near)
+    pairs = both.select(F.least("set", "b").alias("a"), F.greatest("set", "b").alias("b"), F.least("shared", "shared_b").alias("least"))
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"), F.first("least").alias("least"))
+
+
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(set, label) of the classes in any link so far; only the links' components are sought, among labels."""
+    if labels is None:
+        return components(links).withColumnRenamed("node", "set")
+    for side in ("a", "b"):
+        links = links.join(labels.select(F.col("set").alias(side), F.col("label").alias("of")), side, "left").withColumn(side, F.coalesce("of", side)).drop("of")
+    more = components(links.filter("a <> b"))
+    fresh = labels.join(more.select(F.col("node").alias("label"), F.col("label").alias("low")), "label", "left").select("set", F.coalesce("low", "label").alias("label"))
+    alone = more.withColumnRenamed("node", "set").join(labels, "set", "left_anti")
+    return saved(fresh.union(alone.select("set", "label")))
+
+
+def relabelled(held: DataFrame, labels: DataFrame) -> DataFrame:
+    """held with labels, without the shingles whose classes are all in one component."""
+    fresh = saved(held.drop("label", "classes").join(labels.hint("merge"), "set", "left").withColumn("label", F.coalesce("label", "set")))
+    split = fresh.groupBy("token", "parts").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("classes")).filter("lo <> hi")
+    out = saved(fresh.drop("parts").join(each_part(split).drop("lo", "hi").hint("merge"), ["token", "part"]))
     dropped(fresh)
     return out
 
 
-def links(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFrame:
-    """Links (a, b) between classes that join all classes of a component."""
+def shared_shingles(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFrame:
+    """(token, part, parts, classes, weight, FIELDS): the prefix shingles of each class that another holds too."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(sketch)
-    rows = docs.select("text").mapInArrow(lambda b: postings(b, shared, k, percent), "token long, set long, n long, shared long, place long")
-    firsts = [F.first(c).alias(c) for c in ("n", "shared", "place")]
-    single = rows.repartition(shuffle_parts(spark), "token").groupBy("token", "set").agg(*firsts)  # dealt once for this, the count and the filter
-    held = single.withColumn("classes", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("classes > 1")
+    shared = spark.sparkContext.broadcast((sketch, float(np.median(sketch))))
+    rows = docs.select("text").mapInArrow(lambda b: postings(b, shared, k, percent), "token long, set long, n long, shared long, place long, part int, parts int")
+    where = ["token", "part", "parts"]
+    single = rows.repartition(shuffle_parts(spark), "token", "part").groupBy(*where, "set").agg(*[F.first(c).alias(c) for c in ("n", "shared", "place")])
+    counted = saved(single.withColumn("classes", F.count(F.lit(1)).over(Window.partitionBy(*where))).filter("classes > 1 or parts > 1"))
+    shared.destroy()
+    cold, hot = counted.filter("parts = 1"), counted.filter("parts > 1").drop("classes")
+    sums = hot.groupBy("token", "parts").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+    both = cold.unionByName(hot.drop("parts").join(each_part(sums), ["token", "part"]))
     nth = F.row_number().over(Window.partitionBy("set").orderBy("place")).cast("long")
     weight = F.sum("classes").over(Window.partitionBy("set"))
-    held = saved(held.withColumn("nth", nth).withColumn("weight", weight).withColumn("label", F.col("set")))
-    wanted = held.select("set").distinct()
-    texts = saved(docs.select("text").mapInArrow(lambda b: with_sets(b, k), "set long, text binary").join(wanted.hint("merge"), "set", "left_semi").dropDuplicates(["set"]))
+    held = saved(both.withColumn("nth", nth).withColumn("weight", weight).withColumn("label", F.col("set")))
+    dropped(counted)
+    return held
+
+
+def topped(pairs: DataFrame, rare: DataFrame) -> DataFrame:
+    """pairs, those short of their number with what they share in rare added to ``common``."""
+    left, right = rare.select(F.col("set").alias("a"), "token"), rare.select(F.col("set").alias("b"), "token")
+    more = pairs.filter("common < least").join(left, "a").join(right, ["b", "token"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("more"))
+    return pairs.join(more, ["a", "b"], "left").select("a", "b", (F.col("common") + F.coalesce("more", F.lit(0))).alias("common"), "least")
 
-    fields = ("set", "n", "shared", "label", "place", "nth")
-    central = held.groupBy("token").agg(F.max_by(F.struct(*fields), F.struct("weight", F.xxhash64("set"))).alias("one")).select("token", "one.*")
-    tested = saved(possible_pairs(held, central, percent).select("a", "b").distinct())
+
+def class_components(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFrame:
+    """(set, label) for each class that links with another."""
+    held = shared_shingles(docs, sketch, k, percent)
+    texts = saved(docs.select("text").mapInArrow(lambda b: with_sets(b, k), "set long, text binary").filter("set <> 0"))
+    enough = lambda pairs: pairs.filter("common >= least").select("a", "b")
+
+    central = held.groupBy("token", "parts").agg(F.max_by(F.struct(*FIELDS), F.struct("weight", F.xxhash64("set"))).alias("one")).select("token", "parts", "one.*")
+    tested = saved(enough(possible_pairs(held.withColumn("chosen", F.lit(False)), central, percent)))
     found = verify(tested, texts, k, percent)
-    last, held = held, relabelled(held, found)
-    dropped(last)
+    labels = merged(None, found)
+    last, held = held, relabelled(held, labels)
+    dropped(last, found)
+    rare, frequent = held.filter(F.col("classes") <= SMALL), held.filter(F.col("classes") > SMALL)
     for most in (*ROUNDS, None):
-        if not held.limit(1).count():
-            break
-        frequent = held.filter(F.col("classes") > SMALL)
-        few = frequent if most is None else frequent.filter(F.pmod(F.xxhash64("set", F.lit(most)), F.col("classes")) < most)
-        pairs = possible_pairs(frequent, few, percent).select("a", "b")
-        if most == ROUNDS[0]:
-            rare = held.filter(F.col("classes") <= SMALL)
-            small = possible_pairs(rare, rare, percent).groupBy("a", "b").agg(F.count_distinct("token").alias("common"), F.first("least").alias("least"))
-            pairs = pairs.union(small.filter("common >= least").select("a", "b"))
-        pairs = saved(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
-        fresh = verify(pairs, texts, k, percent)
-        more, seen = saved(found.union(fresh)), saved(tested.union(pairs))
-        dropped(found, tested, pairs, fresh)
-        found, tested = more, seen
-        if not frequent.limit(1).count():
+        few = F.pmod(F.xxhash64("set", F.lit(most)), F.col("classes")) < most if most else F.lit(True)
+        rows, chosen = (held, few | (F.col("classes") <= SMALL)) if most == ROUNDS[0] else (frequent, few)
+        if not rows.limit(1).count():
             break
-        last, held = held, relabelled(frequent, found)
-        dropped(last)
-    dropped(held, texts, tested)
-    return found
+        pairs = possible_pairs(rows.withColumn("chosen", chosen), rows.filter(chosen), percent)
+        pairs = saved(enough(pairs if most else topped(saved(pairs), rare)).join(tested, ["a", "b"], "left_anti"))
+        found = verify(pairs, texts, k, percent)
+        seen, known = saved(tested.union(pairs)), merged(labels, found)
+        last, frequent = frequent, relabelled(frequent, known)
+        dropped(tested, pairs, labels, found, last)
+        tested, labels = seen, known
+    dropped(held, frequent, texts, tested)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id") -> DataFrame:
@@ -256,23 +291,21 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, d
     schema = f"id {docs.schema['id'].dataType.simpleString()}, n long, set long, block int, cells binary, counts binary"
     seen = saved(docs.mapInArrow(lambda b: described(b, k), schema))
     rows = seen.filter("block is null").select("id", "n", "set")
-    found = links(docs, sketch_of(seen.filter("block is not null").select("block", "cells", "counts")), k, percent)
-    labelled = rows.join(components(found).withColumnRenamed("node", "set"), "set", "left").withColumn("label", F.coalesce("label", "set"))
-    labelled = saved(labelled)
+    labels = class_components(docs, sketch_of(seen.filter("block is not null").select("block", "cells", "counts")), k, percent)
+    labelled = saved(rows.join(labels.hint("merge"), "set", "left").withColumn("label", F.coalesce("label", "set")))
+    dropped(seen, labels)
     least = labelled.filter("n > 0").groupBy("label").agg(F.min("id").alias("least"))
-    out = labelled.join(least, "label", "left")
+    out = labelled.join(least.hint("merge"), "label", "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of docs, with their columns, of which each component keeps the one with the smallest doc_id (nulls last, one of equals)."""
-    total, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
-    if total == ids:  # an id names a row, so the texts needn't be written to tell rows apart
-        kept = near_duplicates(docs, k, percent).where("component_id = doc_id").select("doc_id")
-        return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
     used = ["doc_id", "text"]
     rows = saved(narrowed(docs, used).withColumn("_row", F.monotonically_increasing_id()))
     groups = near_duplicates(rows, k, percent, "_row").select(F.col("doc_id").alias("_row"), "component_id")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
-    kept = rows.select("_row", "doc_id").join(groups, "_row").groupBy("component_id").agg(first.alias("first")).select("first._row")
-    return widened(rows.join(kept, "_row", "left_semi"), docs.columns, used)
+    groups = saved(rows.select("_row", "doc_id").join(groups, "_row"))
+    kept = groups.groupBy("component_id").agg(first.alias("first")).select("first._row")
+    gone = groups.select("_row").join(kept, "_row", "left_anti")
+    return widened(without_rows(rows, gone, "_row"), docs.columns, used)
