@@ -66,17 +66,17 @@ def set_key(tokens: np.ndarray) -> int:
 
 
 def described(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """(id, n, set): each document's set size and key; and (block, cells, counts) of the partition's sketch."""
+    """(id, n, set, text_key): each document's set size and key, of rows (id, text, text_key); and (block, cells, counts) of the partition's sketch."""
     counters = np.zeros(1 << SKETCH_BITS, np.int32)
     mask, kind = np.uint64((1 << SKETCH_BITS) - 1), pa.int64()
-    names = ["id", "n", "set", "block", "cells", "counts"]
+    names = ["id", "n", "set", "text_key", "block", "cells", "counts"]
     for batch in batches:
         kind = batch.schema.field(0).type
         sets = shingle_sets(batch.column(1), k)
         for s in sets:
             np.add.at(counters, (s & mask).astype(np.int64), 1)
         m = len(sets)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), batch.column(2), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], names=names)
     blocks, cells, counts = [], [], []
     for b in range(1 << (SKETCH_BITS - BLOCK_BITS)):
         part = counters[b << BLOCK_BITS : (b + 1) << BLOCK_BITS]
@@ -87,7 +87,7 @@ def described(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
             counts.append(part[at].tobytes())
     m = len(blocks)
     if m:
-        yield pa.RecordBatch.from_arrays([pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(blocks, pa.int32()), pa.array(cells, pa.binary()), pa.array(counts, pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(m, kind), *[pa.nulls(m, pa.int64())] * 3, pa.array(blocks, pa.int32()), pa.array(cells, pa.binary()), pa.array(counts, pa.binary())], names=names)
 
 
 def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,12 +170,23 @@ def verified(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterato
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
 
 
-def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def texts_of(wanted: DataFrame, docs: DataFrame, keys: DataFrame, k: int) -> DataFrame:
+    """(set, text) for the wanted sets, one text each. The texts are found by their hash as docs is read again, so that no copy of all is kept."""
+    few = wanted.count() <= FEW_KEYS
+    side = lambda df: F.broadcast(df) if few else df.hint("merge")
+    named = saved(keys.join(side(wanted), "set", "left_semi").groupBy("set").agg(F.min("text_key").alias("text_key")).select("text_key").distinct())
+    found = docs.select("text").withColumn("text_key", F.xxhash64("text")).join(side(named), "text_key", "left_semi")
+    rows = found.select("text").mapInArrow(lambda b: with_sets(b, k), "set long, text binary")
+    near = saved(rows.join(side(wanted), "set", "left_semi").dropDuplicates(["set"]))
+    dropped(named)
+    return near
+
+
+def verify(pairs: DataFrame, docs: DataFrame, keys: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold. Only texts of a pair move, and one goes once to every CHUNK of its partners."""
     parts = shuffle_parts(pairs.sparkSession)
     wanted = saved(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct())
-    few = wanted.count() <= FEW_KEYS
-    near = saved(texts.join(F.broadcast(wanted) if few else wanted.hint("merge"), "set", "left_semi").dropDuplicates(["set"]))
+    near = texts_of(wanted, docs, keys, k)
     sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners"))
     dealt = pairs.join(sizes, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.expr(f"partners div {CHUNK} + 1")).cast("int")).select("a", "part", "b")
     dealt = saved(dealt)
@@ -255,15 +266,14 @@ def topped(pairs: DataFrame, rare: DataFrame) -> DataFrame:
     return pairs.join(more, ["a", "b"], "left").select("a", "b", (F.col("common") + F.coalesce("more", F.lit(0))).alias("common"), "least")
 
 
-def class_components(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFrame:
+def class_components(docs: DataFrame, keys: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFrame:
     """(set, label) for each class that links with another."""
     held = shared_shingles(docs, sketch, k, percent)
-    texts = saved(docs.select("text").mapInArrow(lambda b: with_sets(b, k), "set long, text binary").filter("set <> 0"))
     enough = lambda pairs: pairs.filter("common >= least").select("a", "b")
 
     central = held.groupBy("token", "parts").agg(F.max_by(F.struct(*FIELDS), F.struct("weight", F.xxhash64("set"))).alias("one")).select("token", "parts", "one.*")
     tested = saved(enough(possible_pairs(held.withColumn("chosen", F.lit(False)), central, percent)))
-    found = verify(tested, texts, k, percent)
+    found = verify(tested, docs, keys, k, percent)
     labels = merged(None, found)
     last, held = held, relabelled(held, labels)
     dropped(last, found)
@@ -275,12 +285,12 @@ def class_components(docs: DataFrame, sketch: np.ndarray, k: int, percent: int)
             break
         pairs = possible_pairs(rows.withColumn("chosen", chosen), rows.filter(chosen), percent)
         pairs = saved(enough(pairs if most else topped(saved(pairs), rare)).join(tested, ["a", "b"], "left_anti"))
-        found = verify(pairs, texts, k, percent)
+        found = verify(pairs, docs, keys, k, percent)
         seen, known = saved(tested.union(pairs)), merged(labels, found)
         last, frequent = frequent, relabelled(frequent, known)
         dropped(tested, pairs, labels, found, last)
         tested, labels = seen, known
-    dropped(held, frequent, texts, tested)
+    dropped(held, frequent, tested)
     return labels
 
 
@@ -288,10 +298,11 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, d
     """(doc_id, n_shingles, component_id) for each row of docs: who reaches whom by links of Jaccard >= percent / 100."""
     python_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("id"), "text")
-    schema = f"id {docs.schema['id'].dataType.simpleString()}, n long, set long, block int, cells binary, counts binary"
-    seen = saved(docs.mapInArrow(lambda b: described(b, k), schema))
+    schema = f"id {docs.schema['id'].dataType.simpleString()}, n long, set long, text_key long, block int, cells binary, counts binary"
+    seen = saved(docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(lambda b: described(b, k), schema))
     rows = seen.filter("block is null").select("id", "n", "set")
-    labels = class_components(docs, sketch_of(seen.filter("block is not null").select("block", "cells", "counts")), k, percent)
+    keys = seen.filter("block is null and n > 0").select("set", "text_key")
+    labels = class_components(docs, keys, sketch_of(seen.filter("block is not null").select("block", "cells", "counts")), k, percent)
     labelled = saved(rows.join(labels.hint("merge"), "set", "left").withColumn("label", F.coalesce("label", "set")))
     dropped(seen, labels)
     least = labelled.filter("n > 0").groupBy("label").agg(F.min("id").alias("least"))
