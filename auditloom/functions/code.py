@@ -119,6 +119,20 @@ def unified_diff(before: pd.Series, after: pd.Series, path: pd.Series) -> pd.Ser
     return pd.Series(out)
 
 
+@F.pandas_udf(T.StringType())
+def unchanged_kept(original: pd.Series, changed: pd.Series) -> pd.Series:
+    """The changed code with every line that the original has too, white space at its ends aside, as the original has it (C-46)."""
+
+    def kept(x: str | None, y: str | None) -> str:
+        old, new = (x or "").splitlines(), (y or "").splitlines()
+        same = difflib.SequenceMatcher(None, [line.strip() for line in old], [line.strip() for line in new])
+        for block in same.get_matching_blocks():
+            new[block.b : block.b + block.size] = old[block.a : block.a + block.size]
+        return "\n".join(new)
+
+    return pd.Series([kept(x, y) for x, y in zip(original, changed, strict=True)])
+
+
 @F.pandas_udf(T.IntegerType())
 def found_at(text: pd.Series, snippet: pd.Series) -> pd.Series:
     """Line at which the snippet stands, white space at line ends aside; else the most alike window, from 0.85 on; 0 if none."""

@@ -280,3 +280,13 @@ def python_assertions(c: Column) -> Column:
         return F.struct(kind.alias("type"), part(1).alias("expression"), first_of(part(2)).alias("expected"), called_function(part(1)).alias("called_function"), x["line"].alias("line"))
 
     return F.filter(F.transform(lines, parsed), lambda a: a["type"].isNotNull())
+
+
+def indented_as(changed: Column, original: Column) -> Column:
+    """The changed code moved so that its first line with text stands as far in as the original's; blank lines become empty (C-46)."""
+    lines = F.split(F.regexp_replace(blank(changed), r"\r?\n\z", ""), r"\r\n|\r|\n")
+    depth = lambda c: F.length(F.regexp_extract(c, r"^(?:\s*\n)?([^\S\n]*)\S", 1))
+    more = depth(blank(original)) - depth(blank(changed))
+    empty = lambda c: blank(c).rlike(r"^\s*$")
+    moved = lambda x: F.when(empty(x), "").when(more > 0, F.concat(F.repeat(F.lit(" "), more), x)).otherwise(F.substring(x, F.least(-more, F.length(F.regexp_extract(x, r"^(\s*)", 1))) + 1, F.length(x)))
+    return F.when((more == 0) | empty(original) | empty(changed), blank(changed)).otherwise(F.array_join(F.transform(lines, moved), "\n"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from auditloom.sources.sinks import append_unseen
+from auditloom.sources.sinks import append_unseen, existing
 
 
 def landed(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None, format: str = "json") -> DataFrame:
@@ -46,3 +46,18 @@ def stage(spark: SparkSession, source: str, schema: StructType, where: Column, c
     """One stage of a chain: landed rows that meet the condition, projected, to the folder that the next stage reads."""
     rows = landed(spark, source, schema).where(where).select(*columns)
     return rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).format("json").start(path)
+
+
+def snapshots(stream: DataFrame, path: str, checkpoint: str, key: str = "instance_id", every: str | None = None) -> StreamingQuery:
+    """All rows so far, written anew with each batch as a folder of the batch's number; the folder with the largest is whole (K-15, T-09).
+
+    A batch that runs again overwrites its own folder, which it makes from the one before it.
+    """
+
+    def write(rows: DataFrame, batch: int) -> None:
+        before = existing(rows.sparkSession, f"{path}/{batch - 1}", rows.schema)
+        fresh = rows.dropDuplicates([key])
+        before.join(fresh.select(key), key, "left_anti").select(*rows.columns).unionByName(fresh).write.mode("overwrite").json(f"{path}/{batch}")
+
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
