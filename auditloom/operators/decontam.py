@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditloom.functions import text
 
+#: Passages without a key that are sent to all documents at once.
+BLOCK = 10_000
+
 
 def contaminated(instances: DataFrame, reference: DataFrame) -> DataFrame:
     """Instances with source: the first source (by source_order) that has their id or their patch hash; null if none.
@@ -43,11 +48,25 @@ def shared_shingles(left: DataFrame, right: DataFrame, n: int = 3) -> DataFrame:
 
 
 def containing(docs: DataFrame, passages: DataFrame, words: int = 8) -> DataFrame:
-    """(doc_id, item_id) where the document contains the passage: candidates share its first words, then the whole text decides."""
-    keyed = passages.withColumn("_w", text.words(F.col("passage"))).withColumn("key", F.array_join(F.slice("_w", 2, words), " ")).where(F.size("_w") > words + 1)
-    short = passages.withColumn("_w", text.words(F.col("passage"))).where(F.size("_w") <= words + 1)
-    runs = F.array_distinct(text.word_runs(text.words(F.col("text")), words))
-    found = docs.select("doc_id", "text", F.explode(runs).alias("key")).join(F.broadcast(keyed.select("item_id", "passage", "key")), "key")
-    found = found.where(F.contains("text", "passage")).select("doc_id", "item_id").distinct()
-    few = docs.join(F.broadcast(short.select("item_id", "passage")), F.contains("text", "passage")).select("doc_id", "item_id")
-    return found.union(few)
+    """(doc_id, item_id), once each, where the document contains the passage.
+
+    The words of a passage but its first and last stand whole in any text that contains it, so its key is
+    the first of them, at most ``words``; documents give the hashes of their runs of the lengths in use and
+    neither side carries its text to the candidates. The texts of candidates decide. Passages of one or two
+    words have no such key: they are a query set held against all documents in blocks of ``BLOCK``.
+    """
+    sized = passages.select("item_id", "passage").withColumn("_w", text.words(F.col("passage"))).withColumn("_n", F.least(F.lit(words), F.size("_w") - 2))
+    counts = {r["_n"]: r["n"] for r in sized.groupBy("_n").agg(F.count(F.lit(1)).alias("n")).collect()}  # words + 3 rows at most
+    lengths = sorted(n for n in counts if n > 0)
+    found = []
+    if lengths:
+        keyed = sized.where("_n > 0").select("item_id", F.xxhash64(F.array_join(F.slice("_w", 2, F.greatest("_n", F.lit(0))), " ")).alias("key"))
+        runs = F.array_distinct(F.transform(F.flatten(F.array(*[text.word_runs(text.words(F.col("text")), n) for n in lengths])), lambda r: F.xxhash64(r)))
+        pairs = docs.select("doc_id", F.explode(runs).alias("key")).join(keyed, "key").select("doc_id", "item_id").distinct()
+        found.append(pairs.join(docs.select("doc_id", "text"), "doc_id").join(passages.select("item_id", "passage"), "item_id").where(F.contains("text", "passage")))
+    blocks = -(-sum(n for size, n in counts.items() if size <= 0) // BLOCK)
+    for k in range(blocks):
+        part = sized.where((F.col("_n") <= 0) & (F.pmod(F.xxhash64("item_id", "passage"), F.lit(blocks)) == k)).select("item_id", "passage")
+        found.append(docs.select("doc_id", "text").join(F.broadcast(part), F.contains("text", "passage")))  # about BLOCK passages of two words at most
+    parts = [f.select("doc_id", "item_id") for f in found] or [docs.select("doc_id").join(passages.select("item_id").limit(0), F.lit(False))]
+    return reduce(DataFrame.union, parts).distinct()

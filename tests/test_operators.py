@@ -151,3 +151,22 @@ def test_stream_equals_batch(spark, tmp_path):
         landed.write.mode("append").json(str(tmp_path / "json"))
         streams.to_lines(streams.landed(spark, str(tmp_path / "json"), landed.schema), str(tmp_path / "lines"), str(tmp_path / "ck2")).awaitTermination()
         assert spark.read.schema(landed.schema).json(str(tmp_path / "lines")).count() == 2
+
+
+def test_containing_is_brute_force_containment(spark, monkeypatch):
+    import random
+
+    from auditloom.operators import decontam
+
+    draw = random.Random(3)
+    texts = [" ".join(draw.choice(("a", "bb", "abc", "c", "\n")) for _ in range(draw.randint(0, 40))) for _ in range(60)] + [None, ""]
+    cut = [t[i : i + draw.randint(1, 45)] for t in texts[:60] if t for i in (draw.randrange(len(t)),)]
+    passages = [*cut, "a", "b c", "zz", "abc abc a", " a ", "", None, *cut[:3]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    items = spark.createDataFrame(list(enumerate(passages)), "item_id int, passage string")
+    want = {(d, i) for d, t in enumerate(texts) for i, p in enumerate(passages) if t is not None and p is not None and p in t}
+    for block in (decontam.BLOCK, 4):
+        monkeypatch.setattr(decontam, "BLOCK", block)
+        got = [tuple(r) for r in decontam.containing(docs, items).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert decontam.containing(docs, items.limit(0)).count() == 0 and decontam.containing(docs.limit(0), items).count() == 0
