@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -68,6 +72,21 @@ def python_batches(spark: SparkSession) -> None:
             spark.conf.set(f"spark.sql.execution.arrow.{name}", most)
 
 
+def frugal(stage: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A stage's function of batches that returns freed memory to the system at its end: Spark reuses the worker for other stages."""
+
+    @functools.wraps(stage)
+    def run(*args, **kwargs) -> Iterator:
+        try:
+            yield from stage(*args, **kwargs)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return run
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

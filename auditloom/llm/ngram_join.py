@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import FEW_KEYS, components, dropped, narrowed, python_batches, saved, shuffle_parts, widened, without_rows
+from auditloom.llm.common import FEW_KEYS, components, dropped, frugal, narrowed, python_batches, saved, shuffle_parts, widened, without_rows
 from auditloom.llm.shingles import mixed, shingle_sets
 
 SHINGLE = 5
@@ -65,6 +65,7 @@ def set_key(tokens: np.ndarray) -> int:
     return int(mixed(h[:1] * np.uint64(3) + h[1:])[0].astype(np.int64))
 
 
+@frugal
 def described(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """(id, n, set, text_key): each document's set size and key, of rows (id, text, text_key); and (block, cells, counts) of the partition's sketch."""
     counters = np.zeros(1 << SKETCH_BITS, np.int32)
@@ -90,6 +91,7 @@ def described(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.nulls(m, kind), *[pa.nulls(m, pa.int64())] * 3, pa.array(blocks, pa.int32()), pa.array(cells, pa.binary()), pa.array(counts, pa.binary())], names=names)
 
 
+@frugal
 def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row a block: the sums of its counters."""
     total: dict[int, np.ndarray] = {}
@@ -122,6 +124,7 @@ def prefix(tokens: np.ndarray, sketch: np.ndarray, floor: float, percent: int) -
     return tokens[order[: lengths[best]]], best + 1
 
 
+@frugal
 def postings(batches: Iterator[pa.RecordBatch], shared, k: int, percent: int) -> Iterator[pa.RecordBatch]:
     """(token, set, n, shared, place, part, parts) for each shingle of each document's prefix, the first at place 1."""
     counts, floor = shared.value
@@ -141,6 +144,7 @@ def postings(batches: Iterator[pa.RecordBatch], shared, k: int, percent: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["token", "set", "n", "shared", "place", "part", "parts"])
 
 
+@frugal
 def with_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """(set, text): the text compressed, which it stays until it is verified."""
     squeeze = zstandard.ZstdCompressor(level=3).compress
@@ -150,6 +154,7 @@ def with_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([keys, texts], names=["set", "text"])
 
 
+@frugal
 def verified(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Links among rows (a, part, b, text) sorted so that a's own text (b null) comes before its partners'."""
     current, own = None, np.zeros(0, np.uint64)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import python_batches, saved
+from auditloom.llm.common import frugal, python_batches, saved
 from auditloom.llm.shingles import span_keys, word_spans
 
 SEQUENCE = 4096
@@ -32,7 +32,7 @@ END_ID = 1
 #: Words of which a Python worker remembers the ids; then it starts anew.
 REMEMBERED = 1_000_000
 #: Bytes of texts whose words are looked up together.
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 18
 #: Tokens and pieces that a group holds about; 4096 sequences' worth, so that the open bins are far fewer than the bins.
 GROUP_TOKENS = 1 << 24
 GROUP_PIECES = 1 << 18
@@ -174,6 +174,7 @@ class WordIds:
 _words: dict[str, WordIds] = {}
 
 
+@frugal
 def tokenised(batches: Iterator[pa.RecordBatch], path: str, sequence: int, end: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, piece, start, length, ids_crc32) for each piece of each document."""
     words = _words.get(path) or _words.setdefault(path, WordIds(path))

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import python_batches, saved
+from auditloom.llm.common import frugal, python_batches, saved
 from auditloom.llm.shingles import mixed
 
 WINDOW = 64
@@ -213,6 +213,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn=None, rows: int = FIT_ROWS, mo
     return Model(texts[1], texts[0], (counts.get(1, 0), counts.get(0, 0)))
 
 
+@frugal
 def scored(batches: Iterator[pa.RecordBatch], model: Model, threshold: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(1).cast(pa.binary())
@@ -233,6 +234,7 @@ def clean_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
     python_batches(docs.sparkSession)
     names = docs.columns
 
+    @frugal
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fine = [model.score(t.as_py() or b"") < threshold for t in batch.column(names.index("text")).cast(pa.binary())]
