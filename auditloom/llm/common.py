@@ -40,6 +40,13 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _forget(spark: SparkSession, path: str) -> None:
+    name = path.rsplit("/", 1)[-1]
+    if name.startswith("scratch_"):  # bucketed() keeps a table of that name
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _delete(spark, path)
+
+
 def saved(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read back: lineage is cut, a lost executor loses nothing."""
     spark, path = df.sparkSession, f"{shared_folder(df.sparkSession)}/scratch-{uuid.uuid4().hex}"
@@ -49,18 +56,28 @@ def saved(df: DataFrame) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, *keys: str) -> DataFrame:
+    """df as a table in the shared folder, bucketed and sorted by keys: joins on them read it without a shuffle."""
+    spark, name, n = df.sparkSession, f"scratch_{uuid.uuid4().hex}", shuffle_parts(df.sparkSession)
+    path = f"{shared_folder(spark)}/{name}"
+    df.repartition(n, *keys).write.format("parquet").bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    _paths[path], out._scratch = spark, path
+    return out
+
+
 def dropped(*frames: DataFrame) -> None:
     """Deletes the tables behind frames that saved() made and no later plan reads."""
     for df in frames:
         if spark := _paths.pop(path := getattr(df, "_scratch", None), None):
-            _delete(spark, path)
+            _forget(spark, path)
 
 
 @atexit.register
 def _sweep() -> None:
     for path, spark in list(_paths.items()):
         try:
-            _delete(spark, path)
+            _forget(spark, path)
         except Exception:  # the session may be gone, and its folder with it
             return
 
@@ -117,8 +134,8 @@ def without_rows(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(gone) if few else gone.hint("merge"), key, "left_anti")
 
 
-def running(df: DataFrame, order: list[Column], keys: list[str], amount: str) -> DataFrame:
-    """df with ``_before``: the sum of ``amount`` over the rows of the same keys that come earlier in order.
+def running_all(df: DataFrame, order: list[Column], keys: list[str], amounts: tuple[str, ...]) -> DataFrame:
+    """df with ``_before<amount>`` for each of amounts: its sum over the rows of the same keys that come earlier in order.
 
     Rows are range-partitioned by keys and order, so that a hot key spreads over many tasks; each range
     adds what the ranges before it hold of the key. Only those sums (one a range and key) meet in one
@@ -127,14 +144,20 @@ def running(df: DataFrame, order: list[Column], keys: list[str], amount: str) ->
     n = shuffle_parts(df.sparkSession)
     dealt = saved(df.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys], *order).withColumn("_part", F.spark_partition_id()))
     inner = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    dealt_in = dealt.withColumn("_inner", F.coalesce(F.sum(amount).over(inner), F.lit(0)))
+    dealt_in = dealt.select("*", *[F.coalesce(F.sum(a).over(inner), F.lit(0)).alias(f"_inner{i}") for i, a in enumerate(amounts)])
     outer = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = dealt.groupBy("_part", *keys).agg(F.sum(amount).alias("_sum")).withColumn("_outer", F.coalesce(F.sum("_sum").over(outer), F.lit(0)))
-    sums = sums.select(F.col("_part").alias("_p"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_outer")
+    sums = dealt.groupBy("_part", *keys).agg(*[F.sum(a).alias(f"_sum{i}") for i, a in enumerate(amounts)])
+    sums = sums.select("*", *[F.coalesce(F.sum(f"_sum{i}").over(outer), F.lit(0)).alias(f"_outer{i}") for i in range(len(amounts))])
+    sums = sums.select(F.col("_part").alias("_p"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[f"_outer{i}" for i in range(len(amounts))])
     on = dealt_in["_part"] == sums["_p"]
     for i, k in enumerate(keys):
         on = on & dealt_in[k].eqNullSafe(sums[f"_k{i}"])
-    return dealt_in.join(sums, on).withColumn("_before", F.col("_inner") + F.col("_outer")).select(*df.columns, "_before")
+    return dealt_in.join(sums, on).select(*df.columns, *[(F.col(f"_inner{i}") + F.col(f"_outer{i}")).alias(f"_before{a}") for i, a in enumerate(amounts)])
+
+
+def running(df: DataFrame, order: list[Column], keys: list[str], amount: str) -> DataFrame:
+    """running_all() of one amount, as ``_before``."""
+    return running_all(df, order, keys, (amount,)).withColumnRenamed(f"_before{amount}", "_before")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import embedding_dedup, exact_dedup, mixing, ngram_join, packing, pii, quality, repeats, sharding, toxicity
+from auditloom.llm import embedding_dedup, exact_dedup, mixing, ngram_join, packing, pii, prefix_trie, quality, repeats, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +62,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.session_key(spark))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_suffix_dedup, op3_mixing, op4_quality, op5_exact_dedup, op6_embedding_dedup, op7_sharding, op8_toxicity, op9_packing, op10_pii)}
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, ids = prefix_trie.with_heads(prefix_trie.numbered(table(spark, sf_dir, "conversations")))
+    return prefix_trie.trie(turns, ids)
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_suffix_dedup, op3_mixing, op4_quality, op5_exact_dedup, op6_embedding_dedup, op7_sharding, op8_toxicity, op9_packing, op10_pii, op13_prefix_trie)}
 
 SQL = {
     "op1_ngram_join": r"""
@@ -115,4 +120,35 @@ WITH hashed AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
 ), groups AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM hashed GROUP BY text_sha256)
 SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept, text_sha256 FROM hashed JOIN groups USING (text_sha256)""",
+    "op13_prefix_trie": r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), names AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS name FROM turns),
+crc AS (
+  SELECT conv_id, xor(4294967295, list_reduce(list_transform(range(1, length(name) + 1), lambda i: CAST(ascii(name[i]) AS BIGINT)),
+    lambda c, b: list_reduce(range(8), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)), xor(c, b)), 4294967295)) % 6 AS h FROM names
+), ids AS (SELECT conv_id, conv_id - conv_id % 100 AS base, h FROM crc),
+rebuilt AS (
+  SELECT i.conv_id, 0 AS part, place, r, t FROM ids i JOIN turns b ON b.conv_id = i.base AND place < h
+  UNION ALL SELECT conv_id, 1, place, r, t FROM turns JOIN ids USING (conv_id) WHERE place >= h
+), numbered AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS depth, length(t) AS n, sha256(length(r) || ':' || r || t) AS own FROM rebuilt
+), paths AS (
+  SELECT conv_id, depth, n, sha256(string_agg(own, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS path FROM numbered
+  UNION ALL SELECT conv_id, 0, 0, '' FROM ids
+), linked AS (
+  SELECT *, lag(path) OVER w AS up, lead(depth) OVER w IS NULL AS last FROM paths WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+), nodes AS (
+  SELECT path, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(up) AS up, count(*) AS n_convs, any_value(n) AS n,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256 FROM linked GROUP BY path
+), children AS (SELECT up AS path, count(*) AS n_children FROM nodes WHERE up IS NOT NULL GROUP BY up),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+subtree AS (
+  SELECT p.path, count(*) FILTER (WHERE v.n_children = 0) AS n_leaves, sum((v.n_convs - 1) * v.n) AS saved_tokens
+  FROM full_nodes v JOIN paths p ON p.conv_id = v.conv_id AND p.depth <= v.depth GROUP BY p.path
+)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, CAST(v.n_convs AS BIGINT) AS n_convs, CAST(v.n_children AS BIGINT) AS n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM full_nodes v JOIN subtree s USING (path) LEFT JOIN nodes u ON u.path = v.up""",
 }
