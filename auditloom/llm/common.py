@@ -56,11 +56,14 @@ def saved(df: DataFrame) -> DataFrame:
     return out
 
 
-def bucketed(df: DataFrame, *keys: str) -> DataFrame:
-    """df as a table in the shared folder, bucketed and sorted by keys: joins on them read it without a shuffle."""
+def bucketed(df: DataFrame, *keys: str, dealt: bool = False) -> DataFrame:
+    """df as a table in the shared folder, bucketed and sorted by keys: joins on them read it without a shuffle.
+
+    dealt: df's rows lie by such buckets already, as those that come from another such table do.
+    """
     spark, name, n = df.sparkSession, f"scratch_{uuid.uuid4().hex}", shuffle_parts(df.sparkSession)
     path = f"{shared_folder(spark)}/{name}"
-    df.repartition(n, *keys).write.format("parquet").bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    (df if dealt else df.repartition(n, *keys)).write.format("parquet").bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
     out = spark.table(name)
     _paths[path], out._scratch = spark, path
     return out

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import embedding_dedup, exact_dedup, mixing, ngram_join, packing, pii, prefix_trie, quality, repeats, sharding, toxicity
+from auditloom.llm import embedding_dedup, exact_dedup, mixing, ngram_join, packing, pii, prefix_trie, quality, repeats, sharding, toxicity, vector_codes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,14 +62,48 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.session_key(spark))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns, ids = prefix_trie.with_heads(prefix_trie.numbered(table(spark, sf_dir, "conversations")))
     return prefix_trie.trie(turns, ids)
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_suffix_dedup, op3_mixing, op4_quality, op5_exact_dedup, op6_embedding_dedup, op7_sharding, op8_toxicity, op9_packing, op10_pii, op13_prefix_trie)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_suffix_dedup, op3_mixing, op4_quality, op5_exact_dedup, op6_embedding_dedup, op7_sharding, op8_toxicity, op9_packing, op10_pii, op12_vector_codes, op13_prefix_trie)}
+
+
+def _lloyd_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """The rounds one after another: each assigns all parts and takes the means anew."""
+    nearest = """(
+  SELECT part, _row, arg_min({{e: entry, d: dist}}, [dist, entry]) AS best FROM (
+    SELECT p.part, p._row, b.entry, list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS dist
+    FROM parts p JOIN book{k} b ON b.part = p.part) GROUP BY part, _row)"""
+    text = """
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS _row, vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT)) AS ints
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT _row, vec_id, label, part, ints[CAST(part * len(ints) / 8 + 1 AS INT) : CAST((part + 1) * len(ints) / 8 AS INT)] AS v FROM kept, range(8) t(part)
+), book0 AS (SELECT part, _row - 1 AS entry, v FROM parts WHERE _row <= 16)"""
+    for k in range(rounds):
+        text += f""", near{k} AS {nearest.format(k=k)}, mean{k} AS (
+  SELECT part, entry, list(m ORDER BY i) AS v FROM (
+    SELECT n.part, n.best.e AS entry, i, CAST(floor(CAST(sum(p.v[i]) AS DOUBLE) / count(*)) AS BIGINT) AS m
+    FROM near{k} n JOIN parts p ON p.part = n.part AND p._row = n._row, LATERAL (SELECT unnest(range(1, len(p.v) + 1)) AS i) GROUP BY ALL) GROUP BY part, entry
+), book{k + 1} AS (SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM book{k} b LEFT JOIN mean{k} m ON m.part = b.part AND m.entry = b.entry)"""
+    return (
+        text
+        + f""", last AS {nearest.format(k=rounds)}, coded AS (
+  SELECT _row, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM last GROUP BY _row
+), finger AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded JOIN kept USING (_row), finger"""
+    )
+
 
 SQL = {
+    "op12_vector_codes": _lloyd_sql(),
     "op1_ngram_join": r"""
 WITH RECURSIVE split AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
