@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditloom.llm import embedding_dedup, exact_dedup, mixing, ngram_join, packing, pii, prefix_trie, quality, repeats, sharding, toxicity, vector_codes
+from auditloom.llm import embedding_dedup, exact_dedup, language_id, mixing, ngram_join, packing, pii, prefix_trie, quality, repeats, sharding, toxicity, vector_codes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.session_key(spark))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.fit(docs, remainder(4) != 2))
+    return found.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
 
@@ -71,7 +77,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(turns, ids)
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_suffix_dedup, op3_mixing, op4_quality, op5_exact_dedup, op6_embedding_dedup, op7_sharding, op8_toxicity, op9_packing, op10_pii, op12_vector_codes, op13_prefix_trie)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_suffix_dedup, op3_mixing, op4_quality, op5_exact_dedup, op6_embedding_dedup, op7_sharding, op8_toxicity, op9_packing, op10_pii, op11_language_id, op12_vector_codes, op13_prefix_trie)}
 
 
 def _lloyd_sql(rounds: int = vector_codes.ROUNDS) -> str:
