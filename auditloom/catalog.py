@@ -1,6 +1,7 @@
 """All queries by name, and their SQL."""
 
-from auditloom.plans import documents, events, star
+from auditloom.plans import documents, events, star, validation
 
-QUERIES = documents.register.queries | events.register.queries | star.register.queries
-SQL = documents.register.sql | events.register.sql | star.register.sql
+_REGISTERS = (documents.register, events.register, star.register, validation.register)
+QUERIES = {name: query for r in _REGISTERS for name, query in r.queries.items()}
+SQL = {name: sql for r in _REGISTERS for name, sql in r.sql.items()}

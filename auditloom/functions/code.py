@@ -16,6 +16,10 @@ REGION = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.St
 _BRACED = {"go": r"^func\s+(?:\([^)]*\)\s*)?(\w+)", "rust": r"^\s*(?:pub(?:\([^)]*\))?\s+)?(?:async\s+)?fn\s+(\w+)", "java": r"^\s*(?:public|private|protected)[\w<>\[\], ]*\s(\w+)\s*\([^;]*$"}
 
 
+#: The attribute of a test module with what may stand before its opening brace.
+_TEST_MODULE = re.compile(r"[^\S\n]*#\[cfg\(test\)\](?:\s|#\[[^\]]*\]|//[^\n]*\n)*(?:pub(?:\([^)]*\))?\s+)?mod\s+\w+\s*\{")
+
+
 def _depths(text: str) -> list[tuple[int, int]]:
     """Greatest brace depth in each line and the depth after it; braces in strings, characters and comments don't count."""
     clean = re.sub(r'//[^\n]*|/\*.*?\*/|"(?:\\.|[^"\\\n])*"|`[^`]*`|\'(?:\\.|[^\'\\\n])\'', lambda m: "\n" * m[0].count("\n"), text, flags=re.S)
@@ -67,13 +71,13 @@ def functions_of(source: pd.Series, language: pd.Series) -> pd.Series:
 
 @F.pandas_udf(REGION)
 def rust_test_regions(source: pd.Series) -> pd.Series:
-    """Line ranges of modules under #[cfg(test)]."""
+    """Line ranges of modules under #[cfg(test)], from the attribute to the brace that closes the module."""
 
     def regions(text: str | None) -> list[dict]:
         lines, depths = (text or "").split("\n"), _depths(text or "")
         out = []
         for k, line in enumerate(lines):
-            if line.strip().startswith("#[cfg(test)]"):
+            if _TEST_MODULE.match("\n".join(lines[k : k + 8])):
                 end = _closed(depths, k)
                 out.append({"start": k + 1, "end": (end if end is not None else len(lines) - 1) + 1})
         return out
@@ -150,3 +154,27 @@ def found_at(text: pd.Series, snippet: pd.Series) -> pd.Series:
         return best[1] if best[0] >= 0.85 else 0
 
     return pd.Series([place(t, s) for t, s in zip(text, snippet, strict=True)])
+
+
+@F.pandas_udf(T.StringType())
+def applied(source: pd.Series, patch: pd.Series, path: pd.Series) -> pd.Series:
+    """The source with a patch's hunks for its path; null where their old lines aren't what the source has there.
+
+    All hunks count by their places in the old file, so that a patch may name a file in several parts.
+    """
+
+    def changed(text: str | None, diff: str | None, name: str | None) -> str | None:
+        lines, found = (text or "").split("\n"), []
+        for section in re.split(r"\n(?=diff --git )", diff or ""):
+            if section.startswith(f"diff --git a/{name} "):
+                for m in re.finditer(r"(?m)^@@ -(\d+)(?:,(\d+))? \+\S+ @@.*\n((?:[ +\\-].*(?:\n|$)|\n(?!$))*)", section):
+                    body = [x or " " for x in m[3].removesuffix("\n").split("\n")] if m[3] else []  # a bare line break is an empty line kept
+                    found.append((int(m[1]), int(m[2] or 1), body))
+        for start, count, body in sorted(found, reverse=True):
+            at = start - 1 if count else start
+            if [x[1:] for x in body if x[:1] in (" ", "-")] != lines[at : at + count]:
+                return None
+            lines[at : at + count] = [x[1:] for x in body if x[:1] in (" ", "+")]
+        return "\n".join(lines)
+
+    return pd.Series([changed(*x) for x in zip(source, patch, path, strict=True)])

@@ -39,12 +39,14 @@ def terminal_status(events: DataFrame, keys: list[str], status: str, order: list
 def go_json(logs: DataFrame) -> DataFrame:
     """go test -json: the last pass, fail or skip of each package.test; a package that fails without a test didn't compile."""
     event = F.from_json("line", "Action string, Package string, Test string")
-    rows = numbered(logs).where(F.col("line").startswith("{")).select("run_id", "line_no", event.alias("e")).select("run_id", "line_no", "e.*")
+    rows = numbered(logs).where(F.ltrim("line").startswith("{")).select("run_id", "line_no", event.alias("e")).select("run_id", "line_no", "e.*")
     named = rows.where("Test is not null and Test <> ''").withColumn("test_id", F.concat_ws(".", "Package", "Test"))
     words = F.create_map(*[F.lit(x) for x in ("pass", "passed", "fail", "failed", "skip", "skipped")])
     tests = terminal_status(named, ["run_id", "test_id"], "Action", ["line_no"], ("pass", "fail", "skip")).select("run_id", "test_id", words[F.col("status")].alias("status"))
     packages = rows.groupBy("run_id", "Package").agg(F.bool_or(F.coalesce((F.col("Test").isNull() | (F.col("Test") == "")) & (F.col("Action") == "fail"), F.lit(False))).alias("failed"), F.count_if(F.col("Test") != "").alias("n"))
-    return with_compiled(logs, tests, packages.groupBy("run_id").agg((~F.bool_or(F.col("failed") & (F.col("n") == 0))).alias("compiled")))
+    broken = packages.groupBy("run_id").agg(F.bool_or(F.col("failed") & (F.col("n") == 0)).alias("broken"))
+    compiled = logs.select("run_id", "log").join(broken, "run_id", "left").select("run_id", (~F.coalesce("broken", F.lit(False)) & F.col("log").rlike(r"\S")).alias("compiled"))
+    return with_compiled(logs, tests, compiled)
 
 
 def first_unless_failed(rows: DataFrame) -> DataFrame:
@@ -54,14 +56,15 @@ def first_unless_failed(rows: DataFrame) -> DataFrame:
 
 
 def pytest_verbose(logs: DataFrame) -> DataFrame:
-    pattern = r"^(\S+::.+?)\s+(PASSED|FAILED|ERROR|SKIPPED|XFAIL|XPASS)\b"  # ids may hold spaces
-    word = F.regexp_extract("line", pattern, 2)
-    status = F.when(word.isin("PASSED", "XPASS"), "passed").when(word == "SKIPPED", "skipped").otherwise("failed")
-    rows = numbered(logs).where(F.col("line").rlike(pattern)).select("run_id", "line_no", F.regexp_extract("line", pattern, 1).alias("test_id"), status.alias("status"))
-    tests = first_unless_failed(rows)
-    seen = logs.join(tests.groupBy("run_id").agg(F.count(F.lit(1)).alias("n")), "run_id", "left")
+    """pytest -v: an id without spaces that holds ``::``, then its status, at the start of a line or on the next one."""
+    pattern = r"(?m)^(\S*::\S+)\s+(PASSED|FAILED|ERROR|SKIPPED|XFAIL|XPASS)"
+    found = F.arrays_zip(F.regexp_extract_all("log", F.lit(pattern), F.lit(1)).alias("test_id"), F.regexp_extract_all("log", F.lit(pattern), F.lit(2)).alias("word"))
+    rows = logs.select("run_id", F.posexplode(found).alias("line_no", "m"))
+    status = F.when(F.col("m.word").isin("PASSED", "XPASS"), "passed").when(F.col("m.word") == "SKIPPED", "skipped").otherwise("failed")
+    tests = first_unless_failed(rows.select("run_id", "line_no", "m.test_id", status.alias("status")))
     broken = F.col("log").rlike("ERROR collecting|ModuleNotFoundError|ImportError|SyntaxError")
-    return with_compiled(logs, tests, seen.select("run_id", ((F.trim("log") != "") & (F.col("n").isNotNull() | ~broken)).alias("compiled")))
+    compiled = logs.select("run_id", (F.col("log").rlike(r"\S") & (F.col("log").rlike(pattern) | ~broken)).alias("compiled"))
+    return with_compiled(logs, tests, compiled)
 
 
 def maven_surefire(logs: DataFrame) -> DataFrame:

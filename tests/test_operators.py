@@ -25,7 +25,7 @@ def test_go_log(spark):
 
 
 def test_other_logs(spark):
-    assert run(spark, "python", "t.py::a PASSED [ 1%]\nt.py::b FAILED\nt.py::b PASSED\nt.py::c[x y] XPASS\nt.py::d SKIPPED (why)\nt.py::e XFAIL") == ({"t.py::a": "passed", "t.py::b": "failed", "t.py::c[x y]": "passed", "t.py::d": "skipped", "t.py::e": "failed"}, True)
+    assert run(spark, "python", "t.py::a PASSED [ 1%]\nt.py::b FAILED\nt.py::b PASSED\nt.py::c[x-y] XPASS\nt.py::f g PASSED\nt.py::d SKIPPED (why)\nt.py::e XFAIL") == ({"t.py::a": "passed", "t.py::b": "failed", "t.py::c[x-y]": "passed", "t.py::d": "skipped", "t.py::e": "failed"}, True)
     assert run(spark, "python", "E   ImportError: no module") == ({}, False)
     assert run(spark, "java", "[INFO] Tests run: 5, Failures: 0, Errors: 0, Skipped: 0, Time elapsed: 1 s -- in com.A\n[ERROR] Tests run: 3, Failures: 1, Errors: 0, Skipped: 0 <<< FAILURE! -- in com.B\nTests run: 2, Failures: 0, Errors: 0, Skipped: 2, x -- in com.C") == ({"com.A": "passed", "com.B": "failed", "com.C": "skipped"}, True)
     assert run(spark, "java", "BUILD FAILURE") == ({}, False)
