@@ -70,6 +70,10 @@ def _matrix(part: pa.RecordBatch) -> np.ndarray:
     return part.column("ints").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
 
 
+#: What changed, by entry of a part: how many parts came less those that went, and the sums of their integers.
+_DELTA = pa.list_(pa.struct([("part", pa.int32()), ("entry", pa.int32()), ("n", pa.int64()), ("sums", pa.list_(pa.int64()))]))
+
+
 def moves(books: np.ndarray, cuts: list[tuple[int, int]]):
     """A function of batches (_row, ints, was) to (_row, codes, delta): delta, in a task's last row, sums what changed in the task."""
     entries, d = books.shape
@@ -77,7 +81,7 @@ def moves(books: np.ndarray, cuts: list[tuple[int, int]]):
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, sums, moved, held = np.zeros((entries, len(cuts)), np.int64), np.zeros((entries, d), np.int64), False, None
-        made = lambda rows, codes, last: pa.RecordBatch.from_arrays([rows, pa.array([x.tobytes() for x in codes], pa.binary()), pa.array([None] * (len(codes) - 1) + [last], pa.list_(pa.int64()))], ["_row", "codes", "delta"])
+        made = lambda rows, codes, last: pa.RecordBatch.from_arrays([rows, pa.array([x.tobytes() for x in codes], pa.binary()), pa.array([None] * (len(codes) - 1) + [last], _DELTA)], ["_row", "codes", "delta"])
         for part in batches:
             if not part.num_rows:
                 continue
@@ -95,7 +99,9 @@ def moves(books: np.ndarray, cuts: list[tuple[int, int]]):
                     np.add.at(sums[:, a:b], at[known], sign * vectors[changed, a:b][known])
             held = part.column("_row"), codes
         if held:
-            yield made(*held, np.concatenate([counts.ravel(), sums.ravel()]).tolist() if moved else None)
+            changed = [(k, e) for k in range(len(cuts)) for e in range(entries) if counts[e, k] or sums[e, cuts[k][0] : cuts[k][1]].any()]
+            delta = [{"part": k, "entry": e, "n": int(counts[e, k]), "sums": sums[e, cuts[k][0] : cuts[k][1]].tolist()} for k, e in changed]
+            yield made(*held, delta if moved else None)
 
     return run
 
@@ -123,18 +129,20 @@ def fitted(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, round
     for _ in range(rounds):
         rows = vectors.select("_row", "ints")
         rows = rows.join(codes.select("_row", F.col("codes").alias("was")), "_row") if codes else rows.withColumn("was", F.lit(None).cast("binary"))
-        fresh = bucketed(rows.mapInArrow(moves(books, cuts), "_row long, codes binary, delta array<long>"), "_row", dealt=True)
+        kind = "_row long, codes binary, delta array<struct<part:int,entry:int,n:long,sums:array<long>>>"
+        fresh = bucketed(rows.mapInArrow(moves(books, cuts), kind), "_row", dealt=True)
         if codes:
             dropped(codes)
         codes = fresh
-        change = codes.where("delta is not null").select(F.posexplode("delta").alias("place", "value")).groupBy("place").agg(F.sum("value").alias("value")).collect()
-        if not change:
+        wide = max(b - a for a, b in cuts)
+        deltas = codes.where("delta is not null").select(F.explode("delta").alias("d")).select("d.*")
+        change = deltas.groupBy("part", "entry").agg(F.sum("n").alias("n"), F.array(*[F.sum(F.get("sums", F.lit(i))) for i in range(wide)]).alias("sums")).collect()
+        if not codes.where("delta is not null").limit(1).count():
             break
-        delta = np.zeros(counts.size + sums.size, np.int64)
-        for place, value in change:
-            delta[place] = value
-        counts += delta[: counts.size].reshape(counts.shape)
-        sums += delta[counts.size :].reshape(sums.shape)
+        for r in change:
+            a, b = cuts[r["part"]]
+            counts[r["entry"], r["part"]] += r["n"]
+            sums[r["entry"], a:b] += np.array(r["sums"][: b - a], np.int64)
         books = books.copy()
         for k, (a, b) in enumerate(cuts):
             used = counts[:, k] > 0
