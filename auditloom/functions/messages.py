@@ -10,32 +10,31 @@ from pyspark.sql import functions as F
 
 from auditloom.functions.text import blank
 
-_LINE = r"(?:\n|$)"
-#: Lines by which tools report a failure, and words of texts that must go together.
-GO_MESSAGES = (r"((?:got|Got)\s+.+?,\s*(?:want|Want|expected)\s+.+?)" + _LINE, r"((?:Expected|expected)\s+.+?\s+(?:to equal|to be|but got)\s+.+?)" + _LINE, r"Error:\s+(.+?)" + _LINE)
-PYTHON_ASSERTIONS = (r"AssertionError:\s*(.+?)" + _LINE, r">\s+assert\s+(.+?)" + _LINE, r"(?m)^E\s+assert\s+(.+?)$")
-PYTHON_SUMMARY = r"FAILED.*?-\s+(.+?)" + _LINE
+#: Words of lines by which tools report a failure, marks of tests, and words of texts that must go together.
+GOT, WANT, EXPECTED, OUTCOME = ("got", "Got"), ("want", "Want", "expected"), ("Expected", "expected"), ("to equal", "to be", "but got")
 TEST_PATTERNS = {"go": r"(?m)^func\s+Test\w+", "rust": r"#\[test\]", "java": r"@Test\b", "python": r"(?m)^\s*def\s+test_\w+"}
 ISSUE_TITLE = r"(?i)(?:fix(?:e[sd])?|clos(?:e[sd])?|resolv(?:e[sd])?)\s+#\d+[:\s]+(.+)"
 LICENSE_WORDS = ("license", "copyright", "apache", "mit", "header")
 OPERATORS = (" == ", " != ", " <= ", " >= ", " < ", " > ", " + ", " - ", " and ", " or ")
 
 
-def first_match(text: Column, patterns: tuple[str, ...]) -> Column:
-    """The first group of the first pattern that matches, trimmed; null if none does."""
-    hit = lambda p: F.when(blank(text).rlike(p), F.trim(F.regexp_extract(blank(text), p, 1)))
-    return F.coalesce(*[hit(p) for p in patterns])
+def told(text: Column, before: str, said: str = r"\S[^\n]*") -> Column:
+    """What the first line that has it says after some sign, trimmed; null if none does."""
+    pattern = rf"(?m){before}({said})"
+    return F.when(blank(text).rlike(pattern), F.trim(F.regexp_extract(blank(text), pattern, 1)))
 
 
 def go_message(output: Column) -> Column:
-    """What a failing Go test says: got and want, then an expectation, then an error (C-34)."""
-    return first_match(output, GO_MESSAGES)
+    """What a failing Go test says: got and want, then an expectation and its outcome, then an error (C-34)."""
+    one = lambda words: f"(?:{'|'.join(words)})"
+    pair = lambda lead, link, tail: rf"{one(lead)}\s+[^\n]+?{link}{one(tail)}\s+[^\n]+"
+    return F.coalesce(told(output, "", pair(GOT, r",\s*", WANT)), told(output, "", pair(EXPECTED, r"\s+", OUTCOME)), told(output, r"Error:\s+"))
 
 
 def python_message(output: Column) -> Column:
-    """(assertion, detail) of a failing Python test; detail only where no assertion is shown (C-34b)."""
-    assertion = first_match(output, PYTHON_ASSERTIONS)
-    return F.struct(assertion.alias("assertion"), F.when(assertion.isNull(), first_match(output, (PYTHON_SUMMARY,))).alias("detail"))
+    """(assertion, detail) of a failing Python test: the error's message, else the source line, else the evaluated one; detail, the summary's reason, only without them (C-34b)."""
+    assertion = F.coalesce(told(output, r"AssertionError:\s*"), told(output, r">\s+assert\s+"), told(output, r"^E\s+assert\s+"))
+    return F.struct(assertion.alias("assertion"), F.when(assertion.isNull(), told(output, r"FAILED[^\n]*?-\s+")).alias("detail"))
 
 
 def loose_pytest(output: Column) -> Column:
@@ -158,16 +157,25 @@ def scored_code(source: Column, edges: tuple[str, ...], branches: tuple[str, ...
     return hits(edges) + hits(branches) * 2 + F.least(F.floor(lines / 10).cast("int"), F.lit(5)) + returns
 
 
+#: How changes are described, by what the changed line gained or lost.
+SWAPPED = "Changed '{}' to '{}' in computation, producing wrong results for certain inputs"
+DESCRIPTIONS = (
+    ("gained", " not ", "Inverted guard condition, causing validation to trigger for wrong inputs"),
+    ("lost", " not ", "Removed negation from condition, skipping important validation"),
+    ("lost", "raise ", "Removed error handling, allowing invalid state to propagate silently"),
+    ("gained", "return None", "Changed return value to None, breaking callers that expect a value"),
+    ("lost", "return None", "Changed None return to a value, breaking callers that check for None"),
+)
+OTHER_CHANGE = "Subtle logic change affecting function output under certain inputs"
+
+
 def described_change(before: Column, after: Column, swaps: tuple[tuple[str, str], ...]) -> Column:
-    """Which kind of change a mutation is (C-43): operator, inverted, negation, raise, none, value, other."""
-    a, b = F.trim(before), F.trim(after)
-    out = F.when(F.lit(False), "")
-    for old, new in swaps:
-        out = out.when(before.contains(old) & after.contains(new), F.concat(F.lit("operator "), F.lit(f"{old.strip()} to {new.strip()}")))
-    had = lambda x, of: of.contains(x)
-    out = out.when(had(" not ", b) & ~had(" not ", a), "inverted").when(had(" not ", a) & ~had(" not ", b), "negation")
-    out = out.when(had("raise ", a) & ~had("raise ", b), "raise").when(had("return None", b) & ~had("return None", a), "none")
-    return out.when(~had("return None", b) & (had("return None", a) | (a == "return")), "value").otherwise("other")
+    """What a mutation does, in words (C-43): the first exchanged operator of swaps, else the first thing gained or lost. A bare return is one of None that can be lost."""
+    was = F.when(F.trim(before) == "return", "return None").otherwise(F.trim(before))
+    exchanged = [F.when(before.contains(old) & after.contains(new), SWAPPED.format(old.strip(), new.strip())) for old, new in swaps]
+    holder = {"gained": (F.trim(after), F.trim(before)), "lost": (was, F.trim(after))}
+    found = [F.when(holder[how][0].contains(what) & ~holder[how][1].contains(what), words) for how, what, words in DESCRIPTIONS]
+    return F.coalesce(*exchanged, *found, F.lit(OTHER_CHANGE))
 
 
 def without_labels(code: Column, patterns: tuple[str, ...]) -> Column:

@@ -260,28 +260,6 @@ def identifier_like(c: Column) -> Column:
     return c.contains("_") | c.rlike("[a-z][A-Z]") | c.rlike("^[A-Z0-9]{2,}$")
 
 
-def called_function(c: Column, builtins: tuple[str, ...] = ("len", "str", "int", "list", "dict", "set", "tuple", "isinstance", "sorted", "type", "repr", "bool", "float")) -> Column:
-    return F.get(F.filter(F.regexp_extract_all(c, F.lit(r"([A-Za-z_][\w.]*)\("), F.lit(1)), lambda n: ~n.isin(*builtins)), F.lit(0))
-
-
-def python_assertions(c: Column) -> Column:
-    """(type, expression, expected, called_function, line) of a Python test's assertion lines."""
-    lines = F.transform(F.split(blank(c), "\n"), lambda x, i: F.struct((i + 1).alias("line"), F.trim(x).alias("text")))
-    forms = (
-        ("equal", r"^assert\s+(.+?)\s*==\s*(.+)$"), ("not_equal", r"^assert\s+(.+?)\s*!=\s*(.+)$"), ("in", r"^assert\s+(.+?)\s+in\s+(.+)$"),
-        ("is_none", r"^assert\s+(.+?)\s+is\s+(None)$"), ("not_none", r"^assert\s+(.+?)\s+is\s+not\s+(None)$"), ("false", r"^assert\s+not\s+(.+?)()$"),
-        ("equal", r"^self\.assertEquals?\((.+?),\s*(.+)\)$"), ("raises", r"^with\s+(?:pytest\.|self\.)(?:raises|assertRaises)\((.+?)()\)"),
-        ("true", r"^self\.assertTrue\((.+?)()\)$"), ("false", r"^self\.assertFalse\((.+?)()\)$"), ("true", r"^assert\s+(.+?)()$"),
-    )
-
-    def parsed(x: Column) -> Column:
-        kind = reduce(lambda out, f: F.when(x["text"].rlike(f[1]), F.lit(f[0])).otherwise(out), reversed(forms), F.lit(None))
-        part = lambda g: reduce(lambda out, f: F.when(x["text"].rlike(f[1]), F.regexp_extract(x["text"], f[1], g)).otherwise(out), reversed(forms), F.lit(None))
-        return F.struct(kind.alias("type"), part(1).alias("expression"), first_of(part(2)).alias("expected"), called_function(part(1)).alias("called_function"), x["line"].alias("line"))
-
-    return F.filter(F.transform(lines, parsed), lambda a: a["type"].isNotNull())
-
-
 def indented_as(changed: Column, original: Column) -> Column:
     """The changed code moved so that its first line with text stands as far in as the original's; blank lines become empty (C-46)."""
     lines = F.split(F.regexp_replace(blank(changed), r"\r?\n\z", ""), r"\r\n|\r|\n")

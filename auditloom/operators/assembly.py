@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from auditloom.functions import diff
 from auditloom.functions.text import blank
+from auditloom.sources.jsonl import ascii_json
 
 
 def version_label(language_version: Column, digest: Column) -> Column:
-    """Language version and the first signs of the environment's hash; without a version more of the hash (P-10, P-11)."""
-    return F.when(blank(language_version) != "", F.concat_ws("-", language_version, F.substring(digest, 1, 8))).otherwise(F.substring(digest, 1, 12))
+    """Language version and the first signs of the environment's hash; the version alone without a hash, else unknown (P-10)."""
+    version = F.nullif(blank(language_version), F.lit(""))
+    return F.when(version.isNull(), "unknown").otherwise(F.concat_ws("-", version, F.nullif(F.substring(blank(digest), 1, 8), F.lit(""))))
+
+
+def registry_version(known: Column, language_version: Column, digest: Column) -> Column:
+    """The version that a registry holds for the environment's hash, else version and hash, else more of the hash (P-11)."""
+    inline = F.when(blank(language_version) != "", F.concat_ws("-", language_version, F.substring(digest, 1, 8))).otherwise(F.substring(digest, 1, 12))
+    return F.coalesce(F.nullif(known, F.lit("")), inline)
 
 
 def instances(candidates: DataFrame, results: DataFrame, specs: DataFrame, carried: tuple[str, ...] = ("FAIL_TO_PASS", "PASS_TO_PASS", "version")) -> DataFrame:
@@ -25,11 +34,46 @@ def instances(candidates: DataFrame, results: DataFrame, specs: DataFrame, carri
     return found.withColumn("env_spec_hash", F.coalesce("env_spec_hash", "first_spec")).drop("first_spec")
 
 
+def listed(tests: Column) -> Column:
+    """A list of strings as Python writes it in JSON: a space after each comma, signs beyond ASCII as escapes; null as an empty list."""
+    quoted = F.transform(F.coalesce(tests, F.array().cast("array<string>")), lambda t: F.regexp_replace(F.to_json(F.array(t)), r"^\[|\]$", ""))
+    return ascii_json(F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]")))
+
+
+def task_instances(candidates: DataFrame, results: DataFrame, specs: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """The task record of each valid candidate (P-04, J-01, J-02, J-04, J-05, R-37): all its columns, with those derived from patch, result and environment.
+
+    candidates: CANDIDATE's columns; results: instance_id, status, fail_to_pass, pass_to_pass, n_runs, flake_count,
+    quarantined_tests, spec (the environment it ran in, may be null); specs: env_spec_hash, language, language_version;
+    products: repo, product, one row a repo. An environment that specs lack, and a null one, is the first by hash, and none where specs are empty.
+    """
+    valid = results.where("status = 'valid'").select("instance_id", "fail_to_pass", "pass_to_pass", "n_runs", "flake_count", "quarantined_tests", "spec")
+    every = specs.select("env_spec_hash", "language", "language_version").dropDuplicates(["env_spec_hash"])
+    first = every.agg(F.min(F.struct("env_spec_hash", "language", "language_version")).alias("first"))
+    found = candidates.join(valid, "instance_id").join(every.select(F.col("env_spec_hash").alias("spec"), F.struct("env_spec_hash", "language", "language_version").alias("own")), "spec", "left")
+    found = found.join(F.broadcast(first)).withColumn("env", F.coalesce("own", "first"))  # one row
+    if products is not None:
+        found = found.join(products.groupBy("repo").agg(F.min("product").alias("product")), "repo", "left")
+    patch, n_files = blank(F.col("patch")), F.size(diff.sections(F.col("patch")))
+    lines = F.when(patch == "", 0).otherwise(F.size(F.split(F.regexp_replace(patch, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n")))
+    null = F.lit(None).cast("string")
+    return found.select(
+        "repo", "instance_id", "base_commit", patch.alias("patch"), blank(F.col("test_patch")).alias("test_patch"), blank(F.col("problem_statement")).alias("problem_statement"),
+        blank(F.col("hints_text")).alias("hints_text"), "created_at", version_label(F.col("env.language_version"), F.col("env.env_spec_hash")).alias("version"),
+        listed(F.col("fail_to_pass")).alias("FAIL_TO_PASS"), listed(F.col("pass_to_pass")).alias("PASS_TO_PASS"), null.alias("environment_setup_commit"), null.alias("image_name"),
+        F.nullif(F.col("merged_at"), F.lit("")).alias("fix_merge_date"), F.lit("public_upstream").alias("provenance"), F.coalesce("link_confidence", F.lit(0.0)).alias("link_confidence"),
+        F.col("env.language").alias("repo_language"), (F.col("product") if products is not None else null).alias("product"), F.size(F.coalesce("fail_to_pass", F.array().cast("array<string>"))).alias("n_fail_to_pass"),
+        lines.alias("patch_lines"), n_files.alias("files_touched"), (n_files > 1).alias("cross_file"), F.col("env.env_spec_hash").alias("env_spec_hash"),
+        F.coalesce("n_runs", F.lit(1)).alias("n_runs"), F.coalesce("flake_count", F.lit(0)).alias("flake_count"), F.coalesce("quarantined_tests", F.array().cast("array<string>")).alias("quarantined_tests"),
+        F.lit(False).alias("decontamination_overlap"), null.alias("decontamination_overlap_source"),
+    )
+
+
 def statement(issues: DataFrame, key: str, order: str) -> DataFrame:
-    """One text a key from its issues in order: title and body, empty parts left out, blank lines between (J-21, C-12)."""
-    one = F.array_join(F.filter(F.array(blank(F.col("title")), blank(F.col("body"))), lambda x: x != ""), "\n")
+    """One text a key from its issues in order: title, line break and body of each, null parts empty, blank lines between (J-21, C-12)."""
+    one = F.concat(blank(F.col("title")), F.lit("\n"), blank(F.col("body")))
     parts = F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), one.alias("text")))), lambda x: x["text"])
-    return issues.groupBy(key).agg(F.array_join(F.filter(parts, lambda x: x != ""), "\n\n").alias("problem_statement"))
+    return issues.groupBy(key).agg(F.array_join(parts, "\n\n").alias("problem_statement"))
 
 
 def issue_numbers(title: Column, body: Column) -> Column:

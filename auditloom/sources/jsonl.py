@@ -122,7 +122,3 @@ def read_specs(spark: SparkSession, path: str) -> DataFrame:
     """Environment records named by their own hash; files whose content doesn't match their name are left out."""
     rows = spark.read.schema(SPEC).option("multiLine", True).json(path).withColumn("key", F.regexp_extract("_metadata.file_name", r"^(\w+)\.json$", 1))
     return rows.where(env_spec_hash() == F.col("key"))
-
-
-def version_label(version: Column, digest: Column) -> Column:
-    return F.concat_ws("-", version, F.substring(digest, 1, 8))

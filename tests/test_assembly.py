@@ -28,10 +28,11 @@ def one(spark, make, *values):
         (lambda a, b: messages.aligned(a, b, ("rat check",)), ("RAT Check failed", "x = 1"), False), (lambda a, b: messages.aligned(a, b, ("rat check",)), ("rat check", "+ Copyright"), True),
         (messages.meaningful_test, ("assert f(1) == 2",), True), (messages.meaningful_test, ("assert True",), False), (messages.rust_tests_only, (" #[cfg(test)]\nmod",), True),
         (lambda c: messages.scored_code(c, ("None",), (r"\bfor\b",)), ("for x in y:\n return 1\n return 2\n return None",), 5),
-        (lambda a, b: messages.described_change(a, b, ((" < ", " <= "),)), ("a < b", "a <= b"), "operator < to <="), (lambda a, b: messages.described_change(a, b, ()), ("if not a:", "if a:"), "negation"),
+        (lambda a, b: messages.described_change(a, b, ((" < ", " <= "),)), ("a < b", "a <= b"), "Changed '<' to '<=' in computation, producing wrong results for certain inputs"), (lambda a, b: messages.described_change(a, b, ()), ("if not a:", "if a:"), "Removed negation from condition, skipping important validation"),
         (lambda c: messages.without_labels(c, (r"(?m)^# STRATEGY.*$",)), ("a\n\n# STRATEGY 1\n\nb",), "a\n\nb"),
         (lambda a, b: messages.real_references(a, b), ("see :func:`f` and :ref:`gone`", ["f"]), "see :func:`f` and gone"), (lambda c: messages.opened(c, {"I noticed": "Found"}), ("  I noticed it",), "  Found it"),
-        (assembly.version_label, ("1.2", "abcdefghijklm"), "1.2-abcdefgh"), (assembly.version_label, (None, "abcdefghijklm"), "abcdefghijkl"),
+        (assembly.version_label, ("1.2", "abcdefghijklm"), "1.2-abcdefgh"), (assembly.version_label, (None, "abcdefghijklm"), "unknown"), (assembly.version_label, ("1.2", None), "1.2"), (assembly.registry_version, (None, None, "abcdefghijklm"), "abcdefghijkl"),
+        (assembly.registry_version, (None, "1.2", "abcdefghijklm"), "1.2-abcdefgh"), (assembly.registry_version, ("v9", "1.2", "abcdefghijklm"), "v9"), (assembly.listed, (["a", 'b "é"'],), '["a", "b \\"\\u00e9\\""]'), (assembly.listed, ([],), "[]"),
         (assembly.model_key, ("a", "vertex_ai/m"), "a__m"), (assembly.model_key, ("a", None), "a__adhoc"), (lambda c: assembly.task_parts(c, "p/"), ("p/go__o__r-1",), ("go", "o__r-1")), (lambda c: assembly.task_parts(c, "p/"), ("x",), ("unknown", "x")),
         (assembly.language_of_tests, (["TestA"],), "go"), (assembly.language_of_tests, (["a::b", "TestA"],), "python"), (assembly.language_of_tests, ([],), "python"), (assembly.well_formed, ("o/r", "abcdef1"), True), (assembly.well_formed, ("o", "abcdef1"), False),
         (assembly.issue_numbers, ("fix #3", "see #10, #3"), [3, 10]), (assembly.viability, (True, 30, "pass", 5), "Viable"), (assembly.viability, (True, 30, "timeout", 5), "Slow"), (assembly.viability, (False, 30, "pass", 5), "Broken"),
@@ -52,6 +53,28 @@ def test_instances(spark):
     assert {r["instance_id"]: r["env_spec_hash"] for r in assembly.instances(candidates, results, specs.limit(0)).collect()} == {"a": None, "c": None}
 
 
+def test_task_instances(spark):
+    from auditloom.sources import jsonl
+
+    base = dict.fromkeys(jsonl.CANDIDATE.names)
+    patch = "diff --git a/x.py b/x.py\n+a\ndiff --git a/y.py b/y.py\n-b\n"
+    rows = [base | {"instance_id": i, "repo": r, "patch": p, "merged_at": m} for i, r, p, m in (("a", "o/r", patch, "2024"), ("b", "o/r", None, ""), ("c", "o/s", patch, None), ("d", "o/r", "", None))]
+    candidates = spark.createDataFrame([tuple(x[n] for n in jsonl.CANDIDATE.names) for x in rows], jsonl.CANDIDATE)
+    results = spark.createDataFrame([("a", "valid", ["t", "u"], ["v"], 3, 1, ["q"], "h2"), ("b", "valid", None, None, None, None, None, None), ("c", "invalid", [], [], 1, 0, [], "h1"), ("d", "valid", ["t"], [], 1, 0, [], "gone")], "instance_id string, status string, fail_to_pass array<string>, pass_to_pass array<string>, n_runs int, flake_count int, quarantined_tests array<string>, spec string")
+    specs = spark.createDataFrame([("h2", "go", "1.22"), ("h1", "python", None)], "env_spec_hash string, language string, language_version string")
+    products = spark.createDataFrame([("o/r", "P")], "repo string, product string")
+    df = assembly.task_instances(candidates, results, specs, products)
+    assert df.columns == [n for n in jsonl.TASK.names if n != "language"]
+    got = {r.instance_id: r for r in df.collect()}
+    assert set(got) == {"a", "b", "d"}
+    a, b, d = got["a"], got["b"], got["d"]
+    assert (a.version, a.FAIL_TO_PASS, a.PASS_TO_PASS, a.n_fail_to_pass, a.patch_lines, a.files_touched, a.cross_file, a.repo_language, a.product) == ("1.22-h2", '["t", "u"]', '["v"]', 2, 4, 2, True, "go", "P")
+    assert (a.n_runs, a.flake_count, a.quarantined_tests, a.fix_merge_date, a.provenance, a.env_spec_hash) == (3, 1, ["q"], "2024", "public_upstream", "h2")
+    assert (b.version, b.FAIL_TO_PASS, b.n_fail_to_pass, b.patch, b.patch_lines, b.files_touched, b.env_spec_hash, b.repo_language, b.n_runs, b.fix_merge_date) == ("unknown", "[]", 0, "", 0, 0, "h1", "python", 1, None)
+    assert d.env_spec_hash == "h1" and d.cross_file is False
+    assert assembly.task_instances(candidates, results, specs.limit(0)).where("instance_id = 'a'").first().version == "unknown"
+
+
 def test_folded_status(spark):
     lines = ["--- PASS: A (0s)", "--- FAIL: A/x (0s)", "  --- SKIP: B", "--- PASS: B", "--- SKIP: C", "FAIL: D 1", "ok"]
     df = spark.createDataFrame([(1, x) for x in lines], "run int, line string")
@@ -68,7 +91,7 @@ def test_frames_and_relations(spark):
     asserted = spark.createDataFrame([(1, "f", "g(1)"), (2, None, "x.f == 2"), (3, "h", "ff")], "assertion_id int, called_function string, expression string")
     assert {tuple(r) for r in assembly.relevant_assertions(asserted, spark.createDataFrame([("f",)], "target string")).collect()} == {(1, "f"), (2, "f")}
     issues = spark.createDataFrame([(1, 2, "t2", None), (1, 1, "t1", "b1")], "pr int, nth int, title string, body string")
-    assert assembly.statement(issues, "pr", "nth").first()["problem_statement"] == "t1\nb1\n\nt2"
+    assert assembly.statement(issues, "pr", "nth").first()["problem_statement"] == "t1\nb1\n\nt2\n"
 
 
 def test_strict_read_raises_whatever_is_read(spark, tmp_path):

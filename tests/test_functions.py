@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from auditloom.functions import code, diff, text
+from auditloom.functions import assertions, code, diff, text
 from auditloom.operators import filters, samples, verdicts
 
 PATCH = """diff --git a/pkg/core.py b/pkg/core.py
@@ -49,7 +49,7 @@ def given(spark, function, cell):
         (text.test_runner, "python -m pytest x", "pytest"), (text.test_runner, "tox -e x", "tox"), (text.test_runner, "make test", "make"), (text.test_runner, None, None),
         (text.package_names, ["A-b==1", "c>=2", " "], ["a_b", "c"]), (text.failed_names, "FAILED a::b x\nFAILED a::b\nFAILED c::d", ["a::b", "c::d"]), (text.first_failure, "ok\n--- FAIL: TestX (0.1s)", "TestX"),
         (text.code_block, "x\n```py\na\nb\n```\n", "a\nb\n"), (text.narrative, "A ```B``` C", "a  c"), (text.first_line, "\n  \n hello \nx", "hello"), (text.slug, "A/b C!", "a-b-c"), (text.number_of_id, "o__r-12", 12),
-        (text.module_name, "a/b/__init__.py", "a.b"), (text.called_function, "len(x) + foo.bar(y)", "foo.bar"), (text.identifier_like, "fooBar", True), (text.identifier_like, "word", False), (text.without_shas, "a deadbeef b", "a  b"),
+        (text.module_name, "a/b/__init__.py", "a.b"), (assertions.called, "len(x) + foo.bar(y)", "bar"), (text.identifier_like, "fooBar", True), (text.identifier_like, "word", False), (text.without_shas, "a deadbeef b", "a  b"),
         (diff.changed_lines, PATCH, 5), (diff.files, PATCH, ["pkg/core.py", "tests/test_core.py"]), (diff.new_python_symbols, PATCH, ["added", "test_added"]), (diff.new_go_symbols, GO, ["Open", "Config"]),
         (diff.is_test_file, "a/testdata/x", True), (diff.is_test_file, "src/foo_test.rs", True), (diff.is_test_file, "a/contest.py", False), (diff.go_scope, GO, "./srv"), (diff.python_scope, PATCH, "tests/test_core.py"),
         (diff.java_scope, "diff --git a/src/test/java/ATest.java b/src/test/java/ATest.java\n", "-Dtest=ATest"), (diff.summary, PATCH, "2 files, +4 -1: pkg/core.py, tests/test_core.py"),
@@ -75,8 +75,8 @@ def test_structures(spark):
     assert value(spark, text.seconds_between(F.col("x"), F.col("y")), x="2024-01-01T00:00:00Z", y="2024-01-01T00:01:01.250Z") == 61.3
     assert value(spark, text.seconds_between(F.col("x"), F.col("y")), x="soon", y="2024-01-01") is None
     assert value(spark, text.templated(F.col("x"), {"a": F.lit("1"), "ab": F.lit("2")}), x="$a ${ab} $ab $c") == "1 2 2 $c"
-    kinds = [a["type"] for a in given(spark, text.python_assertions, "assert f(x) == 3\nx = 1\nassert not y\nself.assertTrue(z)\nassert a is None")]
-    assert kinds == ["equal", "false", "true", "is_none"]
+    kinds = [a["type"] for a in given(spark, assertions.python_assertions, "assert f(x) == 3\nx = 1\nassert not y\nself.assertTrue(z)\nassert a is None")]
+    assert kinds == ["equality", "falsy", "truthy", "is_none"]
     assert value(spark, samples.latest_version(F.col("x")), x=["v1.9", "v1.10.1", "new", "1.2"]) == "v1.10.1"
     assert value(spark, text.trigram_jaccard(F.col("x"), F.col("y")), x="a b c d", y="a b c e") == pytest.approx(1 / 3)
     assert value(spark, diff.version_of({"pyproject": F.col("x"), "go.mod": F.col("y")}), x="[project]\nname='a'\nversion = \"1.4\"", y="go 1.22") == "1.4"
