@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def removed(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
@@ -44,7 +44,7 @@ def _forget(spark: SparkSession, path: str) -> None:
     name = path.rsplit("/", 1)[-1]
     if name.startswith("scratch_"):  # bucketed() keeps a table of that name
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    _delete(spark, path)
+    removed(spark, path)
 
 
 def saved(df: DataFrame) -> DataFrame:

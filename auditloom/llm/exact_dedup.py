@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from auditloom.llm.common import SPACES, dropped, narrowed, saved, widened, without_rows
+from auditloom.llm.common import SPACES, dropped, narrowed, removed, saved, shared_folder, widened, without_rows
 
 #: Batches that a table is added in where the caller names none.
 BATCHES = 2
@@ -38,10 +38,12 @@ def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 
 class DigestIndex:
-    """A digest table (digest, keep_id, batch) bucketed and sorted by digest. Without a name it is one of its own, for the caller to drop."""
+    """A digest table (digest, keep_id, batch) bucketed and sorted by digest. Without a name it is one of its own in the shared folder, for the caller to drop."""
 
     def __init__(self, spark: SparkSession, table: str | None = None, buckets: int | None = None, path: str | None = None):
         self.spark, self.table, self.path = spark, table or f"digest_index_{uuid.uuid4().hex}", path
+        self.scratch = None if table or path else f"{shared_folder(spark)}/{self.table}"
+        self.path = self.path or self.scratch
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def exists(self) -> bool:
@@ -77,12 +79,16 @@ class DigestIndex:
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        if self.scratch:
+            removed(self.spark, self.scratch)
 
 
 def in_batches(rows: DataFrame, batches: int) -> list[DataFrame]:
-    """rows by ascending id, null ids last, in so many parts of about equal size; one part where ids aren't numbers."""
-    if batches < 2 or not isinstance(rows.schema["_id"].dataType, NumericType):
+    """rows by ascending id, null ids last, in so many parts of about equal size; where ids aren't numbers by digest, so that equal texts share a part."""
+    if batches < 2:
         return [rows]
+    if not isinstance(rows.schema["_id"].dataType, NumericType):
+        return [rows.filter(F.pmod(F.xxhash64("digest"), F.lit(batches)) == k) for k in range(batches)]
     edges = rows.agg(F.percentile_approx("_id", [k / batches for k in range(1, batches)])).first()[0] or []
     cuts = [None, *sorted(set(edges)), None]
     parts = []
@@ -97,12 +103,13 @@ def added(rows: DataFrame, index: DigestIndex | None, batch: str | None, batches
     if index is not None:
         return saved(index.add(rows, batch or uuid.uuid4().hex))
     index = DigestIndex(rows.sparkSession)
-    parts = in_batches(rows, batches)
-    for k, part in enumerate(parts):
-        index.extend(part, str(k))
-    out = saved(index.resolved(rows, [str(k) for k in range(len(parts))]))
-    index.drop()
-    return out
+    try:
+        parts = in_batches(rows, batches)
+        for k, part in enumerate(parts):
+            index.extend(part, str(k))
+        return saved(index.resolved(rows, [str(k) for k in range(len(parts))]))
+    finally:
+        index.drop()
 
 
 def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None, batches: int = BATCHES) -> DataFrame:

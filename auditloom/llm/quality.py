@@ -9,8 +9,9 @@ At most ``FIT_ROWS`` labelled rows, the first by md5 of their id, are fitted; on
 reach the driver. Every document is scored over its whole text.
 
 Defined results: a null text counts as empty, and empty texts have statistics 0; rows without a label
-are never learnt from; a null id is never held out; with one class alone or no label, the score is the
-share of label 1 (0.5 without any). Repeated rows are scored each.
+are never learnt from; of labels that contradict, 1 holds; a null id is never held out; with one class
+alone or fewer than 20 labelled rows, the score is the share of label 1 (0.5 without any). Repeated rows
+are scored each.
 """
 
 from __future__ import annotations
@@ -173,7 +174,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def fit(stats: DataFrame, labels: DataFrame, learn: Column | None = None, rows: int = FIT_ROWS) -> RuleModel:
-    known = labels.select("doc_id", "quality").filter("quality in (0, 1)").filter(F.lit(True) if learn is None else learn).dropDuplicates(["doc_id"])
+    known = labels.select("doc_id", "quality").filter("quality in (0, 1)").filter(F.lit(True) if learn is None else learn).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     order = F.md5(F.col("doc_id").cast("string").cast("binary"))
     picked = known.orderBy(order).limit(rows)
     both = stats.join(F.broadcast(picked), "doc_id").orderBy(order, *NAMES).limit(rows)  # two columns of so many rows at most

@@ -3,8 +3,10 @@
 Finding candidates. Each start of a ``length``-byte window is given to the window's anchor, the place
 whose hash of ``ANCHOR`` bytes is least in it (the first of equals). Equal windows have equal anchors,
 so windows whose anchor's hash occurs once in the corpus are unique. The starts of one anchor with the
-bytes they cover are a record. Where all records of an anchor are equal, all their starts repeat; where
-they differ, they go to the index, one of each with its number of occurrences.
+bytes they cover are a record. Equal records that follow one another in a text, as in text of a short
+period, are one row with their number: all their starts repeat. Where all records of an anchor are equal,
+all their starts repeat too; where they differ, they go to the index, one of each with its number of
+occurrences.
 
 Deciding. Records of the same anchors are put together into blocks of about ``BLOCK`` bytes. A block
 gets its suffix array by prefix doubling, its Burrows-Wheeler transform, and its common prefixes by
@@ -119,14 +121,19 @@ def sliced(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, byt
 
 
 def anchored(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(key, bytes, anchor, record, lo, hi, place) for each record of each text."""
+    """(key, bytes, anchor, record, lo, hi, place, copies): records of each text, equal ones that adjoin as one row with lo, hi and place of the first."""
     for batch in batches:
         texts = [t for t in batch.column(0).cast(pa.binary()).to_pylist() if t and len(t) >= length]
         keys, sizes = np.array([text_key(t) for t in texts], np.int64), np.array([len(t) for t in texts], np.int64)
         for part in sliced(texts, length):
-            piece, anchor, record, lo, hi, place = records([p[2] for p in part], length)
+            found = records([p[2] for p in part], length)
+            piece, anchor, record, lo, hi, _ = found
+            apart = (piece[1:] != piece[:-1]) | (anchor[1:] != anchor[:-1]) | (record[1:] != record[:-1]) | (lo[1:] != hi[:-1])
+            first = np.flatnonzero(np.concatenate([np.ones(min(len(lo), 1), bool), apart]))
+            copies = np.diff(np.concatenate([first, [len(lo)]]))
+            piece, anchor, record, lo, hi, place = (x[first] for x in found)
             text, base = np.array([p[0] for p in part])[piece], np.array([p[1] for p in part])[piece]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys[text], sizes[text], anchor, record, lo + base, hi + base, place)], names=["key", "bytes", "anchor", "record", "lo", "hi", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys[text], sizes[text], anchor, record, lo + base, hi + base, place, copies)], names=["key", "bytes", "anchor", "record", "lo", "hi", "place", "copies"])
 
 
 def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +271,7 @@ def runs_of(anchor: int, record: int, place: int, data: bytes, hit: np.ndarray,
 VERDICT = "anchor long, record long, lo long, hi long, core long, strings array<long>, known array<boolean>"
 
 
-def judged(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def judged(batches: Iterator[pa.RecordBatch], length: int, most: int, block: int) -> Iterator[pa.RecordBatch]:
     """Rows (anchor, part, record, copies, kinds, place, data), sorted by anchor and part, to VERDICT.
 
     A row with a null core gives starts that repeat; one with a core is a run of starts of an anchor
@@ -282,7 +289,7 @@ def judged(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
             hit = found[offset : offset + len(data) - length + 1]
             edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))).tolist()
             rows += [(anchor, record, a, b, None, None, None) for a, b in zip(edges[::2], edges[1::2], strict=True)]
-            if kinds > PART:
+            if kinds > most:
                 rows += runs_of(anchor, record, place, data, hit, length, told)
             offset += len(data) + 1
         columns = zip(*rows, strict=True) if rows else [()] * 7
@@ -292,7 +299,7 @@ def judged(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
     last = None
     for batch in batches:
         for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
-            if row[:2] != last and size > BLOCK:
+            if row[:2] != last and size > block:
                 yield settle()
                 held, size = [], 0
             last = row[:2]
@@ -302,49 +309,48 @@ def judged(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
         yield settle()
 
 
+def joined(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans in order, those that overlap or touch as one."""
+    at = np.argsort(lo, kind="stable")
+    lo, hi = lo[at], np.maximum.accumulate(hi[at]) if len(at) else hi
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(lo), 1), bool), lo[1:] > hi[:-1]]))
+    return lo[first], hi[np.concatenate([first[1:] - 1, [len(lo) - 1]])] if len(lo) else hi
+
+
 def covered(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, text) from rows (id, text, spans of starts)."""
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, text) from rows (id, text, lo, hi): the first and last but one start of each span."""
     for batch in batches:
         out: list[list] = [[], [], [], [], []]
-        for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            kept, at, gone, runs, end = [], 0, 0, 0, -1
-            for s in sorted(spans or [], key=lambda s: (s["lo"], s["hi"])):
-                lo, hi = s["lo"], s["hi"] - 1 + length
-                if lo > end:  # not joined to the run before
-                    kept.append(text[at:lo])
-                    runs += 1
-                    gone += hi - lo
-                elif hi > end:
-                    gone += hi - end
-                end = max(end, hi)
-                at = end
-            kept.append(text[at:])
-            rest = b"".join(kept)
-            for column, value in zip(out, (len(text), gone, runs, hashlib.sha256(rest).hexdigest(), rest), strict=True):
+        for k in range(batch.num_rows):
+            text = batch.column(1)[k].as_py()
+            lo, hi = ((x.values.to_numpy(zero_copy_only=False) if x.is_valid else np.zeros(0, np.int64)) for x in (batch.column(2)[k], batch.column(3)[k]))
+            lo, hi = joined(lo, hi - 1 + length)
+            rest = b"".join([text[a:b] for a, b in zip([0, *hi.tolist()], [*lo.tolist(), len(text)], strict=True)])
+            for column, value in zip(out, (len(text), len(text) - len(rest), len(lo), hashlib.sha256(rest).hexdigest(), rest), strict=True):
                 column.append(value)
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, k) for x, k in zip(out, kinds, strict=True)]], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeats(docs: DataFrame, length: int = LENGTH, most: int = PART, block: int = BLOCK) -> DataFrame:
     """(key, bytes, lo, hi): the starts of repeated strings of each text, by the text's key and size."""
     spark = docs.sparkSession
     parts = shuffle_parts(spark)
-    seen = saved(docs.select("text").mapInArrow(lambda b: anchored(b, length), "key long, bytes long, anchor long, record long, lo long, hi long, place long"))
-    common = seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("record").alias("r0"), F.max("record").alias("r1")).filter("n > 1").select("anchor", (F.col("r0") == F.col("r1")).alias("alike"))
+    seen = saved(docs.select("text").mapInArrow(lambda b: anchored(b, length), "key long, bytes long, anchor long, record long, lo long, hi long, place long, copies long"))
+    common = seen.groupBy("anchor").agg(F.sum("copies").alias("n"), F.min("record").alias("r0"), F.max("record").alias("r1")).filter("n > 1").select("anchor", (F.col("r0") == F.col("r1")).alias("alike"))
     twice = saved(seen.join(common, "anchor"))
     dropped(seen)
     mixed_rows = twice.filter("not alike")
-    kinds = mixed_rows.groupBy("anchor", "record").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "bytes", "lo", "hi", "place")).alias("at"))
+    kinds = mixed_rows.groupBy("anchor", "record").agg(F.sum("copies").alias("copies"), F.min(F.struct("key", "bytes", "lo", "hi", "place")).alias("at"))
     kinds = saved(kinds)
     number = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
     wanted = kinds.join(number, "anchor").select("at.key", "at.bytes", F.struct("anchor", "record", "copies", "kinds", "at.lo", "at.hi", "at.place").alias("one")).groupBy("key", "bytes").agg(F.collect_list("one").alias("wanted"))
     long_docs = docs.filter(F.octet_length("text") >= length)
     texts = long_docs.select(F.lit(0).alias("id"), "text").mapInArrow(keyed, "id int, text binary, key long, bytes long")
     cuts = texts.join(wanted, ["key", "bytes"]).select("text", "wanted").mapInArrow(lambda b: cut(b, length), "anchor long, record long, copies long, kinds long, place long, data binary").dropDuplicates(["anchor", "record"])
-    split = cuts.select("anchor", F.pmod(F.xxhash64("record"), F.expr(f"(kinds + {PART} - 1) div {PART}")).alias("part"), "record", "copies", "kinds", "place", "data")
+    split = cuts.select("anchor", F.pmod(F.xxhash64("record"), F.expr(f"(kinds + {most} - 1) div {most}")).alias("part"), "record", "copies", "kinds", "place", "data")
     dealt = split.repartition(parts, "anchor", "part").sortWithinPartitions("anchor", "part", "record")
-    verdicts = saved(dealt.mapInArrow(lambda b: judged(b, length), VERDICT))
+    verdicts = saved(dealt.mapInArrow(lambda b: judged(b, length, most, block), VERDICT))
     runs = verdicts.filter("core is not null")
     weight = F.when(F.exists("known", lambda k: k), 2).otherwise(1)
     met = runs.groupBy("anchor", "core").agg(F.sum(weight).alias("total")).filter("total > 1").select("anchor", "core")
@@ -354,19 +360,23 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     late = strings.filter("not known").join(across, ["anchor", "string"]).select("anchor", "record", "lo", (F.col("lo") + 1).alias("hi"))
     found = verdicts.filter("core is null").select("anchor", "record", "lo", "hi").union(late)
     found = found.withColumnsRenamed({"lo": "from", "hi": "to"})
-    in_place = mixed_rows.join(found, ["anchor", "record"]).select("key", "bytes", (F.col("lo") + F.col("from")).alias("lo"), (F.col("lo") + F.col("to")).alias("hi"))
-    return twice.filter("alike").select("key", "bytes", "lo", "hi").union(in_place)
+    in_place = mixed_rows.filter("copies = 1").join(found, ["anchor", "record"]).select("key", "bytes", (F.col("lo") + F.col("from")).alias("lo"), (F.col("lo") + F.col("to")).alias("hi"))
+    whole = twice.filter("alike or copies > 1").select("key", "bytes", "lo", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("copies")).alias("hi"))
+    return whole.union(in_place)
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept), a row for each of docs; kept is what remains, as bytes."""
+def without_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", most: int = PART, block: int = BLOCK) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept), a row for each of docs; kept is what remains, as bytes.
+
+    most: different records of an anchor from which it is split; block: bytes that are indexed together. Neither changes the result.
+    """
     python_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("id"), "text")
     kind = docs.schema["id"].dataType.simpleString()
-    spans = saved(repeats(docs, length).groupBy("key", "bytes").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")))
+    spans = saved(repeats(docs, length, most, block).groupBy("key", "bytes").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")).select("key", "bytes", F.col("spans.lo").alias("lo"), F.col("spans.hi").alias("hi")))
     schema = f"id {kind}, text binary, key long, bytes long"
     small = F.coalesce(F.octet_length("text"), F.lit(0)) < length
-    long_docs = docs.filter(~small).mapInArrow(keyed, schema).join(spans, ["key", "bytes"], "left").select("id", "text", "spans")
-    short_docs = docs.filter(small).select("id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    long_docs = docs.filter(~small).mapInArrow(keyed, schema).join(spans, ["key", "bytes"], "left").select("id", "text", "lo", "hi")
+    short_docs = docs.filter(small).select("id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), *[F.lit(None).cast("array<long>").alias(x) for x in ("lo", "hi")])
     out = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     return long_docs.union(short_docs).mapInArrow(lambda b: covered(b, length), out).withColumnRenamed("id", "doc_id")

@@ -8,6 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from auditloom.llm import embedding_dedup, ngram_join, repeats, shingles
 from tests.llm.helpers import WORD, component_ids, edge_rows, family, frame, lower
@@ -83,9 +84,7 @@ def plain_repeats(texts, length):
 
 
 @pytest.mark.parametrize(("length", "part", "block"), [(400, 256, 1 << 19), (30, 256, 500), (30, 2, 500), (12, 3, 1 << 19)])
-def test_repeats_against_all_windows(spark, monkeypatch, length, part, block):
-    monkeypatch.setattr(repeats, "PART", part)
-    monkeypatch.setattr(repeats, "BLOCK", block)
+def test_repeats_against_all_windows(spark, length, part, block):
     rng = random.Random(length)
     word = lambda: "".join(rng.choice("abé\n ") for _ in range(rng.randrange(1, 9)))
     passages = ["".join(word() for _ in range(length // 3)) for _ in range(3)]
@@ -96,10 +95,21 @@ def test_repeats_against_all_windows(spark, monkeypatch, length, part, block):
             body.insert(rng.randrange(len(body) + 1), rng.choice(passages)[rng.randrange(5) :])
         texts.append("".join(body))
     texts += [texts[0], texts[1] + "z", "x" * (3 * length), "x" * (length - 1), "", None, texts[3]]
-    got = repeats.without_repeats(frame(spark, [(i, t, "s") for i, t in enumerate(texts)]), length).orderBy("doc_id").collect()
+    texts += [("ab" * length)[:-1] + "q" + "ab" * length, passages[0] + "xyz" * length, "x" * (length + 1) + "y" * length, "y" * (length + 3)]
+    got = repeats.without_repeats(frame(spark, [(i, t, "s") for i, t in enumerate(texts)]), length, most=part, block=block).orderBy("doc_id").collect()
     assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == plain_repeats(texts, length)
 
 
+@pytest.mark.parametrize("unit", ["a", "one line of filler\nand another one\n", "".join(random.Random(3).choices("abcdefgh \n", k=300))])
+def test_repeats_of_long_periodic_text(spark, unit):
+    """10 MB of one period: a few rows, whatever the period; all of the text goes, a text of its own stays."""
+    n = 10_000_000 // len(unit)
+    docs = spark.range(2).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 0, F.repeat(F.lit(unit), n)).otherwise(F.concat(F.lit("0123"), F.repeat(F.lit("z"), 350))).alias("text"))
+    spans = repeats.repeats(docs.select("text")).count()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in repeats.without_repeats(docs).drop("kept").collect()}
+    assert got == {0: (n * len(unit), n * len(unit), 1), 1: (354, 0, 0)} and spans < 200
+
+
 def test_repeats_edges(spark):
     got = repeats.without_repeats(frame(spark, edge_rows())).collect()
     assert len(got) == len(edge_rows())

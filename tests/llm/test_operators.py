@@ -201,6 +201,29 @@ def test_quality_held_out(spark):
         assert quality.score(stats, quality.fit(stats, known)).count() == len(edge_rows())
 
 
+def test_quality_of_contradicting_and_few_labels(spark):
+    """The same labels in any order and number of partitions give the same rules; 1 holds where labels contradict."""
+    stats = quality.measured(queries.table(spark, DATA, "documents"))
+    labels = queries.table(spark, DATA, "labels").select("doc_id", "quality", "toxic")
+    both = labels.union(labels.withColumn("quality", (1 - F.col("quality")).cast("int")).filter("doc_id % 7 = 0"))
+    one = quality.fit(stats, labels.withColumn("quality", F.when(F.col("doc_id") % 7 == 0, 1).otherwise(F.col("quality"))))
+    models = [quality.fit(stats, both.repartition(n, F.rand(n))) for n in (1, 3, 7)]
+    assert one.rules and all((m.rules, m.bias) == (one.rules, one.bias) for m in models)
+    few = quality.fit(stats, labels.orderBy("doc_id").limit(15))
+    assert not few.rules
+
+
+def test_exact_dedup_of_string_ids(spark):
+    docs = frame(spark, edge_rows()).withColumn("doc_id", F.concat(F.lit("k"), F.lpad(F.col("doc_id").cast("string"), 3, "0")))
+    folder = exact_dedup.shared_folder(spark)
+    for batches in (1, 2, 3):
+        got = exact_dedup.exact_dedup(docs, batches=batches).collect()
+        assert {(r.doc_id, r.keep_id, r.group_size) for r in got} >= {("k005", "k004", 3), ("k007", "k006", 3), ("k009", "k008", 2)} and sum(r.kept for r in got) == 8
+    import os
+
+    assert not [x for x in os.listdir(folder.removeprefix("file:")) if x.startswith("digest_index")]
+
+
 def test_toxicity_held_out(spark):
     rows = queries.op8_toxicity(spark, DATA)
     right, _ = accuracy(spark, rows, "toxic")
