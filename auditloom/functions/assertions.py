@@ -82,14 +82,24 @@ def arguments(inner: Column) -> Column:
     return F.transform(F.regexp_extract_all(inner, F.lit(_ARGUMENT), F.lit(0)), _strip)
 
 
+def _bound(value: Column, use) -> Column:
+    """use(value) with value computed once: a lambda's body is evaluated anew wherever it stands."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def comparison(condition: Column) -> Column:
     """(left, operator, right) by the first operator outside of brackets and strings; operator and right are null without one."""
+
+    def cut(x: Column) -> Column:
+        tokens, at = x["tokens"], x["at"]
+        text = lambda xs: _strip(F.array_join(xs, ""))
+        left = F.when(at > 0, F.slice(tokens, F.lit(1), F.greatest(at - 1, F.lit(0)))).otherwise(tokens)
+        operator = F.when(at > 0, F.regexp_replace(_strip(F.get(tokens, at - 1)), r"\s+", " "))
+        return F.struct(text(left).alias("left"), operator.alias("operator"), F.when(at > 0, text(F.slice(tokens, at + 1, F.size(tokens)))).alias("right"))
+
+    place = lambda tokens: F.coalesce(F.array_position(F.transform(tokens, lambda t: t.rlike(rf"^(?:{_OPERATOR})$")), True), F.lit(0)).cast("int")
     tokens = F.regexp_extract_all(condition, F.lit(_TOKEN), F.lit(0))
-    at = F.coalesce(F.array_position(F.transform(tokens, lambda t: t.rlike(rf"^(?:{_OPERATOR})$")), True), F.lit(0)).cast("int")
-    text = lambda xs: _strip(F.array_join(xs, ""))
-    left = F.when(at > 0, F.slice(tokens, F.lit(1), F.greatest(at - 1, F.lit(0)))).otherwise(tokens)
-    operator = F.when(at > 0, F.regexp_replace(_strip(F.get(tokens, at - 1)), r"\s+", " "))
-    return F.struct(text(left).alias("left"), operator.alias("operator"), F.when(at > 0, text(F.slice(tokens, at + 1, F.size(tokens)))).alias("right"))
+    return _bound(_bound(tokens, lambda t: F.struct(t.alias("tokens"), place(t).alias("at"))), cut)
 
 
 def _asserted(kind: str | Column, expression: Column, expected: str | Column) -> Column:
@@ -97,23 +107,19 @@ def _asserted(kind: str | Column, expression: Column, expected: str | Column) ->
     return F.struct(lit(kind).alias("type"), expression.alias("expression"), lit(expected).alias("expected"))
 
 
-def _by_method(name: Column, args: Column, methods: dict[str, tuple]) -> Column:
-    """What a call of one of the methods asserts; null for other methods and where an argument lacks."""
-    arg = lambda x: F.get(args, F.lit(x)) if isinstance(x, int) else F.lit(x)
-    needs = lambda m: F.size(args) > max(x for x in m if isinstance(x, int))
-    one = lambda n, m: (name == n) & needs(m)
-    (first, *rest) = methods.items()
-    start = F.when(one(*first), _asserted(first[1][0], arg(first[1][1]), arg(first[1][2])))
-    return reduce(lambda out, x: out.when(one(*x), _asserted(x[1][0], arg(x[1][1]), arg(x[1][2]))), rest, start)
+def _by_method(name: Column, inner: Column, methods: dict[str, tuple]) -> Column:
+    """What a call of one of the methods with such arguments asserts; null for other methods and where an argument lacks."""
 
+    def read(args: Column) -> Column:
+        arg = lambda x: F.get(args, F.lit(x)) if isinstance(x, int) else F.lit(x)
+        enough = lambda m: F.size(args) > max(x for x in m if isinstance(x, int))
+        return F.coalesce(*[F.when((name == n) & enough(m), _asserted(m[0], arg(m[1]), arg(m[2]))) for n, m in methods.items()])
 
-def _found(a: Column, called_function: Column, at: Column) -> Column:
-    return F.struct(a["type"].alias("type"), a["expression"].alias("expression"), a["expected"].alias("expected"), called_function.alias("called_function"), (at + 1).cast("int").alias("line"))
+    return F.when(name.isin(*methods), _bound(arguments(inner), read))
 
 
-def _bound(value: Column, use) -> Column:
-    """use(value) with value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def _found(a: Column, called_function: Column, at: Column) -> Column:
+    return F.struct(a["type"].alias("type"), a["expression"].alias("expression"), a["expected"].alias("expected"), called_function.alias("called_function"), (at + 1).cast("int").alias("line"))
 
 
 def _candidates(lines: Column, may: str) -> Column:
@@ -141,12 +147,14 @@ def python_assertions(source: Column) -> Column:
     Calls of unittest's methods, assert statements (without their message) and pytest.raises, whose call is sought in the
     four lines after it, comments left out. What spans several lines isn't read.
     """
-    lines = _lines(source)
+    return _bound(_lines(source), _python_found)
 
+
+def _python_found(lines: Column) -> Column:
     def read(x: Column) -> Column:
         text = x["text"]
         unittest = r"^self\.assert(\w+)\s*\((.*)\)$"
-        of_method = F.when(text.rlike(unittest), _by_method(F.regexp_extract(text, unittest, 1), arguments(F.regexp_extract(text, unittest, 2)), PYTHON_METHODS))
+        of_method = F.when(text.rlike(unittest), _by_method(F.regexp_extract(text, unittest, 1), F.regexp_extract(text, unittest, 2), PYTHON_METHODS))
         statement = F.when(text.rlike(r"^assert\s"), _stated(F.get(arguments(F.regexp_extract(text, r"^assert\s+(.*)$", 1)), F.lit(0))))
         error = _some(F.regexp_extract(text, r"^with\s+pytest\.raises\s*\(\s*(\w+)", 1))
         block = F.when(error.isNotNull(), _asserted("raises", F.lit(""), error))
@@ -170,7 +178,10 @@ def go_assertions(source: Column) -> Column:
     error that isn't nil, asserts the call assigned in the three lines before, the earliest first; one between a call and
     nil asserts the call. A message that names a function counts unless the line before asserts that function.
     """
-    lines = _lines(source)
+    return _bound(_lines(source), _go_found)
+
+
+def _go_found(lines: Column) -> Column:
     go = lambda c: called(c, GO_BUILTINS)
 
     def assigned(at: Column, names: str) -> Column:
@@ -197,18 +208,25 @@ def go_assertions(source: Column) -> Column:
     def read(x: Column) -> Column:
         text = x["text"]
         testify = r"^(?:assert|require)\.(\w+?)f?\s*\((.*)\)$"
-        of_method = F.when(text.rlike(testify), _by_method(F.regexp_extract(text, testify, 1), arguments(F.regexp_extract(text, testify, 2)), GO_METHODS))
+        of_method = F.when(text.rlike(testify), _by_method(F.regexp_extract(text, testify, 1), F.regexp_extract(text, testify, 2), GO_METHODS))
         names = F.when(text.rlike(r"^t\.(?:Error|Fatal)f?\s*\("), _some(F.regexp_extract(text, r'"(\w+)\(', 1)))
         a = F.coalesce(of_method, conditional(text, x["at"]))
         call = F.coalesce(go(a["expression"]), F.when(of_method.isNotNull() & (a["type"] == "equality"), go(a["expected"])))
         return F.struct(x["at"].alias("at"), a.alias("a"), call.alias("call"), F.when(~names.isin(*GO_MESSAGE_CALLS), names).alias("names"))
 
-    every = F.transform(_candidates(lines, r"^(?:if\s|assert\.|require\.|t\.)"), read)
-    asserted = F.filter(every, lambda x: x["a"].isNotNull())
-    told = F.filter(every, lambda x: x["names"].isNotNull() & ~F.exists(asserted, lambda y: (y["at"] == x["at"] - 1) & (y["call"] == x["names"])))
-    of_told = F.transform(told, lambda x: _found(_asserted("equality", F.lit(""), ""), x["names"], x["at"]))
-    both = F.concat(F.transform(asserted, lambda x: _found(x["a"], x["call"], x["at"])), of_told)
-    return F.array_sort(both, lambda x, y: x["line"] - y["line"])
+    def given(every: Column) -> Column:
+        """What each line asserts, then what its message names."""
+
+        def one(x: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.get(every, i - 1))
+            known = F.coalesce((before["at"] == x["at"] - 1) & before["a"].isNotNull() & (before["call"] == x["names"]), F.lit(False))
+            own = F.when(x["a"].isNotNull(), _found(x["a"], x["call"], x["at"]))
+            told = F.when(x["names"].isNotNull() & ~known, _found(_asserted("equality", F.lit(""), ""), x["names"], x["at"]))
+            return F.filter(F.array(own, told), lambda a: a.isNotNull())
+
+        return F.flatten(F.transform(every, one))
+
+    return _bound(F.transform(_candidates(lines, r"^(?:if\s|assert\.|require\.|t\.)"), read), given)
 
 
 def assertions(source: Column, language: Column) -> Column:

@@ -69,6 +69,48 @@ def functions_of(source: pd.Series, language: pd.Series) -> pd.Series:
     return pd.Series([_functions(s, x) for s, x in zip(source, language, strict=True)])
 
 
+TEST = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("source", T.StringType()), T.StructField("start_line", T.IntegerType()), T.StructField("end_line", T.IntegerType())]))
+#: What marks a test where its name doesn't, how many lines may stand between the mark and the head, and the head with the name.
+_TESTS = {
+    "go": (None, 0, r"func\s+(?:\([^)]*\)\s*)?(Test\w*)\s*[(\[]"),
+    "rust": (r"#\[test\]", 3, r"\s*(?:pub(?:\([^)]*\))?\s+)?(?:(?:async|unsafe|const)\s+)*fn\s+(\w+)"),
+    "java": (r"@Test\b", 3, r"\s*(?:(?:public|private|protected|static|final|synchronized)\s+)*(?:<[^>]*>\s+)?[\w.]+(?:<[^()]*>)?(?:\[\])*\s+(\w+)\s*\("),
+}
+
+
+def _tests(source: str | None, language: str | None) -> list[dict]:
+    lines = (source or "").split("\n")
+    spans: list[tuple[str, int, int]] = []
+    if language == "python":
+        try:
+            found = ast.walk(ast.parse(source or ""))
+            spans = [(n.name, n.lineno - 1, n.end_lineno) for n in found if isinstance(n, ast.FunctionDef | ast.AsyncFunctionDef) and n.name.startswith("test_")]
+        except (SyntaxError, ValueError):
+            return []
+    elif language in _TESTS:
+        mark, gap, head = _TESTS[language]
+        depths, done = _depths(source or ""), 0
+        for k, line in enumerate(lines):
+            if k >= done and (mark is None or re.search(mark, line)):
+                heads = ((j, re.match(head, lines[j])) for j in range(k if mark is None else k + 1, min(k + gap + 1, len(lines))))
+                if at := next(((j, m) for j, m in heads if m), None):
+                    end = _closed(depths, at[0])
+                    done = len(lines) if end is None else end + 1
+                    spans.append((at[1][1], k, done))
+    return [{"name": n, "source": "\n".join(lines[a:b]) + ("\n" if b < len(lines) else ""), "start_line": a, "end_line": b} for n, a, b in sorted(spans, key=lambda s: s[1:])]
+
+
+@F.pandas_udf(TEST)
+def tests_of(source: pd.Series, language: pd.Series) -> pd.Series:
+    """(name, source, start_line, end_line) of each test once, in order, lines from 0 and the end beyond the last (C-47).
+
+    Python by syntax tree, none where it doesn't parse; Go by name; Rust and Java from the attribute or annotation on, up
+    to three lines above the head. A test ends where its braces close, those in strings and comments aside; one that
+    never closes takes the rest.
+    """
+    return pd.Series([_tests(s, x) for s, x in zip(source, language, strict=True)])
+
+
 @F.pandas_udf(REGION)
 def rust_test_regions(source: pd.Series) -> pd.Series:
     """Line ranges of modules under #[cfg(test)], from the attribute to the brace that closes the module."""

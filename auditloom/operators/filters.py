@@ -108,8 +108,28 @@ def same_package(a: Column, b: Column, language: str) -> Column:
     return folder(a) == folder(b)
 
 
-def unresolved_imports(sources: DataFrame, modules: DataFrame) -> DataFrame:
-    """(path, module) for imports whose first name is no known module."""
-    found = F.regexp_extract_all(F.col("source"), F.lit(r"(?m)^\s*(?:from|import)\s+([A-Za-z_]\w*)"), F.lit(1))
-    used = sources.select("path", F.explode(F.array_distinct(found)).alias("module"))
-    return used.join(modules.select("module"), "module", "left_anti").select("path", "module")
+def resolved_imports(sources: DataFrame, modules: DataFrame, standard: DataFrame) -> DataFrame:
+    """(repo, path, module, prefix, resolved) of each import of Python sources (repo, path, content), once a file (F-41, R-20).
+
+    modules: (repo, module) with all packages, as tasks.repo_modules() gives it; standard: module, with submodules that may be
+    imported. prefix is the longest beginning of the dotted name that either holds, null without one; an import is
+    resolved where that is the whole name. Prefixes meet modules by equal keys, as many rows as a name has parts.
+    A name relative to its package isn't read, as it names no module by itself.
+    """
+    pattern = r"(?m)^\s*(?:from\s+([A-Za-z_][\w.]*)\s+import|import\s+([A-Za-z_][\w.]*))"
+    both = lambda g: F.regexp_extract_all(F.coalesce("content", F.lit("")), F.lit(pattern), F.lit(g))
+    names = F.array_distinct(F.transform(F.arrays_zip(both(1).alias("a"), both(2).alias("b")), lambda x: F.coalesce(F.nullif(x["a"], F.lit("")), x["b"])))
+    used = sources.select("repo", "path", F.explode(names).alias("module")).distinct()
+    parts = F.split("module", r"\.")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "."))
+    tried = used.select("*", F.explode(prefixes).alias("prefix"))
+    own = modules.select("repo", F.col("module").alias("prefix"), F.lit(True).alias("_own")).distinct()
+    common = standard.select(F.col("module").alias("prefix"), F.lit(True).alias("_standard")).distinct()
+    met = tried.join(own, ["repo", "prefix"], "left").join(common, "prefix", "left").withColumn("_met", F.when(F.col("_own") | F.col("_standard"), F.col("prefix")))
+    longest = met.groupBy("repo", "path", "module").agg(F.max_by("_met", F.when(F.col("_met").isNotNull(), F.length("_met"))).alias("prefix"))
+    return longest.select("repo", "path", "module", "prefix", F.coalesce(F.col("prefix") == F.col("module"), F.lit(False)).alias("resolved"))
+
+
+def unresolved_imports(sources: DataFrame, modules: DataFrame, standard: DataFrame) -> DataFrame:
+    """(repo, path, module) of the imports that resolved_imports() doesn't resolve."""
+    return resolved_imports(sources, modules, standard).where("not resolved").select("repo", "path", "module")
