@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditloom.functions import text
-
-#: Passages without a key that are sent to all documents at once.
-BLOCK = 10_000
+from auditloom.operators.substrings import contained
 
 
 def contaminated(instances: DataFrame, reference: DataFrame) -> DataFrame:
@@ -53,7 +51,7 @@ def containing(docs: DataFrame, passages: DataFrame, words: int = 8) -> DataFram
     The words of a passage but its first and last stand whole in any text that contains it, so its key is
     the first of them, at most ``words``; documents give the hashes of their runs of the lengths in use and
     neither side carries its text to the candidates. The texts of candidates decide. Passages of one or two
-    words have no such key: they are a query set held against all documents in blocks of ``BLOCK``.
+    words have no such key: the rarest of their short strings is theirs (substrings.contained). An empty passage stands in every text.
     """
     sized = passages.select("item_id", "passage").withColumn("_w", text.words(F.col("passage"))).withColumn("_n", F.least(F.lit(words), F.size("_w") - 2))
     counts = {r["_n"]: r["n"] for r in sized.groupBy("_n").agg(F.count(F.lit(1)).alias("n")).collect()}  # words + 3 rows at most
@@ -64,9 +62,11 @@ def containing(docs: DataFrame, passages: DataFrame, words: int = 8) -> DataFram
         runs = F.array_distinct(F.transform(F.flatten(F.array(*[text.word_runs(text.words(F.col("text")), n) for n in lengths])), lambda r: F.xxhash64(r)))
         pairs = docs.select("doc_id", F.explode(runs).alias("key")).join(keyed, "key").select("doc_id", "item_id").distinct()
         found.append(pairs.join(docs.select("doc_id", "text"), "doc_id").join(passages.select("item_id", "passage"), "item_id").where(F.contains("text", "passage")))
-    blocks = -(-sum(n for size, n in counts.items() if size <= 0) // BLOCK)
-    for k in range(blocks):
-        part = sized.where((F.col("_n") <= 0) & (F.pmod(F.xxhash64("item_id", "passage"), F.lit(blocks)) == k)).select("item_id", "passage")
-        found.append(docs.select("doc_id", "text").join(F.broadcast(part), F.contains("text", "passage")))  # about BLOCK passages of two words at most
+    if any(size <= 0 for size in counts):
+        short = sized.where("_n <= 0").select(F.col("item_id").alias("name_id"), F.col("passage").alias("name"))
+        found.append(contained(docs.select(F.col("doc_id").alias("id"), "text"), short).select(F.col("id").alias("doc_id"), F.col("name_id").alias("item_id")))
+        empty = short.where("name = ''").select(F.col("name_id").alias("item_id"))
+        if empty.limit(1).count():  # the result itself is all texts for each
+            found.append(docs.where("text is not null").select("doc_id").join(empty, F.lit(True)))
     parts = [f.select("doc_id", "item_id") for f in found] or [docs.select("doc_id").join(passages.select("item_id").limit(0), F.lit(False))]
     return reduce(DataFrame.union, parts).distinct()

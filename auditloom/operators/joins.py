@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from auditloom.operators.substrings import contained
+
 
 def before(events: DataFrame, bounds: DataFrame, key: str, at: str, bound: str) -> DataFrame:
     """Events earlier than their key's bound: an equi-join whose residual is the inequality."""
@@ -43,10 +45,11 @@ def snapped(rows: DataFrame, known: DataFrame, options: dict[str, Column]) -> Da
 
 
 def longest_contained(rows: DataFrame, text: str, names: DataFrame) -> DataFrame:
-    """rows with the longest of a small table of names that their text contains; null if none."""
-    row = rows.withColumn("_row", F.monotonically_increasing_id())
-    hits = row.join(F.broadcast(names.select("name")), F.contains(F.col(text), F.col("name"))).groupBy("_row").agg(F.max_by("name", F.struct(F.length("name"), "name")).alias("name"))
-    return row.join(hits, "_row", "left").drop("_row")
+    """rows with the longest of names that their text contains, the greatest of equal length; null if none. Equal texts are searched once."""
+    texts = rows.select(F.col(text).alias("id"), F.col(text).alias("text")).distinct()
+    hits = contained(texts, names.select(F.col("name").alias("name_id"), "name").distinct())
+    best = hits.groupBy(F.col("id").alias("_text")).agg(F.max_by("name_id", F.struct(F.length("name_id"), "name_id")).alias("name"))
+    return rows.join(best, F.col(text) == F.col("_text"), "left").drop("_text")
 
 
 def by_priority(rows: DataFrame, candidates: DataFrame, key: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditloom.functions.text import blank, module_name, number_of_id
+from auditloom.operators.substrings import contained
 
 #: Fields an instance must have, files of a task, parts of paths that hold no code of a repository's own.
 REQUIRED = ("repo", "instance_id", "base_commit", "patch", "test_patch", "problem_statement", "version", "FAIL_TO_PASS", "PASS_TO_PASS")
@@ -120,8 +121,9 @@ def related_files(targets: DataFrame, files: DataFrame, most: int = 3) -> DataFr
 
     targets: target_id, repo, file, function_name; files: repo, path, content. In order: modules that the
     target's file imports, test files that name its module or package, other files that name the function;
-    each file once, none of vendored or example code. Names are met as whole dotted words by equal keys, so
-    no text is searched for every target. line: where the snippet begins to be about the function, from 0.
+    each file once, none of vendored or example code. A name may be part of a word; names and texts of a
+    repository meet by equal keys (substrings.contained), so no text is searched for every target. line: where
+    the snippet begins to be about the function, from 0.
     """
     own = files.where(~F.col("path").rlike(NOT_OWN)).select("repo", "path")
     source = files.withColumnRenamed("path", "file").join(targets.select("target_id", "repo", "file").hint("shuffle_hash"), ["repo", "file"])
@@ -135,16 +137,14 @@ def related_files(targets: DataFrame, files: DataFrame, most: int = 3) -> DataFr
     keys = F.filter(F.array(dotted, F.regexp_replace(dotted, r"\.?[^.]*$", "")), lambda k: k != "")
     wanted = targets.select("target_id", "repo", F.explode(keys).alias("key"))
     tests = files.where(F.col("path").rlike(r"^tests?/(?:.*/)?test_[^/]*\.py$") & ~F.col("path").rlike(NOT_OWN))
-    segments = F.split(F.col("word"), r"\.")
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.size(segments)), lambda a: F.transform(F.sequence(a, F.size(segments)), lambda b: F.array_join(F.slice(segments, a, b - a + 1), "."))))
-    words = tests.select("repo", "path", F.explode(F.array_distinct(F.regexp_extract_all(blank(F.col("content")), F.lit(r"(\w+(?:\.\w+)*)"), F.lit(1)))).alias("word"))
-    named = words.select("repo", "path", F.explode(runs).alias("key")).distinct()
+    names_in = lambda texts, names: contained(texts.select("repo", F.col("path").alias("id"), F.col("content").alias("text")), names, on=("repo",)).select("repo", F.col("id").alias("path"), F.col("name_id").alias("key"))
+    named = names_in(tests, wanted.select("repo", F.col("key").alias("name_id"), F.col("key").alias("name")).distinct())
     order = F.when(F.col("path").startswith("tests/"), F.concat(F.lit("0"), "path")).otherwise(F.concat(F.lit("1"), "path"))
     tested = wanted.join(named, ["repo", "key"]).select("target_id", F.lit(1).alias("kind"), order.alias("rank"), "repo", "path").distinct()
 
     plain = files.where(F.col("path").endswith(".py") & ~F.col("path").rlike(NOT_OWN) & ~F.col("path").rlike(r"(^|/)tests?/|(^|/)test_[^/]*\.py$"))
-    tokens = plain.select("repo", "path", F.explode(F.array_distinct(F.regexp_extract_all(blank(F.col("content")), F.lit(r"(\w+)"), F.lit(1)))).alias("function_name"))
-    named_in = targets.select("target_id", "repo", "function_name").join(tokens, ["repo", "function_name"]).select("target_id", F.lit(2).alias("kind"), F.col("path").alias("rank"), "repo", "path")
+    tokens = names_in(plain, targets.select("repo", F.col("function_name").alias("name_id"), F.col("function_name").alias("name")).distinct())
+    named_in = targets.select("target_id", "repo", F.col("function_name").alias("key")).join(tokens, ["repo", "key"]).select("target_id", F.lit(2).alias("kind"), F.col("path").alias("rank"), "repo", "path")
 
     found = imports.unionByName(tested).unionByName(named_in).join(targets.select("target_id", "file", "function_name"), "target_id").where("path <> file")
     once = found.groupBy("target_id", "repo", "path", "function_name").agg(F.min(F.struct("kind", F.when(F.col("kind") == 0, F.lpad("rank", 9, "0")).otherwise(F.col("rank")).alias("rank"))).alias("first"))

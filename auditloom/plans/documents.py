@@ -201,9 +201,11 @@ def content_hash(read):
 
 @register("SELECT source, CAST(count(*) AS BIGINT) AS n, list_sort(list(doc_id))[1:20] AS first_ids FROM documents WHERE n_chars < 600 GROUP BY source")
 def top_ids(read):
+    """Only the first twenty of each source are sorted on; the count is an aggregate of its own."""
+    few = read("documents").where("n_chars < 600").select("source", "doc_id")
     w = Window.partitionBy("source").orderBy("doc_id")
-    few = read("documents").where("n_chars < 600").withColumn("r", F.row_number().over(w))
-    return few.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.when(F.col("r") <= 20, F.col("doc_id")))).alias("first_ids"))
+    first = few.withColumn("r", F.row_number().over(w)).where("r <= 20").groupBy("source").agg(F.array_sort(F.collect_list("doc_id")).alias("first_ids"))
+    return few.groupBy("source").agg(F.count(F.lit(1)).alias("n")).join(first.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).select("source", "n", "first_ids")
 
 
 @register("SELECT regexp_replace(substr(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), 1, 30), '-+$', '') AS slug, CAST(count(*) AS BIGINT) AS n FROM pages GROUP BY 1")

@@ -132,11 +132,13 @@ WITH a AS (SELECT o_orderkey AS k FROM orders WHERE o_totalprice > 200000), b AS
 SELECT 'intersect' AS op, CAST(count(*) AS BIGINT) AS n FROM (SELECT k FROM a INTERSECT SELECT k FROM b) UNION ALL SELECT 'ours', count(*) FROM (SELECT k FROM a EXCEPT SELECT k FROM b)
 UNION ALL SELECT 'theirs', count(*) FROM (SELECT k FROM b EXCEPT SELECT k FROM a) UNION ALL SELECT 'union', count(*) FROM (SELECT k FROM a UNION SELECT k FROM b)""")
 def setops(read):
-    a = read("orders").where("o_totalprice > 200000").select(F.col("o_orderkey").alias("k"))
-    b = read("lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("k"))
-    named = {"intersect": a.intersect(b), "ours": a.exceptAll(b.distinct()).distinct(), "theirs": b.select("k").subtract(a), "union": a.union(b).distinct()}
-    parts = [df.agg(F.lit(name).alias("op"), F.count(F.lit(1)).alias("n")) for name, df in named.items()]
-    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    """Both sides of keys meet once; the four counts are sums over one full join."""
+    a = read("orders").where("o_totalprice > 200000").select(F.col("o_orderkey").alias("k")).distinct().withColumn("ours", F.lit(True))
+    b = read("lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("k")).distinct().withColumn("theirs", F.lit(True))
+    ours, theirs = F.col("ours").isNotNull(), F.col("theirs").isNotNull()
+    met = {"intersect": ours & theirs, "ours": ours & ~theirs, "theirs": theirs & ~ours, "union": ours | theirs}
+    counts = a.join(b, "k", "full").agg(*[F.count_if(m).alias(n) for n, m in met.items()])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("op"), F.col(n).alias("n")) for n in met])).alias("r")).select("r.*")
 
 
 @register("""SELECT p_partkey, sha256('{"brand":"' || p_brand || '","name":"' || p_name || '","size":"' || p_size || '","type":"' || p_type || '"}') AS spec_hash FROM part""")

@@ -153,7 +153,7 @@ def test_stream_equals_batch(spark, tmp_path):
         assert spark.read.schema(landed.schema).json(str(tmp_path / "lines")).count() == 2
 
 
-def test_containing_is_brute_force_containment(spark, monkeypatch):
+def test_containing_is_brute_force_containment(spark):
     import random
 
     from auditloom.operators import decontam
@@ -165,8 +165,28 @@ def test_containing_is_brute_force_containment(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     items = spark.createDataFrame(list(enumerate(passages)), "item_id int, passage string")
     want = {(d, i) for d, t in enumerate(texts) for i, p in enumerate(passages) if t is not None and p is not None and p in t}
-    for block in (decontam.BLOCK, 4):
-        monkeypatch.setattr(decontam, "BLOCK", block)
-        got = [tuple(r) for r in decontam.containing(docs, items).collect()]
-        assert len(got) == len(set(got)) and set(got) == want
+    got = [tuple(r) for r in decontam.containing(docs, items).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
     assert decontam.containing(docs, items.limit(0)).count() == 0 and decontam.containing(docs.limit(0), items).count() == 0
+
+
+def test_names_in_texts(spark):
+    """Against plain search; names of all lengths, signs beyond one UTF-16 unit, common and rare strings; no nested loop in the plan."""
+    import random
+
+    from auditloom.operators import substrings
+
+    draw = random.Random(9)
+    texts = ["".join(draw.choice("aab🙂é ") for _ in range(draw.randint(0, 60))) for _ in range(80)] + [None, "", "get_run run", "a" * 5000]
+    names = [t[i : i + draw.randint(1, 9)] for t in texts[:80] if t for i in (draw.randrange(len(t)),)] + ["run", "zzz", "a", "🙂", "", None, "t_r"]
+    left = spark.createDataFrame(list(enumerate(texts)) + [(0, texts[0])], "id int, text string")
+    right = spark.createDataFrame(list(enumerate(names)), "name_id int, name string")
+    want = {(i, k) for i, t in enumerate(texts) for k, n in enumerate(names) if t is not None and n and n in t}
+    for size in (1, 3, 5):
+        df = substrings.contained(left, right, size)
+        got = [tuple(r) for r in df.collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert "NestedLoop" not in df._jdf.queryExecution().toString() and "Cartesian" not in df._jdf.queryExecution().toString()
+    assert substrings.contained(left, right.limit(0)).count() == 0
+    rows = spark.createDataFrame([("get_run",), ("x",), (None,), ("get_run",)], "t string")
+    assert [r.name for r in joins.longest_contained(rows, "t", spark.createDataFrame([("run",), ("et_",), ("get",), ("",)], "name string")).orderBy("t").collect()] == [None, "run", "run", None]

@@ -62,6 +62,6 @@ def test_modules_and_related_files(spark):
     assert {"app", "app.core", "app.use", "src", "src.app", "src.app.util", "tests", "tests.test_core"} <= modules and not any("vendor" in m or "example" in m or "__init__" in m for m in modules)
     targets = spark.createDataFrame([(1, "r", "src/app/core.py", "run"), (2, "q", "a.py", "run")], "target_id int, repo string, file string, function_name string")
     got = tasks.related_files(targets, files, 9).orderBy("target_id", "nth").collect()
-    assert [(r["target_id"], r["file"], r["line"]) for r in got] == [(1, "src/app/util.py", 0), (1, "tests/test_core.py", 3), (1, "src/app/use.py", 1), (1, "src/app/zed.py", 0)]
-    assert got[1]["snippet"] == FILES["tests/test_core.py"]
+    assert [(r["target_id"], r["file"], r["line"]) for r in got] == [(1, "src/app/util.py", 0), (1, "tests/deep/test_other.py", 0), (1, "tests/test_core.py", 3), (1, "src/app/no.py", 0), (1, "src/app/use.py", 1), (1, "src/app/zed.py", 0)]
+    assert got[2]["snippet"] == FILES["tests/test_core.py"]
     assert [r["file"] for r in tasks.related_files(targets, files, 1).collect()] == ["src/app/util.py"]
