@@ -39,7 +39,7 @@ def python_message(output: Column) -> Column:
 
 def loose_pytest(output: Column) -> Column:
     """(passed, failed): on lines that begin with or hold a verdict, the first token with ``::`` (C-57)."""
-    lines = F.transform(F.split(blank(output), r"\r\n|\r|\n"), F.trim)
+    lines = F.transform(F.split(blank(output), r"\r\n|\r|\n"), lambda x: F.trim(x))
     told = lambda word: lambda x: x.startswith(word) | x.contains(f" {word}")
     named = lambda xs: F.filter(F.transform(xs, lambda x: F.regexp_extract(x, r"(\S*::\S*)", 1)), lambda t: t != "")
     passed = F.filter(lines, told("PASSED"))

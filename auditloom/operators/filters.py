@@ -133,3 +133,16 @@ def resolved_imports(sources: DataFrame, modules: DataFrame, standard: DataFrame
 def unresolved_imports(sources: DataFrame, modules: DataFrame, standard: DataFrame) -> DataFrame:
     """(repo, path, module) of the imports that resolved_imports() doesn't resolve."""
     return resolved_imports(sources, modules, standard).where("not resolved").select("repo", "path", "module")
+
+
+def kept_unless_failed(check: Column) -> Column:
+    """Rows whose check wasn't made stay, those that failed it go (R-38)."""
+    return F.coalesce(check, F.lit(True))
+
+
+def with_logs(rows: DataFrame, repos: list[str], logs: tuple[str, ...]) -> DataFrame:
+    """Rows of the repositories whose logs are all there (F-33)."""
+    there = F.col("repo").isin(repos)
+    for name in logs:
+        there = there & (F.trim(F.coalesce(F.col(name), F.lit(""))) != "")
+    return rows.where(there)

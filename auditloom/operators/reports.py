@@ -66,3 +66,12 @@ def diversity(rows: DataFrame, keys: list[str], thing: Column, size: Column) ->
     """Distinct things, mean size, coefficient of variation, and a composite capped at 1."""
     out = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(thing).alias("n_distinct"), F.round(F.avg(size), 6).alias("mean_size"), F.round(ratio(F.stddev_pop(size), F.avg(size)), 6).alias("cv_size"))
     return out.withColumn("composite", F.round((F.least(F.lit(1.0), ratio(F.col("n_distinct").cast("double"), F.col("n"))) + F.least(F.lit(1.0), F.col("cv_size"))) / 2, 5))
+
+
+def comparison_lines(rows: DataFrame, ours: str, theirs: str) -> DataFrame:
+    """(instance_id, status, only_ours, only_theirs) of both sides' test lists: EXACT, or the similarity to two places and what each has alone (R-01)."""
+    a, b = (F.array_sort(F.array_distinct(F.coalesce(F.col(c), F.array().cast("array<string>")))) for c in (ours, theirs))
+    union = F.size(F.array_union(a, b))
+    similarity = F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / union)
+    status = F.when(a == b, "EXACT").otherwise(F.concat(F.lit("J="), F.format_string("%.2f", similarity)))
+    return rows.select("instance_id", status.alias("status"), F.array_except(a, b).alias("only_ours"), F.array_except(b, a).alias("only_theirs"))

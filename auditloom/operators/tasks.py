@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditloom.functions.text import blank, module_name, number_of_id
+from auditloom.operators.assembly import listed
 from auditloom.operators.substrings import contained
 
 #: Fields an instance must have, files of a task, parts of paths that hold no code of a repository's own.
@@ -157,3 +158,63 @@ def related_files(targets: DataFrame, files: DataFrame, most: int = 3) -> DataFr
     start = F.greatest(F.lit(0), F.col("line") - 5)
     out = few.join(files, ["repo", "path"]).withColumn("line", line)
     return out.select("target_id", F.col("path").alias("file"), "line", F.array_join(F.slice(lines, start + 1, F.col("line") + 15 - start), "\n").alias("snippet"), "nth")
+
+
+def from_dataset(rows: DataFrame) -> DataFrame:
+    """Task records from a dataset's rows whose test lists may be JSON or arrays, with defaults for what rows may lack (P-15)."""
+    kinds = dict(rows.dtypes)
+    tests = lambda n: listed(F.col(n)) if kinds.get(n, "").startswith("array") else F.coalesce(F.col(n), F.lit("[]")) if n in kinds else F.lit("[]")
+    kept = lambda n, default: (F.coalesce(F.col(n), F.lit(default)) if n in kinds else F.lit(default)).alias(n)
+    needed = ("repo", "instance_id", "base_commit", "patch", "test_patch", "problem_statement")
+    return rows.select(*needed, kept("hints_text", ""), kept("created_at", ""), kept("version", "unknown"), tests("FAIL_TO_PASS").alias("FAIL_TO_PASS"), tests("PASS_TO_PASS").alias("PASS_TO_PASS"))
+
+
+def repo_of_path(path: Column) -> Column:
+    """owner/name from a local path that ends in owner__name; anything else as it is (P-18)."""
+    slug = F.regexp_extract(F.regexp_replace(path, "/+$", ""), r"([^/]*)$", 1)
+    local = (F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit(""))) > 1) & slug.contains("__")
+    return F.when(local, F.regexp_replace(slug, "^(.*?)__", "$1/")).otherwise(path)
+
+
+def instance_folder(instance_id: Column) -> Column:
+    """A folder's name for an instance: its id up to the last dash, then the id (R-08)."""
+    return F.concat(F.regexp_replace(instance_id, "-[^-]*$", ""), F.lit("/instances/"), instance_id)
+
+
+def validation_output(output: Column, failed: Column, status: Column, said: Column) -> Column:
+    """(status, fail_to_pass, pass_to_pass, error_message) of what an agent left, an error where it failed or left nothing that can be read (R-16)."""
+    left = F.from_json(output, "status string, FAIL_TO_PASS array<string>, PASS_TO_PASS array<string>, error_message string, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    none = F.array().cast("array<string>")
+    told = F.concat(F.lit("Agent failed: "), F.coalesce(status, F.lit("None")), F.lit(" - "), F.coalesce(F.nullif(said, F.lit("")), F.lit("no output")))
+    read = ~F.coalesce(failed, F.lit(False)) & output.isNotNull()
+    fine = read & left.isNotNull() & left["_bad"].isNull()
+    return F.struct(
+        F.when(fine, F.coalesce(left["status"], F.lit("error"))).otherwise("error").alias("status"), F.when(fine, F.coalesce(left["FAIL_TO_PASS"], none)).otherwise(none).alias("fail_to_pass"),
+        F.when(fine, F.coalesce(left["PASS_TO_PASS"], none)).otherwise(none).alias("pass_to_pass"), F.when(fine, left["error_message"]).when(read, "result can't be read").otherwise(told).alias("error_message"),
+    )
+
+
+def toml_fields(toml: Column) -> Column:
+    """(docker_image, instance_id, repo) of a task's description, null where absent (R-27)."""
+    value = lambda k: F.nullif(F.regexp_extract(blank(toml), rf'{k}\s*=\s*"([^"]+)"', 1), F.lit("")).alias(k)
+    return F.struct(*[value(k) for k in ("docker_image", "instance_id", "repo")])
+
+
+def script_command(script: Column, default: str = "go test -v -count=1 ./...") -> Column:
+    """The command by which a test script runs its tests: of lines that begin with a variable or a folder, the first that calls a runner, without its redirection (R-27)."""
+    lines = F.filter(F.transform(F.split(blank(script), r"\r\n|\r|\n"), lambda x: F.trim(x)), lambda x: x.startswith("$") | x.startswith("(cd "))
+    clean = F.transform(lines, lambda x: F.regexp_replace(F.replace(x, F.lit("$$"), F.lit("$")), r'\s*>\s*"\$LOG_FILE".*', ""))
+    return F.coalesce(F.get(F.filter(clean, lambda x: x.rlike("go test|pytest|cargo test")), F.lit(0)), F.lit(default))
+
+
+def target_counts(targets: DataFrame, tests: DataFrame) -> DataFrame:
+    """(repo, total, with_tests): each repository's targets (repo, target_id), and those that tests (repo, target_id) name (R-39)."""
+    found = targets.join(tests.select("repo", "target_id", F.lit(True).alias("_tested")).distinct(), ["repo", "target_id"], "left")
+    return found.groupBy("repo").agg(F.count(F.lit(1)).alias("total"), F.count("_tested").alias("with_tests"))
+
+
+def relevance(source: Column, function_name: Column, file: Column) -> Column:
+    """How many of a bug's function and file name a test's source holds, in any case (R-43, O-03)."""
+    stem = F.regexp_replace(F.regexp_extract(file, r"([^/]*)$", 1), r"(?<=.)\.[^.]*$", "")
+    names = F.array_distinct(F.filter(F.array(F.lower(function_name), F.lower(stem)), lambda n: n.isNotNull() & (n != "")))
+    return F.size(F.filter(names, lambda n: F.lower(blank(source)).contains(n)))

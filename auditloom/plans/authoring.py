@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditloom.functions import assertions, code, diff, messages
-from auditloom.operators import assembly, filters, tasks
+from auditloom.operators import assembly, filters, specs, tasks
 from auditloom.plans.common import Register
 from auditloom.streaming import retries
 
@@ -179,3 +179,34 @@ def retry_steps(read):
     status = F.coalesce(*[F.when(F.col("event_type") == e, s) for e, s in kinds.items()], F.lit("error_during_execution"))
     missing = F.when(F.col("event_type") == "purchase", F.array(F.lit("out.json")))
     return retries.steps(read("events").select(F.col("user_id").cast("string").alias("task_id"), F.struct("ts", "event_id").alias("at"), status.alias("status"), F.col("event_type").alias("output"), missing.alias("missing")))
+
+
+@register("""
+WITH p AS (SELECT p_partkey, p_size, string_split(p_name, ' ') AS w, lower(p_type) AS t FROM part),
+f AS (
+  SELECT p_partkey, p_size % 4 = (p_size % 5) % 4 AS python, CASE WHEN p_size % 3 = 0 THEN p_size % 6 = 0 ELSE p_size % 6 <> 5 END AS install, p_size % 2 = p_size % 3 AS runner,
+    list_distinct([w[1], w[2]]) AS a, list_distinct(CASE WHEN p_size % 7 = 0 THEN [] WHEN p_size % 2 = 0 THEN [w[2], t] ELSE [w[1]] END) AS b, p_size % 3 <> 1 AS steps FROM p
+), g AS (SELECT *, len(list_intersect(a, b)) AS c, len(b) AS n FROM f)
+SELECT p_partkey AS version, python, install, runner, n = 0 OR c >= 0.8 * n AS packages, steps,
+  CASE WHEN n = 0 THEN 'no expected packages to match' ELSE c || '/' || n || ' expected packages covered (' || CASE WHEN c = n THEN '100' WHEN c = 0 THEN '0' ELSE '50' END || '%)'
+    || CASE WHEN c < n THEN '; missing: [' || list_aggregate(list_transform(list_sort(list_filter(b, lambda x: list_position(a, x) IS NULL OR list_position(a, x) = 0)), lambda x: chr(39) || x || chr(39)), 'string_agg', ', ') || ']' ELSE '' END
+    || CASE WHEN c < len(a) THEN '; extra: [' || list_aggregate(list_transform(list_sort(list_filter(a, lambda x: list_position(b, x) IS NULL OR list_position(b, x) = 0)), lambda x: chr(39) || x || chr(39)), 'string_agg', ', ') || ']' ELSE '' END END AS detail,
+  CAST(python AS INT) + CAST(install AS INT) + CAST(runner AS INT) + CAST(n = 0 OR c >= 0.8 * n AS INT) + CAST(steps AS INT) AS matched FROM g""")
+def spec_scores(read):
+    """Parts as environments: a generated and a known spec each, from the part's size and words."""
+    size, word = F.col("p_size"), lambda k: F.get(F.split("p_name", " "), F.lit(k))
+    runners = lambda c: F.when(c == 0, "pytest -rA").when(c == 1, "tox -e py").otherwise("python -m unittest")
+    none = F.array().cast("array<string>")
+    part = read("part")
+    key = (F.lit("r").alias("repo"), F.col("p_partkey").alias("version"))
+    generated = part.select(
+        *key, F.concat(F.lit("3."), (size % 4 + 8).cast("string"), F.when(size % 3 == 0, ".1").otherwise("")).alias("language_version"), F.when(size % 3 == 0, "make").otherwise("pip  install .").alias("install_cmd"),
+        runners(size % 2).alias("test_cmd"), F.array(F.concat(F.upper(word(0)), F.lit("==1.0")), F.concat(word(1), F.lit(">2"))).alias("pip_packages"), F.when(size % 3 == 1, F.array(F.lit("a"))).otherwise(F.array(F.lit("a"), F.lit("b"), F.lit("a"))).alias("pre_install"),
+    )
+    known = part.select(
+        *key, F.concat(F.lit("3."), ((size % 5) % 4 + 8).cast("string")).alias("python"), F.when(size % 6 == 0, "make").when(size % 6 == 5, "./setup").otherwise("python -m pip install -e .").alias("install"),
+        runners(size % 3).alias("test_cmd"), F.when(size % 7 == 0, none).when(size % 2 == 0, F.array(word(1), F.lower("p_type"))).otherwise(F.array(word(0))).alias("pip_packages"), F.array(F.lit("b"), F.lit("a")).alias("pre_install"),
+    )
+    rows = specs.scored(generated, known)
+    match = lambda k: F.get("fields", F.lit(k))["match"]
+    return rows.select("version", *[match(k).alias(n) for k, n in enumerate(("python", "install", "runner", "packages", "steps"))], F.get("fields", F.lit(3))["detail"].alias("detail"), "matched")
