@@ -41,6 +41,26 @@ def resolved(status: Column, kind: Column, rule: str = "strict") -> Column:
     return all_of(first, status == "passed")
 
 
+def resolved_by_log(log: Column, fixed: Column, kept: Column, language: str) -> Column:
+    """Whether a log has all tests of fixed pass, of which there must be one, and none of kept fail (A-10b).
+
+    python: a test's name may stand anywhere in a line that says PASSED or FAILED beside it; rust: lines of that very
+    test count, and an error with a number fails the whole. Null logs and lists are empty, empty names count as none.
+    """
+    lines = F.split(F.coalesce(log, F.lit("")), "\n")
+    names = lambda c: F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda t: t.isNotNull() & (t != ""))
+    if language == "rust":
+        ok, bad = (F.filter(lines, lambda x: x.startswith("test ") & x.contains(" ... ok")), F.filter(lines, lambda x: x.startswith("test ") & x.contains(" ... FAILED")))
+        says = lambda said, t, w: F.exists(said, lambda x: x.startswith(F.concat(F.lit("test "), t, F.lit(f" ... {w}"))))
+        compiled = ~F.exists(lines, lambda x: x.rlike(r"^error\[E\d{4}\]"))
+        words = ("ok", "FAILED")
+    else:
+        ok, bad = F.filter(lines, lambda x: x.contains("PASSED")), F.filter(lines, lambda x: x.contains("FAILED"))
+        says = lambda said, t, w: F.exists(said, lambda x: F.contains(x, t) & F.contains(F.replace(x, t, F.lit("\n")), F.lit(w)))
+        compiled, words = F.lit(True), ("PASSED", "FAILED")
+    return compiled & (F.size(names(fixed)) > 0) & F.forall(names(fixed), lambda t: says(ok, t, words[0])) & ~F.exists(names(kept), lambda t: says(bad, t, words[1]))
+
+
 def validation_status(stable_first: Column, compiled: Column, error: Column) -> Column:
     return F.when(error.isNotNull(), "error").when(~compiled | (F.size(stable_first) == 0), "invalid").otherwise("valid")
 

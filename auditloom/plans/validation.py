@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditloom.functions import code
-from auditloom.operators import patches, runs
+from auditloom.operators import patches, runs, verdicts
 from auditloom.plans.common import Register
 
 register = Register()
@@ -75,3 +75,20 @@ def moved_hunks(read):
     parts = patches.refined(diffs, diffs).withColumnRenamed("gold", "_gold").withColumnRenamed("test", "_test")
     again = code.applied("source", F.concat_ws("", "_gold", "_test"), "path")
     return diffs.join(parts, "instance_id").select(F.col("instance_id").alias("doc_id"), F.size(patches.hunks(F.col("gold"))).alias("n_hunks"), "n_moved", (again == F.col("changed")).alias("restored"))
+
+
+@register("""
+WITH e AS (SELECT user_id, event_type, value >= 8 AS ok, CAST(json_extract(props, '$.k') AS BIGINT) % 3 AS k FROM events)
+SELECT user_id AS instance_id, bool_or(event_type = 'click' AND k = 1 AND ok) AND bool_or(event_type = 'view' AND ok) AND NOT bool_or(event_type = 'error' AND k = 2 AND NOT ok) AS python,
+  user_id % 13 <> 0 AND bool_or(event_type = 'click' AND k = 1 AND ok) AND bool_or(event_type = 'view' AND k = 0 AND ok) AND NOT bool_or(event_type = 'error' AND k = 2 AND NOT ok) AS rust
+FROM e GROUP BY user_id""")
+def resolve_by_log(read):
+    """A user's events as lines of two tools' logs; python's names are parts of words, rust's are whole."""
+    name = F.concat("event_type", F.lit("_"), (F.from_json("props", "k bigint")["k"] % 3).cast("string"))
+    ok = F.col("value") >= 8
+    lines = read("events").select("user_id", F.concat(F.lit("tests/t.py::"), name, F.when(ok, " PASSED").otherwise(" FAILED")).alias("p"), F.concat(F.lit("test "), name, F.when(ok, " ... ok").otherwise(" ... FAILED")).alias("r"))
+    logs = lines.groupBy("user_id").agg(F.array_join(F.collect_list("p"), "\n").alias("python"), F.array_join(F.collect_list("r"), "\n").alias("rust"))
+    broken = F.concat("rust", F.when(F.col("user_id") % 13 == 0, "\nerror[E0432]: unresolved").otherwise(""))
+    tests = lambda *t: F.array(*[F.lit(x) for x in t])
+    python = verdicts.resolved_by_log(F.col("python"), tests("click_1", "t.py::view"), tests("error_2"), "python")
+    return logs.select(F.col("user_id").alias("instance_id"), python.alias("python"), verdicts.resolved_by_log(broken, tests("click_1", "view_0"), tests("error_2", ""), "rust").alias("rust"))

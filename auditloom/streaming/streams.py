@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from auditloom.sources.sinks import append_unseen, existing
+from auditloom.sources.sinks import existing
 
 
 def landed(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None, format: str = "json") -> DataFrame:
@@ -38,8 +38,13 @@ def with_cache(stream: DataFrame, cache: DataFrame, key: str) -> DataFrame:
 
 
 def to_lines(stream: DataFrame, path: str, checkpoint: str, key: str = "instance_id") -> StreamingQuery:
-    """All that has landed, appended once: a batch that runs again finds its keys there and adds nothing."""
-    return stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(lambda rows, _: append_unseen(rows.dropDuplicates([key]), path, key)).start()
+    """All that has landed, each key once, a folder ``batch=<n>`` a batch (K-06).
+
+    The keys seen are state of the stream, so that a batch reads nothing of what was written before; one
+    that runs again overwrites its own folder.
+    """
+    once = stream.dropDuplicates([key])
+    return once.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(lambda rows, n: rows.write.mode("overwrite").json(f"{path}/batch={n}")).start()
 
 
 def stage(spark: SparkSession, source: str, schema: StructType, where: Column, columns: list[Column], path: str, checkpoint: str) -> StreamingQuery:
@@ -48,16 +53,18 @@ def stage(spark: SparkSession, source: str, schema: StructType, where: Column, c
     return rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).format("json").start(path)
 
 
-def snapshots(stream: DataFrame, path: str, checkpoint: str, key: str = "instance_id", every: str | None = None) -> StreamingQuery:
+def snapshots(stream: DataFrame, path: str, checkpoint: str, key: str = "instance_id", every: str | None = None, keep: int = 2) -> StreamingQuery:
     """All rows so far, written anew with each batch as a folder of the batch's number; the folder with the largest is whole (K-15, T-09).
 
-    A batch that runs again overwrites its own folder, which it makes from the one before it.
+    A batch that runs again overwrites its own folder, which it makes from the one before it. Folders but the last ``keep`` go.
     """
 
     def write(rows: DataFrame, batch: int) -> None:
         before = existing(rows.sparkSession, f"{path}/{batch - 1}", rows.schema)
         fresh = rows.dropDuplicates([key])
         before.join(fresh.select(key), key, "left_anti").select(*rows.columns).unionByName(fresh).write.mode("overwrite").json(f"{path}/{batch}")
+        old = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path}/{batch - max(keep, 2)}")
+        old.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).delete(old, True)
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()

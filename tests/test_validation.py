@@ -166,3 +166,17 @@ def test_test_regions(spark):
     text = "line1\nline2\n#[cfg(test)]\nmod t {\n  fn f() {}\n}\nline7\n#[cfg(test)]\nfn alone() {}\n#[cfg(test)]\n#[allow(x)]\npub mod u {\n}"
     rows = spark.createDataFrame([(text,), ("",), (None,)], "s string").select(code.rust_test_regions("s").alias("r")).collect()
     assert [[tuple(x) for x in r.r] for r in rows] == [[(3, 6), (10, 13)], [], []]
+
+
+def test_resolved_by_log(spark):
+    from auditloom.operators import verdicts
+
+    rows = [
+        ("python", "t.py::a[x] PASSED [ 1%]\nPASSED t.py::b", ["a[x]", "t.py::b"], ["c"], True), ("python", "t.py::ab PASSED", ["t.py::a"], [], True), ("python", "t.py::a PASSED", [], [], False), ("python", "t.py::a PASSED", [""], None, False),
+        ("python", "t.py::a PASSED\nt.py::b FAILED", ["a"], ["b"], False), ("python", "PASSED", ["PASSED"], [], False), ("python", None, ["a"], [], False),
+        ("rust", "test m::a ... ok", ["m::a"], ["b"], True), ("rust", "test m::ab ... ok", ["m::a"], [], False), ("rust", "test a ... ok\nerror[E0432]: x", ["a"], [], False), ("rust", "test a ... ok\ntest b ... FAILED", ["a"], ["b"], False), ("rust", " test a ... ok", ["a"], [], False),
+    ]
+    df = spark.createDataFrame([(i, *r[1:]) for i, r in enumerate(rows)], "i int, log string, f array<string>, k array<string>, want boolean")
+    for language in ("python", "rust"):
+        got = {r.i: r.ok for r in df.select("i", verdicts.resolved_by_log(F.col("log"), F.col("f"), F.col("k"), language).alias("ok")).collect()}
+        assert [got[i] for i, r in enumerate(rows) if r[0] == language] == [r[4] for r in rows if r[0] == language]
