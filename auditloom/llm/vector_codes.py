@@ -121,7 +121,7 @@ def coded(books: np.ndarray, cuts: list[tuple[int, int]]):
 def fitted(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """The codebooks (entries x components) of vectors (_row, vec_id, ints; bucketed by _row), and the parts' places."""
     first = [r[0] for r in vectors.orderBy(F.col("vec_id").asc_nulls_last(), "ints").limit(entries).select("ints").collect()]
-    books = np.array(first, np.int64).reshape(len(first), -1)
+    books = np.array(first, np.int64).reshape(len(first), len(first[0]) if first else 0)
     cuts = widths(books.shape[1], parts)
     if not len(books):
         return books, cuts
