@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditloom.functions import assertions, code, diff, messages
-from auditloom.operators import assembly, filters, specs, tasks
+from auditloom.operators import assembly, collected, filters, specs, tasks
 from auditloom.plans.common import Register
 from auditloom.streaming import retries
 
@@ -210,3 +210,42 @@ def spec_scores(read):
     rows = specs.scored(generated, known)
     match = lambda k: F.get("fields", F.lit(k))["match"]
     return rows.select("version", *[match(k).alias(n) for k, n in enumerate(("python", "install", "runner", "packages", "steps"))], F.get("fields", F.lit(3))["detail"].alias("detail"), "matched")
+
+
+@register("""
+WITH p AS (
+  SELECT source AS repo, doc_id AS n, '2024-' || lpad(CAST(doc_id % 12 + 1 AS VARCHAR), 2, '0') AS created,
+    CASE doc_id % 4 WHEN 0 THEN 'Fixes #' || (doc_id % 50 + 1) || ' and closes #7' WHEN 1 THEN 'About STOR-' || doc_id WHEN 2 THEN 'rhbz#12 OCPBUGS-5' ELSE 'plain' END AS title FROM documents
+)
+SELECT repo, n AS pr_number, title, CASE n % 4 WHEN 0 THEN list_sort(list_distinct([n % 50 + 1, 7])) ELSE [] END AS resolved_issues, CASE n % 4 WHEN 1 THEN ['STOR-' || n] WHEN 2 THEN ['OCPBUGS-5'] ELSE [] END AS resolved_keys,
+  CASE n % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.7 ELSE 0.9 END AS link_confidence, CASE n % 2 WHEN 0 THEN 'parent' ELSE 'base' END AS base_commit, 'https://github.com/' || repo || '/pull/' || n || '.diff' AS diff_url
+FROM p WHERE n % 5 <> 0 AND created BETWEEN '2024-03' AND '2024-10' AND n % 4 <> 3 AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = p.n)""")
+def collected_pulls(read):
+    """Documents as merge requests, those with a label known already."""
+    docs, n = read("documents"), F.col("doc_id")
+    title = F.when(n % 4 == 0, F.concat(F.lit("Fixes #"), (n % 50 + 1).cast("string"), F.lit(" and closes #7"))).when(n % 4 == 1, F.concat(F.lit("About STOR-"), n.cast("string"))).when(n % 4 == 2, "rhbz#12 OCPBUGS-5").otherwise("plain")
+    pulls = docs.select(
+        F.col("source").alias("repo"), n.alias("number"), title.alias("title"), F.lit(None).cast("string").alias("body"), F.concat(F.lit("2024-"), F.lpad((n % 12 + 1).cast("string"), 2, "0")).alias("created_at"),
+        F.when(n % 5 != 0, "2025").alias("merged_at"), F.lit("merge").alias("merge_commit_sha"), F.lit("base").alias("base_sha"), F.when(n % 2 == 0, "parent").alias("parent_sha"), F.lit(None).cast("string").alias("diff_url"),
+    )
+    known = docs.select(F.col("source").alias("repo"), n.alias("number")).join(read("labels").select(n.alias("number")).distinct(), "number", "left_semi")
+    found = collected.candidates(pulls, known, "2024-03", "2024-10")
+    return found.select("repo", "pr_number", "title", "resolved_issues", F.col("resolved_jira_issues").alias("resolved_keys"), "link_confidence", "base_commit", "diff_url")
+
+
+@register("""
+WITH e AS (SELECT event_id, event_type AS t, CAST(json_extract(props, '$.k') AS VARCHAR) AS k FROM events)
+SELECT event_id, CASE t WHEN 'error' THEN 'got ' || k || ', want 3' WHEN 'view' THEN 'expected ' || k || ' to equal 4' WHEN 'click' THEN 'no ' || k END AS go,
+  CASE t WHEN 'error' THEN k || ' != 2' WHEN 'view' THEN 'f(' || k || ')' WHEN 'click' THEN k || ' == 1' END AS assertion, CASE t WHEN 'purchase' THEN 'ValueError: ' || k END AS detail,
+  CASE t WHEN 'error' THEN 'Changed ''<'' to ''<='' in computation, producing wrong results for certain inputs' WHEN 'view' THEN 'Removed negation from condition, skipping important validation'
+    WHEN 'click' THEN 'Changed return value to None, breaking callers that expect a value' WHEN 'purchase' THEN 'Removed error handling, allowing invalid state to propagate silently' ELSE 'Subtle logic change affecting function output under certain inputs' END AS change FROM e""")
+def failure_messages(read):
+    """Events as outputs of failing tests in two languages, and as changes of a line."""
+    k, kind = F.from_json("props", "k bigint")["k"].cast("string"), F.col("event_type")
+    by = lambda **forms: F.coalesce(*[F.when(kind == e, F.concat(*[k if part is None else F.lit(part) for part in form])) for e, form in forms.items()], F.lit("ok"))
+    go = by(error=("x\n  x_test.go:5: got ", None, ", want 3\nError: late"), view=("expected ", None, " to equal 4\n"), click=("a\n\tError:  \tno ", None, "\nb"))
+    python = by(error=("> assert f()\nE   AssertionError: ", None, " != 2\n"), view=(">       assert f(", None, ")\n"), click=("E    assert ", None, " == 1"), purchase=("FAILED t.py::a - ValueError: ", None))
+    before = by(error=("return a < ", None), view=("if not a[", None, "]:"), click=("return ", None), purchase=("raise E(", None, ")"), signup=("a",))
+    after = by(error=("return a <= ", None), view=("if a[", None, "]:"), click=("return None",), purchase=("pass",), signup=("b",))
+    said = messages.python_message(python)
+    return read("events").select("event_id", messages.go_message(go).alias("go"), said["assertion"].alias("assertion"), said["detail"].alias("detail"), messages.described_change(before, after, assertions.SWAPS).alias("change"))
