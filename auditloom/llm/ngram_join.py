@@ -17,7 +17,9 @@ together after the first rounds, and no link between classes of different compon
 Shingles that more than ``HOT`` documents may hold are dealt in parts, and their partners to each part.
 A pair is dropped before its texts are moved if the places of a shared shingle prove it too far apart:
 what both hold before it is at most what either's prefix shares with anyone, and what they hold after
-it at most what either has left.
+it at most what either has left. In the last round over frequent shingles it is dropped, too, if the sets'
+marks prove it: of 256 bits each shingle turns one over, so that sets differ in at least as many shingles as
+their marks in bits. Texts that share much, but too little, give no row then.
 
 Defined results: null and empty texts, and texts of white space, have the empty set and link with
 nothing; texts shorter than a shingle are one shingle as a whole; rows that repeat are links of their
@@ -53,6 +55,8 @@ ROUNDS = (8, 64)
 CHUNK = 64
 #: Documents of one shingle, by the sketch, that stand in one part.
 HOT = 1 << 16
+#: Words of 64 bits of a set's marks.
+MARKS = ("m0", "m1", "m2", "m3")
 #: What a class brings to a pair.
 FIELDS = ("set", "n", "shared", "label", "place", "nth")
 
@@ -65,19 +69,25 @@ def set_key(tokens: np.ndarray) -> int:
     return int(mixed(h[:1] * np.uint64(3) + h[1:])[0].astype(np.int64))
 
 
+def marks(tokens: np.ndarray) -> np.ndarray:
+    """256 bits, each whether an odd number of the set's shingles falls on it."""
+    odd = np.bincount((mixed(tokens) >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 @frugal
 def described(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """(id, n, set, text_key): each document's set size and key, of rows (id, text, text_key); and (block, cells, counts) of the partition's sketch."""
+    """(id, n, set, text_key, MARKS): each document's set size, key and marks, of rows (id, text, text_key); and (block, cells, counts) of the partition's sketch."""
     counters = np.zeros(1 << SKETCH_BITS, np.int32)
     mask, kind = np.uint64((1 << SKETCH_BITS) - 1), pa.int64()
-    names = ["id", "n", "set", "text_key", "block", "cells", "counts"]
+    names = ["id", "n", "set", "text_key", *MARKS, "block", "cells", "counts"]
     for batch in batches:
         kind = batch.schema.field(0).type
         sets = shingle_sets(batch.column(1), k)
         for s in sets:
             np.add.at(counters, (s & mask).astype(np.int64), 1)
         m = len(sets)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), batch.column(2), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), batch.column(2), *[pa.array(x, pa.int64()) for x in (np.array([marks(s) for s in sets]).reshape(m, 4).T)], pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], names=names)
     blocks, cells, counts = [], [], []
     for b in range(1 << (SKETCH_BITS - BLOCK_BITS)):
         part = counters[b << BLOCK_BITS : (b + 1) << BLOCK_BITS]
@@ -88,7 +98,7 @@ def described(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
             counts.append(part[at].tobytes())
     m = len(blocks)
     if m:
-        yield pa.RecordBatch.from_arrays([pa.nulls(m, kind), *[pa.nulls(m, pa.int64())] * 3, pa.array(blocks, pa.int32()), pa.array(cells, pa.binary()), pa.array(counts, pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(m, kind), *[pa.nulls(m, pa.int64())] * (3 + len(MARKS)), pa.array(blocks, pa.int32()), pa.array(cells, pa.binary()), pa.array(counts, pa.binary())], names=names)
 
 
 @frugal
@@ -208,16 +218,21 @@ def each_part(rows: DataFrame) -> DataFrame:
     return rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
 
-def possible_pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+def possible_pairs(left: DataFrame, right: DataFrame, percent: int, marked: bool = False) -> DataFrame:
     """(a, b, common, least), a < b, from shingles that ``left`` holds and ``right``, a part of it, too.
 
     Classes are of different components; left rows that are in right have ``chosen`` set, so that a
     pair comes once a shingle. common: how many shingles the two share here that don't prove them apart.
+    marked: rows have MARKS, and pairs that these prove apart are dropped.
     """
     there = {"set": "b", "n": "m", "shared": "shared_b", "label": "label_b", "place": "place_b", "nth": "nth_b"}
-    r = each_part(right.select("token", "parts", *FIELDS)).select(F.col("token").alias("token_b"), F.col("part").alias("part_b"), *[F.col(k).alias(v) for k, v in there.items()])
+    there |= {m: f"{m}_b" for m in MARKS} if marked else {}
+    r = each_part(right.select("token", "parts", *there)).select(F.col("token").alias("token_b"), F.col("part").alias("part_b"), *[F.col(k).alias(v) for k, v in there.items()])
     most = F.least("nth", "nth_b") + F.least(F.col("n") - F.col("place"), F.col("m") - F.col("place_b"))
     near = most * (100 + percent) >= (F.col("n") + F.col("m")) * percent
+    if marked:
+        apart = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}_b"))) for m in MARKS), F.lit(0))
+        near = near & (apart * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent))
     once = (F.col("set") < F.col("b")) | (~F.col("chosen") & (F.col("set") != F.col("b")))
     both = left.join(r.hint("merge"), (F.col("token") == F.col("token_b")) & (F.col("part") == F.col("part_b")) & once & (F.col("label") != F.col("label_b")) & near)
     pairs = both.select(F.least("set", "b").alias("a"), F.greatest("set", "b").alias("b"), F.least("shared", "shared_b").alias("least"))
@@ -288,8 +303,12 @@ def class_components(docs: DataFrame, keys: DataFrame, sketch: np.ndarray, k: in
         rows, chosen = (held, few | (F.col("classes") <= SMALL)) if most == ROUNDS[0] else (frequent, few)
         if not rows.limit(1).count():
             break
-        pairs = possible_pairs(rows.withColumn("chosen", chosen), rows.filter(chosen), percent)
+        if not most:
+            rows = saved(rows.join(keys.select("set", *MARKS).dropDuplicates(["set"]), "set"))
+        pairs = possible_pairs(rows.withColumn("chosen", chosen), rows.filter(chosen), percent, marked=not most)
         pairs = saved(enough(pairs if most else topped(saved(pairs), rare)).join(tested, ["a", "b"], "left_anti"))
+        if not most:
+            dropped(rows)
         found = verify(pairs, docs, keys, k, percent)
         seen, known = saved(tested.union(pairs)), merged(labels, found)
         last, frequent = frequent, relabelled(frequent, known)
@@ -303,10 +322,10 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, d
     """(doc_id, n_shingles, component_id) for each row of docs: who reaches whom by links of Jaccard >= percent / 100."""
     python_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("id"), "text")
-    schema = f"id {docs.schema['id'].dataType.simpleString()}, n long, set long, text_key long, block int, cells binary, counts binary"
+    schema = f"id {docs.schema['id'].dataType.simpleString()}, n long, set long, text_key long, m0 long, m1 long, m2 long, m3 long, block int, cells binary, counts binary"
     seen = saved(docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(lambda b: described(b, k), schema))
     rows = seen.filter("block is null").select("id", "n", "set")
-    keys = seen.filter("block is null and n > 0").select("set", "text_key")
+    keys = seen.filter("block is null and n > 0").select("set", "text_key", *MARKS)
     labels = class_components(docs, keys, sketch_of(seen.filter("block is not null").select("block", "cells", "counts")), k, percent)
     labelled = saved(rows.join(labels.hint("merge"), "set", "left").withColumn("label", F.coalesce("label", "set")))
     dropped(seen, labels)
