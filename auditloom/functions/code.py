@@ -116,10 +116,12 @@ def rust_test_regions(source: pd.Series) -> pd.Series:
     """Line ranges of modules under #[cfg(test)], from the attribute to the brace that closes the module."""
 
     def regions(text: str | None) -> list[dict]:
-        lines, depths = (text or "").split("\n"), _depths(text or "")
+        if "#[cfg(test)]" not in (text or ""):
+            return []
+        lines, depths = text.split("\n"), _depths(text)
         out = []
         for k, line in enumerate(lines):
-            if _TEST_MODULE.match("\n".join(lines[k : k + 8])):
+            if "#[cfg(test)]" in line and _TEST_MODULE.match("\n".join(lines[k : k + 8])):
                 end = _closed(depths, k)
                 out.append({"start": k + 1, "end": (end if end is not None else len(lines) - 1) + 1})
         return out
@@ -158,13 +160,17 @@ def equivalent(a: pd.Series, b: pd.Series, language: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.StringType())
 def unified_diff(before: pd.Series, after: pd.Series, path: pd.Series) -> pd.Series:
+    """The diff of two texts, empty where they are equal."""
     out = []
     for x, y, p in zip(before, after, path, strict=True):
-        body = "".join(difflib.unified_diff((x or "").splitlines(True), (y or "").splitlines(True), f"a/{p}", f"b/{p}"))
+        body = "".join(difflib.unified_diff((x or "").splitlines(True), (y or "").splitlines(True), f"a/{p}", f"b/{p}")) if x != y else ""
         out.append(f"diff --git a/{p} b/{p}\n{body}" if body else "")
     return pd.Series(out)
 
 
+unified_diff = unified_diff.asNondeterministic()  # so that a filter on diffs isn't pushed below them, which would make every diff twice
+
+
 @F.pandas_udf(T.StringType())
 def unchanged_kept(original: pd.Series, changed: pd.Series) -> pd.Series:
     """The changed code with every line that the original has too, white space at its ends aside, as the original has it (C-46)."""

@@ -1,6 +1,6 @@
 """Test code that stands in source files, moved out of a patch (C-05, C-06, J-22).
 
-A patch is cut into its files; each meets the test regions of its file's source by (instance, path). A
+A patch is cut into its files in its own row, where each meets the test regions of its file's source. A
 hunk's lines in the old file are one run, so it is test code where that run lies in one of the regions, those
 that touch or overlap merged first. Both parts are put together again, and as each leaves hunks out, the
 places that its hunk headers give in the new file are counted anew.
@@ -64,30 +64,55 @@ def part(path: Column, section: Column, marked: Column, own: bool) -> Column:
     return F.when(F.size(kept) > 0, F.concat(header, F.lit("\n"), F.array_join(kept, "\n"), F.lit("\n")))
 
 
+def bound(value: Column, body) -> Column:
+    """body of a value that is worked out once, however often body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def parted(gold: Column, test: Column, known: Column, extension: str = ".rs") -> Column:
+    """(gold, test, n_moved) of one row's patches, as refined() gives them; known: (path, regions) of the files whose source is known, regions merged."""
+
+    def cut(section: Column, path: Column, regions: Column, found: Column) -> Column:
+        names = ("old", "n_old", "new", "n_new", "title", "body")
+        marked = F.transform(found, lambda h: F.struct(*[h[n].alias(n) for n in names], in_tests(h, regions).alias("test")))
+        whole = F.concat(F.regexp_replace(section, r"\n+$", ""), F.lit("\n"))
+
+        def halves(m: Column) -> Column:
+            apart = path.endswith(extension) & (F.size(m) > 0)
+            return F.struct(
+                F.when(apart, part(path, section, m, False)).otherwise(whole).alias("gold"), F.when(apart, part(path, section, m, True)).alias("test"),
+                F.when(apart, F.size(F.filter(m, lambda h: h["test"]))).otherwise(0).alias("n"),
+            )
+
+        return bound(marked, halves)
+
+    def of(section: Column, files: Column) -> Column:
+        regions = lambda path: F.get(F.filter(files, lambda k: k["path"] == path), F.lit(0))["regions"]
+        return bound(diff.path_of(section), lambda path: bound(F.struct(regions(path).alias("r"), hunks(section).alias("h")), lambda x: cut(section, path, x["r"], x["h"])))
+
+    def put(cuts: Column) -> Column:
+        joined = lambda name: F.array_join(F.filter(F.transform(cuts, lambda c: c[name]), lambda x: x.isNotNull()), "")
+        moved = F.aggregate(cuts, F.lit(0), lambda n, c: n + c["n"])
+        extra = F.concat(F.regexp_replace(blank(test), r"([^\n])$", "$1\n"), joined("test"))
+        return F.struct(F.when(F.size(cuts) == 0, gold).otherwise(F.nullif(joined("gold"), F.lit(""))).alias("gold"), F.when(moved > 0, extra).otherwise(test).alias("test"), moved.alias("n_moved"))
+
+    both = F.struct(diff.sections(gold).alias("s"), known.alias("k"))
+    return bound(bound(both, lambda x: F.transform(x["s"], lambda section: of(section, x["k"]))), put)
+
+
 def refined(patches: DataFrame, sources: DataFrame | None = None, extension: str = ".rs") -> DataFrame:
     """(instance_id, gold, test, n_moved) of patches (instance_id, gold, test): hunks of test code in files of the extension go from gold to test.
 
     sources: (instance_id, path, source) before the change; without a file's source its hunks are judged by what they say.
     Files of other extensions and files without hunks stay as they are. A gold patch that loses all is null; a
     null or blank gold patch stays. Rows of sources that repeat a path count with all their regions.
+    Each table is read once, and only regions meet the patches.
     """
-    files = patches.select("instance_id", F.posexplode(diff.sections(F.col("gold"))).alias("at", "section")).withColumn("path", diff.path_of(F.col("section")))
     if sources is None:
-        known = files.withColumn("regions", F.lit(None).cast("array<struct<start:int,end:int>>"))
+        rows = patches.withColumn("_known", F.lit(None).cast("array<struct<path:string,regions:array<struct<start:int,end:int>>>>"))
     else:
         found = sources.where(F.col("path").endswith(extension) & F.col("source").isNotNull()).select("instance_id", "path", code.rust_test_regions("source").alias("r"))
         found = found.groupBy("instance_id", "path").agg(F.flatten(F.collect_list("r")).alias("r"))
-        known = files.join(found, ["instance_id", "path"], "left").withColumn("regions", merged(F.col("r")))
-    marked = F.transform(hunks(F.col("section")), lambda h: F.struct(*[h[n].alias(n) for n in ("old", "n_old", "new", "n_new", "title", "body")], in_tests(h, F.col("regions")).alias("test")))
-    apart = F.col("path").endswith(extension) & (F.size("marked") > 0)
-    whole = F.concat(F.regexp_replace("section", r"\n+$", ""), F.lit("\n"))
-    cut = known.withColumn("marked", marked).select(
-        "instance_id", "at", F.when(apart, part(F.col("path"), F.col("section"), F.col("marked"), False)).otherwise(whole).alias("gold_part"),
-        F.when(apart, part(F.col("path"), F.col("section"), F.col("marked"), True)).alias("test_part"), F.when(apart, F.size(F.filter("marked", lambda h: h["test"]))).otherwise(0).alias("n"),
-    )
-    joined = lambda c: F.array_join(F.sort_array(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("at", c))))[c], "")
-    both = cut.groupBy("instance_id").agg(F.nullif(joined("gold_part"), F.lit("")).alias("_gold"), joined("test_part").alias("_test"), F.sum("n").alias("n_moved"))
-    rows = patches.select("instance_id", "gold", "test").join(both, "instance_id", "left")
-    extra = F.concat(F.regexp_replace(blank(F.col("test")), r"([^\n])$", "$1\n"), F.col("_test"))
-    moved = F.coalesce(F.col("n_moved"), F.lit(0)).cast("int")
-    return rows.select("instance_id", F.when(F.col("n_moved").isNull(), F.col("gold")).otherwise(F.col("_gold")).alias("gold"), F.when(moved > 0, extra).otherwise(F.col("test")).alias("test"), moved.alias("n_moved"))
+        found = found.groupBy("instance_id").agg(F.collect_list(F.struct("path", merged(F.col("r")).alias("regions"))).alias("_known"))
+        rows = patches.join(found, "instance_id", "left")
+    return rows.select("instance_id", parted(F.col("gold"), F.col("test"), F.col("_known"), extension).alias("_x")).select("instance_id", "_x.gold", "_x.test", "_x.n_moved")

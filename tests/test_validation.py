@@ -157,6 +157,22 @@ def test_refined_edges(spark):
     assert refined(spark, added).n_moved == 0  # a hunk without old lines stays
 
 
+def test_refined_of_several_files(spark):
+    one = "diff --git a/{0} b/{0}\n--- a/{0}\n+++ b/{0}\n@@ -10,1 +10,2 @@\n     use super::*;\n+    x\n"
+    rows = spark.createDataFrame([("i", one.format("a.rs") + one.format("b.rs") + one.format("c.py"), None), ("j", one.format("b.rs"), "t")], "instance_id string, gold string, test string")
+    sources = spark.createDataFrame([("i", "a.rs", SOURCE), ("i", "b.rs", "x\n" * 20), ("i", "c.py", SOURCE), ("k", "b.rs", SOURCE)], "instance_id string, path string, source string")
+    got = {r.instance_id: r for r in patches.refined(rows, sources).collect()}
+    assert (got["i"].gold, got["i"].test, got["i"].n_moved) == (one.format("b.rs") + one.format("c.py"), one.format("a.rs"), 1)
+    assert (got["j"].gold, got["j"].test, got["j"].n_moved) == (one.format("b.rs"), "t", 0)
+
+
+def test_moved_hunks_makes_each_diff_once(spark):
+    from auditloom import catalog
+
+    plan = catalog.QUERIES["moved_hunks"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("unified_diff(") == 1 and "Exchange" not in plan
+
+
 def test_regions_merge(spark):
     df = spark.createDataFrame([([(5, 9), (1, 4), (20, 30), (25, 27)],), ([],), (None,)], "r array<struct<start:int,end:int>>")
     assert [None if r.m is None else [tuple(x) for x in r.m] for r in df.select(patches.merged(F.col("r")).alias("m")).collect()] == [[(1, 9), (20, 30)], [], None]
