@@ -7,6 +7,7 @@ import difflib
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,9 +27,10 @@ def _depths(text: str) -> list[tuple[int, int]]:
     depth, out = 0, []
     for line in clean.split("\n"):
         most = depth
-        for sign in re.findall("[{}]", line):
-            depth += 1 if sign == "{" else -1
-            most = max(most, depth)
+        if "{" in line or "}" in line:
+            for sign in re.findall("[{}]", line):
+                depth += 1 if sign == "{" else -1
+                most = max(most, depth)
         out.append((most, depth))
     return out
 
@@ -78,12 +80,27 @@ _TESTS = {
 }
 
 
-def _tests(source: str | None, language: str | None) -> list[dict]:
+#: Rows whose tests are Python objects at once.
+_HELD = 32
+
+
+def _statements(tree: ast.AST) -> list[ast.AST]:
+    """All statements of a tree, with what holds statements; expressions are left out."""
+    out = [tree]
+    for node in out:  # grows meanwhile
+        for name in ("body", "orelse", "finalbody", "handlers", "cases"):
+            if isinstance(below := getattr(node, name, None), list):
+                out += below
+    return out
+
+
+def _spans(source: str | None, language: str | None) -> list[tuple[str, int, int]]:
+    """(name, first line, end) of each test, in order."""
     lines = (source or "").split("\n")
     spans: list[tuple[str, int, int]] = []
     if language == "python":
         try:
-            found = ast.walk(ast.parse(source or ""))
+            found = _statements(ast.parse(source or ""))
             spans = [(n.name, n.lineno - 1, n.end_lineno) for n in found if isinstance(n, ast.FunctionDef | ast.AsyncFunctionDef) and n.name.startswith("test_")]
         except (SyntaxError, ValueError):
             return []
@@ -97,18 +114,46 @@ def _tests(source: str | None, language: str | None) -> list[dict]:
                     end = _closed(depths, at[0])
                     done = len(lines) if end is None else end + 1
                     spans.append((at[1][1], k, done))
-    return [{"name": n, "source": "\n".join(lines[a:b]) + ("\n" if b < len(lines) else ""), "start_line": a, "end_line": b} for n, a, b in sorted(spans, key=lambda s: s[1:])]
-
-
-@F.pandas_udf(TEST)
-def tests_of(source: pd.Series, language: pd.Series) -> pd.Series:
+    return sorted(spans, key=lambda s: s[1:])
+
+
+def _listed(source: pa.Array, language: pa.Array, whole: bool) -> pa.Array:
+    """The tests of each row as one list array; few rows at a time are Python objects."""
+    done = []
+    for at in range(0, max(len(source), 1), _HELD):
+        ends, names, texts, starts, stops = [0], [], [], [], []
+        for text, kind in zip(source.slice(at, _HELD).to_pylist(), language.slice(at, _HELD).to_pylist(), strict=True):
+            lines = (text or "").split("\n") if whole else []
+            for name, a, b in _spans(text, kind):
+                names.append(name)
+                starts.append(a)
+                stops.append(b)
+                if whole:
+                    texts.append("\n".join(lines[a:b]) + ("\n" if b < len(lines) else ""))
+            ends.append(len(names))
+        columns = {"name": pa.array(names, pa.string())} | ({"source": pa.array(texts, pa.string())} if whole else {}) | {"start_line": pa.array(starts, pa.int32()), "end_line": pa.array(stops, pa.int32())}
+        done.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(list(columns.values()), list(columns))))
+    return pa.concat_arrays(done)
+
+
+@F.arrow_udf(TEST)
+def tests_of(source: pa.Array, language: pa.Array) -> pa.Array:
     """(name, source, start_line, end_line) of each test once, in order, lines from 0 and the end beyond the last (C-47).
 
     Python by syntax tree, none where it doesn't parse; Go by name; Rust and Java from the attribute or annotation on, up
     to three lines above the head. A test ends where its braces close, those in strings and comments aside; one that
     never closes takes the rest.
     """
-    return pd.Series([_tests(s, x) for s, x in zip(source, language, strict=True)])
+    return _listed(source, language, True)
+
+
+@F.arrow_udf(T.ArrayType(T.StructType([f for f in TEST.elementType.fields if f.name != "source"])))
+def test_spans(source: pa.Array, language: pa.Array) -> pa.Array:
+    """(name, start_line, end_line) of each test that tests_of() gives."""
+    return _listed(source, language, False)
+
+
+tests_of, test_spans = tests_of.asNondeterministic(), test_spans.asNondeterministic()  # so that a filter on tests isn't pushed below, which would look for them twice
 
 
 @F.pandas_udf(REGION)

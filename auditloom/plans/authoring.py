@@ -79,7 +79,7 @@ def extracted_tests(read):
     for language, form in _TESTS.items():
         part = turn_lines(read, {0: form}, 1).withColumn("language", F.lit(language))
         every = part if every is None else every.union(part)
-    found = every.withColumn("t", code.tests_of("source", "language")).where("size(t) > 0")
+    found = every.withColumn("t", code.test_spans("source", "language")).where("size(t) > 0")
     text = F.transform("t", lambda t: F.concat(t["name"], F.lit(":"), t["start_line"].cast("string"), F.lit("-"), t["end_line"].cast("string")))
     return found.select("language", "conv_id", "turn", F.size("t").alias("n"), F.md5(F.array_join(text, " ").cast("binary")).alias("digest"))
 

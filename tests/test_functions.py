@@ -101,3 +101,20 @@ def test_code(spark):
     r = two.select(code.rust_test_regions("r").alias("r"), code.equivalent("p", "q", F.lit("python")).alias("e"), code.parses("p").alias("ok"), code.unified_diff("t", "u", F.lit("f")).alias("d"), code.found_at("r", F.lit("mod tests {\n  fn t() { }")).alias("at")).first()
     assert [(x["start"], x["end"]) for x in r["r"]] == [(2, 5)] and r["e"] and r["ok"] and r["at"] == 3
     assert r["d"].startswith("diff --git a/f b/f\n--- a/f\n+++ b/f\n@@") and "-b\n+c\n" in r["d"]
+
+
+def test_spans_of_tests(spark):
+    source = "class T:\n    def test_a(self):\n        try:\n            pass\n        except E:\n            def test_b(): pass\n        else:\n            async def test_c():\n                pass\nfor x in y:\n    match x:\n        case 1:\n            def test_d(): pass\nwhile z: pass\nelse:\n    with q:\n        def test_e(): return lambda: 1\n"
+    rows = [(0, source, "python"), (1, None, "go"), (2, "def test_x(:", "python"), *((i, "#[test]\nfn a() {\n}\n", "rust") for i in range(3, 90))]
+    df = spark.createDataFrame(rows, "i int, s string, l string").coalesce(1)
+    got = {r.i: r for r in df.select("i", code.tests_of("s", "l").alias("t"), code.test_spans("s", "l").alias("p")).collect()}
+    assert [(t.name, t.start_line, t.end_line) for t in got[0].p] == [("test_a", 1, 9), ("test_b", 5, 6), ("test_c", 7, 9), ("test_d", 12, 13), ("test_e", 16, 17)]
+    assert got[0].t[1].source == "            def test_b(): pass\n" and got[1].p == got[2].p == got[1].t == []
+    assert all([tuple(t) for t in got[i].t] == [("a", "#[test]\nfn a() {\n}\n", 0, 3)] and [tuple(t) for t in got[i].p] == [("a", 0, 3)] for i in range(3, 90))
+
+
+def test_extracted_tests_looks_once_and_leaves_sources(spark):
+    from auditloom import catalog
+
+    plan = catalog.QUERIES["extracted_tests"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") <= 4 and "tests_of(" not in plan
