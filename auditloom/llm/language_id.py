@@ -13,9 +13,14 @@ the score is a softmax of the models' bits whose slope (and power of the length)
 them, and a text is rejected where its bits lie above the 0.999 quantile of the bits that rows of its
 language have under their own model.
 
-Arrays hold at most ``MOST`` strings an order; beyond, rare strings go by a cutoff of their count that
-doubles until the rest fits (their mass goes to the lower order). So what the driver gathers and broadcasts is
-bounded: 16 bytes a string or context, some 75 MB at the default with all orders full.
+Arrays hold at most ``MOST`` strings an order: those whose count over all languages reaches a
+bound that doubles until they fit, and contexts likewise, so that what is left is rare in any text. The
+others are the tail, a table in the shared folder with the values of rare strings and contexts. So what the
+driver gathers and broadcasts is bounded: 16 bytes a string or context, some 75 MB at the default with all
+orders full, and a Bloom filter of the tail of at most ``FILTER`` bits. A text's strings that arrays settle
+count in its task; the few whose value may stand in the tail are met with it by joins, each distinct string
+once. The filter only spares joins: a full one makes more strings meet the tail, and the bits are the same
+as if the arrays held all.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; so is every text where
 nothing can be learnt; a null lang, or a learn condition that is null, teaches nothing; rows that repeat
@@ -26,6 +31,7 @@ slices. An empty table gives no row.
 from __future__ import annotations
 
 import functools
+import itertools
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -33,7 +39,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditloom.llm.common import dropped, frugal, python_batches, saved
@@ -41,6 +47,9 @@ from auditloom.llm.common import dropped, frugal, python_batches, saved
 ORDER = 5
 MOST = 500_000
 CALIBRATION = 5000
+#: Bits of the filter of strings beyond the arrays, and its probes.
+FILTER = 1 << 27
+PROBES = 3
 UNKNOWN = "und"
 #: Characters of a slice, strings that a task gathers before it hands them on, cells of a worker's table of known strings.
 SLICE = 1 << 19
@@ -195,31 +204,93 @@ class Model:
     slope: float = 1.0
     power: float = 0.0
     limits: list[float] = field(default_factory=list)
+    #: Strings and contexts beyond the arrays: (code, hash, value), which codes have any, and the filter's bits.
+    tail: DataFrame | None = None
+    tail_codes: frozenset[int] = frozenset()
+    bitmap: np.ndarray | None = None
 
-    def bits(self, windows: np.ndarray) -> np.ndarray:
-        """Each language's bits for the last sign of each row of order signs after those before it."""
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"tail": None}  # tasks have no use for a frame
+
+    def lookups(self, windows: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(language, kind, size, hashes, values, whether the tail may hold the value) of all that the bits of rows of order signs need, orders ascending."""
         n, order = windows.shape
         ends = [hash_of(windows[:, order - k :]) for k in range(1, order + 1)]
         before = [hash_of(windows[:, order - 1 - k : order - 1]) for k in range(1, order)]
-        out = np.empty((n, len(self.langs)), np.float32)
         for j in range(len(self.langs)):
-            p = np.full(n, self.floor * self.rest[j]) + found(self.strings.get((j, 1)), ends[0], 0.0)
-            for k in range(2, order + 1):
-                p = found(self.strings.get((j, k)), ends[k - 1], 0.0) + found(self.contexts.get((j, k - 1)), before[k - 2], 1.0) * p
-            out[:, j] = -np.log2(p)
+            for kind, k, table, keys, default in [(0, 1, self.strings, ends[0], 0.0)] + [x for k in range(2, order + 1) for x in ((0, k, self.strings, ends[k - 1], 0.0), (1, k - 1, self.contexts, before[k - 2], 1.0))]:
+                values, hit = found(table.get((j, k)), keys, default)
+                code, maybe = j * 32 + kind * 16 + k, np.zeros(n, bool)
+                if code in self.tail_codes:
+                    at = np.flatnonzero(~hit)
+                    maybe[at[may_hold(self.bitmap, code, keys[at])]] = True
+                yield j, kind, k, keys, values, maybe
+
+    def bits(self, windows: np.ndarray, known: dict[int, tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
+        """Each language's bits for the last sign of each row of order signs after those before it.
+
+        A row of which the tail may hold a value is NaN, unless known gives what the tail holds: (rows, values) by code.
+        """
+        out, open_rows = np.empty((len(windows), len(self.langs)), np.float32), np.zeros(len(windows), bool)
+        p = held = None
+        for j, kind, k, _, values, maybe in self.lookups(windows):
+            if known is None:
+                open_rows |= maybe
+            elif (code := j * 32 + kind * 16 + k) in known:
+                values[known[code][0]] = known[code][1]
+            if kind == 0 and k == 1:
+                p = self.floor * self.rest[j] + values
+            elif kind == 0:
+                held = values
+            else:
+                p = held + values * p
+            if k == self.order - 1 and kind == 1 or self.order == 1:
+                out[:, j] = -np.log2(p)
+        out[open_rows] = np.nan
         return out
 
 
-def found(table: tuple[np.ndarray, np.ndarray] | None, keys: np.ndarray, default: float) -> np.ndarray:
-    """The values of keys in a table of sorted hashes, default where it lacks them."""
+def found(table: tuple[np.ndarray, np.ndarray] | None, keys: np.ndarray, default: float) -> tuple[np.ndarray, np.ndarray]:
+    """The values of keys in a table of sorted hashes, default where it lacks them, and whether it has them."""
     if table is None or not len(table[0]):
-        return np.full(len(keys), default)
+        return np.full(len(keys), default), np.zeros(len(keys), bool)
     at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
-    return np.where(table[0][at] == keys, table[1][at], default)
+    hit = table[0][at] == keys
+    return np.where(hit, table[1][at], default), hit
+
+
+def places(size: int, code: np.ndarray | int, keys: np.ndarray) -> Iterator[np.ndarray]:
+    """The bits of a filter of so many that stand for (code, hash)."""
+    h = mixed(keys ^ (np.uint64(0x9E3779B97F4A7C15) * (np.asarray(code, np.uint64) + np.uint64(1))))
+    step = mixed(h) | np.uint64(1)
+    for _ in range(PROBES):
+        yield h & np.uint64(size - 1)
+        h = h + step
+
+
+def may_hold(bitmap: np.ndarray, code: int, keys: np.ndarray) -> np.ndarray:
+    """The places of those keys that a filter may hold."""
+    at = np.arange(len(keys))
+    for i in range(PROBES):
+        bit = next(itertools.islice(places(64 * len(bitmap), code, keys[at]), i, None))
+        at = at[(bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1]
+    return at
+
+
+def marks(size: int):
+    """A function of batches (code, hash) to (word, mask): the bits of a filter of so many, by 64-bit words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            bit = np.concatenate(list(places(size, part.column("code").to_numpy().astype(np.uint64), part.column("hash").to_numpy().view(np.uint64))))
+            mask = np.uint64(1) << (bit & np.uint64(63))
+            yield pa.RecordBatch.from_arrays([pa.array((bit >> np.uint64(6)).astype(np.int64)), pa.array(mask.view(np.int64))], ["word", "mask"])
+
+    return run
 
 
 def measured(model):
-    """A function of batches (doc_id, text) to (doc_id, letters, n, bits): each language's mean bits a character."""
+    """A function of batches (doc_id, text) to (doc_id, letters, n, bits, open): each language's sum of bits, and the strings left to the tail with their numbers."""
 
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +299,7 @@ def measured(model):
         keys, values = np.zeros(cells, np.uint64), np.zeros((cells, len(known.langs)), np.float32)
         for part in batches:
             texts, letters = zip(*[normal(t or "") for t in part.column("text").to_pylist()], strict=True) if part.num_rows else ((), ())
-            sums = np.zeros((part.num_rows, len(known.langs)))
+            sums, opened = np.zeros((part.num_rows, len(known.langs))), [{} for _ in range(part.num_rows)]
             for signs, own, owner in pieces(list(texts), known.order):
                 view, rows = windows_of(signs, own, known.order)
                 h = hash_of(view)[rows]
@@ -242,11 +313,49 @@ def measured(model):
                     place = (fresh & np.uint64(cells - 1)).astype(np.int64)
                     _, one = np.unique(place, return_index=True)
                     keys[place[one]], values[place[one]] = fresh[one], got[one]
+                left = np.flatnonzero(np.isnan(bits[:, 0]))
+                if len(left):
+                    bits[left] = 0
+                    for mine, gram in zip(owner[left].tolist(), np.ascontiguousarray(view[rows[left]]).view(f"<U{known.order}").ravel().tolist(), strict=True):
+                        opened[mine][gram] = opened[mine].get(gram, 0) + 1
                 begin = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
                 sums[owner[begin]] += np.add.reduceat(bits, begin, axis=0, dtype=np.float64)
             n = np.array([len(t) for t in texts], np.int64)
-            mean = sums / np.maximum(n, 1)[:, None]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(letters, pa.bool_()), pa.array(n), pa.array(list(mean), pa.list_(pa.float64()))], ["doc_id", "letters", "n", "bits"])
+            grams = pa.array([list(x.items()) for x in opened], pa.map_(pa.string(), pa.int64()))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(letters, pa.bool_()), pa.array(n), pa.array(list(sums), pa.list_(pa.float64())), grams], ["doc_id", "letters", "n", "bits", "open"])
+
+    return run
+
+
+def signs_of(grams: list[str], order: int) -> np.ndarray:
+    return np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(len(grams), order)
+
+
+def sought(model):
+    """A function of batches (gram) to (gram, code, hash): what the tail may hold of each string's bits."""
+
+    @frugal
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            for j, kind, k, keys, _, maybe in model.value.lookups(signs_of(part.column("gram").to_pylist(), model.value.order)):
+                if len(at := np.flatnonzero(maybe)):
+                    yield pa.RecordBatch.from_arrays([part.column("gram").take(pa.array(at)), pa.array(np.full(len(at), j * 32 + kind * 16 + k, np.int32)), pa.array(keys[at].view(np.int64))], ["gram", "code", "hash"])
+
+    return run
+
+
+def settled(model):
+    """A function of batches (gram, codes, values) to (gram, bits): the bits of strings, given what the tail holds of them."""
+
+    @frugal
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            sizes = np.array([len(x or ()) for x in part.column("codes").to_pylist()], np.int64)
+            rows = np.repeat(np.arange(part.num_rows), sizes)
+            codes, values = (np.array([y for x in part.column(c).to_pylist() for y in x or ()], t) for c, t in (("codes", np.int64), ("values", np.float32)))
+            known = {int(c): (rows[codes == c], values[codes == c]) for c in np.unique(codes)}
+            bits = model.value.bits(signs_of(part.column("gram").to_pylist(), model.value.order), known)
+            yield pa.RecordBatch.from_arrays([part.column("gram"), pa.array(list(bits), pa.list_(pa.float32()))], ["gram", "bits"])
 
     return run
 
@@ -265,24 +374,29 @@ def learned(counts: DataFrame, order: int = ORDER, most: int = MOST) -> Model:
     langs = sorted(r[0] for r in counts.select("lang").distinct().collect())  # the languages themselves
     number = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int") - 1
     code = lambda kind, size: (number * 32 + kind * 16 + size).alias("code")
-    tables = []
+    tables, signs, whole = [], 0, True
     for k, rows in orders(counts, order):
         one, two = F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)
         discount = F.when(one * two > 0, one / (one + 2 * two)).otherwise(F.lit(0.5))
         discounts = rows.groupBy("lang").agg(F.greatest(F.lit(0.05), F.least(F.lit(0.95), discount)).alias("d"))
-        fits = rows.agg(*[F.count_if(F.col("c") >= 2**j).alias(f"c{j}") for j in range(40)]).first()
-        cutoff = next((2**j for j in range(40) if (fits[j] or 0) <= most), 2**40)
         totals = rows.groupBy("lang", F.substring("gram", 1, k - 1).alias("context")).agg(F.sum("c").alias("total"))
-        part = rows.where(F.col("c") >= cutoff).withColumn("context", F.substring("gram", 1, k - 1)).join(totals, ["lang", "context"]).join(discounts, "lang")
-        part = saved(part.select("lang", "context", "gram", ((F.col("c") - F.col("d")) / F.col("total")).cast("float").alias("value")))
-        tables.append(part.select(code(0, k), "gram", "value"))
-        tables.append(part.groupBy("lang", F.col("context").alias("gram")).agg((1 - F.sum("value")).cast("float").alias("value")).select(code(1, k - 1), "gram", "value"))
+        part = rows.withColumn("w", F.sum("c").over(Window.partitionBy("gram"))).withColumn("context", F.substring("gram", 1, k - 1)).join(totals, ["lang", "context"]).join(discounts, "lang")
+        part = saved(part.select("lang", "context", "gram", ((F.col("c") - F.col("d")) / F.col("total")).cast("float").alias("value"), F.col("c"), "w"))
+        weights = part.groupBy("lang", F.col("context").alias("gram")).agg((1 - F.sum("value")).cast("float").alias("value"), F.sum("c").alias("total"))
+        weights = saved(weights.withColumn("w", F.sum("total").over(Window.partitionBy("gram"))))
+        for kind, size, found_rows in ((0, k, part), (1, k - 1, weights)):
+            fits = found_rows.agg(*[F.count_if(F.col("w") >= 2**j).alias(f"c{j}") for j in range(40)]).first()
+            cutoff = next((2**j for j in range(40) if (fits[j] or 0) <= most), 2**40)
+            near = F.lit(True) if (kind, size) == (1, 0) else F.col("w") >= cutoff  # the context of no signs is always at hand
+            whole = whole and (cutoff == 1 or (kind, size) == (1, 0))
+            tables.append(found_rows.select(code(kind, size), "gram", "value", near.alias("near")))
+        signs = rows.select("gram").distinct().count() if k == 1 else 0
     every = tables[0]
     for t in tables[1:]:
         every = every.union(t)
-    rows = every.mapInArrow(_keyed, "code int, hash long, value float").toArrow()
+    keyed = every.where("near").select("code", "gram", "value").mapInArrow(_keyed, "code int, hash long, value float")
+    rows = keyed.toArrow()
     codes, keys, values = rows.column("code").to_numpy(), rows.column("hash").to_numpy().view(np.uint64), rows.column("value").to_numpy()
-    context, sizes = codes // 16 % 2 == 1, codes % 16
     held: tuple[dict, dict] = ({}, {})
     for j in range(len(langs)):
         for kind in (0, 1):
@@ -291,15 +405,37 @@ def learned(counts: DataFrame, order: int = ORDER, most: int = MOST) -> Model:
                 if len(at):
                     at = at[np.argsort(keys[at])]
                     held[kind][j, k] = keys[at], values[at]
-    signs = len(np.unique(keys[(sizes == 1) & ~context]))
-    return Model(langs, order, 1 / (signs + 1), held[0], held[1], [float(held[1].pop((j, 0), (None, [1.0]))[1][0]) for j in range(len(langs))])
+    model = Model(langs, order, 1 / (signs + 1), held[0], held[1], [float(held[1].pop((j, 0), (None, [1.0]))[1][0]) for j in range(len(langs))])
+    if not whole:
+        model.tail = saved(every.where("not near").select("code", "gram", "value").mapInArrow(_keyed, "code int, hash long, value float"))
+        model.tail_codes = frozenset(r[0] for r in model.tail.select("code").distinct().collect())  # two a language and order
+        size = 1 << min(FILTER.bit_length() - 1, max(6, (256 * model.tail.count()).bit_length()))
+        found_bits = model.tail.select("code", "hash").mapInArrow(marks(size), "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+        model.bitmap = np.zeros(size // 64, np.uint64)
+        model.bitmap[found_bits.column("word").to_numpy()] = found_bits.column("mask").to_numpy().view(np.uint64)
+    return model
 
 
-def bits_of(docs: DataFrame, model) -> DataFrame:
-    """(doc_id, letters, n, bits) of docs by a broadcast model."""
+def bits_of(docs: DataFrame, model, tail: DataFrame | None = None) -> DataFrame:
+    """(doc_id, letters, n, bits) of docs by a broadcast model, and its tail where it has one: each language's mean bits a character."""
     python_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(measured(model), f"doc_id {kind}, letters boolean, n long, bits array<double>")
+    rows = docs.select("doc_id", "text").mapInArrow(measured(model), f"doc_id {kind}, letters boolean, n long, bits array<double>, open map<string,long>")
+    mean = lambda sums: F.transform(sums, lambda x: x / F.greatest("n", F.lit(1)))
+    if tail is None:
+        return rows.select("doc_id", "letters", "n", mean("bits").alias("bits"))
+    rows = saved(rows.withColumn("row", F.monotonically_increasing_id()))
+    opened = rows.select("row", F.explode("open").alias("gram", "times"))
+    grams = saved(opened.select("gram").distinct())
+    held = grams.mapInArrow(sought(model), "gram string, code int, hash long").join(tail, ["code", "hash"])
+    held = held.groupBy("gram").agg(F.collect_list(F.struct("code", "value")).alias("x")).select("gram", F.col("x.code").alias("codes"), F.col("x.value").alias("values"))
+    bits = grams.join(held, "gram", "left").select("gram", "codes", "values").mapInArrow(settled(model), "gram string, bits array<float>")
+    # Sums of whole numbers, so that they come out the same in whatever order rows arrive.
+    parts = opened.join(bits, "gram").select("row", F.posexplode("bits").alias("lang", "b"), "times")
+    sums = parts.groupBy("row", "lang").agg((F.sum(F.round(F.col("b").cast("double") * 2**32).cast("long") * F.col("times")) / 2**32).alias("more"))
+    sums = sums.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("lang", "more")))["more"].alias("more"))
+    both = rows.join(sums, "row", "left").withColumn("bits", F.when(F.col("more").isNull(), F.col("bits")).otherwise(F.zip_with("bits", "more", lambda a, b: a + b)))
+    return both.select("doc_id", "letters", "n", mean("bits").alias("bits"))
 
 
 def confidence(bits: np.ndarray, n: np.ndarray, slope: float, power: float) -> np.ndarray:
@@ -339,7 +475,7 @@ def fit(docs: DataFrame, learn: Column, order: int = ORDER, most: int = MOST, ca
     model = learned(counts, order, most)
     test = rows.join(F.broadcast(apart), "doc_id", "left_semi").withColumnRenamed("doc_id", "_id").withColumn("doc_id", F.struct("_id", "lang")).select("doc_id", "text")
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    got = bits_of(test, sent).where("letters").select("doc_id.lang", "n", "bits").collect()
+    got = bits_of(test, sent, model.tail).where("letters").select("doc_id.lang", "n", "bits").collect()
     calibrate(model, [r[0] for r in got], np.array([r[2] for r in got], float).reshape(len(got), len(model.langs)), np.array([r[1] for r in got], np.int64))
     dropped(apart, counts)
     return model
@@ -350,7 +486,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     none = F.lit(None).cast("double")
     if model is None:
         return docs.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), none.alias("bits"), F.lit(True).alias("rejected"))
-    rows = bits_of(docs, docs.sparkSession.sparkContext.broadcast(model))
+    rows = bits_of(docs, docs.sparkSession.sparkContext.broadcast(model), model.tail)
     best = F.array_min("bits")
     scale = F.lit(float(model.slope)) * F.pow(F.greatest("n", F.lit(1)).cast("double"), F.lit(float(model.power)))
     share = 1 / F.aggregate("bits", F.lit(0.0), lambda s, x: s + F.exp(-F.least(F.lit(700.0), (x - best) * scale)))

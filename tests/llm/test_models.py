@@ -235,6 +235,25 @@ def test_language_edges(spark):
     assert language_id.identify(long, language_id.fit(docs, F.lit(True))).first().lang_pred == "en"
 
 
+@pytest.mark.parametrize(("most", "full"), [(40, False), (3, False), (40, True)])
+def test_language_strings_beyond_the_arrays_count(spark, monkeypatch, most, full):
+    if full:  # a filter of 64 bits that all strings pass
+        monkeypatch.setattr(language_id, "FILTER", 64)
+    rows = [(i, text, lang) for i, (lang, text) in enumerate((lang, t) for lang, ts in TAUGHT.items() for t in ts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts = ["the dieser", "zzz", "thé Straße a 𝒜", "x" * 50, "the dieser", None, *(t for ts in TAUGHT.values() for t in ts)]
+    asked = spark.createDataFrame([(None if i == 4 else i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    model = language_id.fit(docs, F.lit(True), order=4, most=most, calibration=0)
+    assert model.tail is not None and all(sum(len(v[0]) for (_, k), v in model.strings.items() if k == size) <= most for size in range(1, 5))
+    got = language_id.bits_of(asked, spark.sparkContext.broadcast(model), model.tail).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        text = texts[4 if r.doc_id is None else r.doc_id]
+        if text:
+            want = plain_bits(TAUGHT, text, 4)
+            assert r.bits == pytest.approx([want[x] for x in model.langs], rel=1e-4)
+
+
 def test_language_cutoff(spark):
     """Where strings don't fit, rare ones go and their mass goes to the lower order: the model stays a distribution."""
     docs = spark.createDataFrame([(i, " ".join(random.Random(i).choices(["eins", "zwei", "drei", "vier", "baum"], k=30)), "de") for i in range(20)], "doc_id long, text string, lang string")
