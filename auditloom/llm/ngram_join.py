@@ -15,6 +15,8 @@ round's shingles leave short of its number waits for the last one, which counts
 together after the first rounds, and no link between classes of different components is lost.
 
 Shingles that more than ``HOT`` documents may hold are dealt in parts, and their partners to each part.
+What classes hold lies in tables bucketed by shingle and part, so that rounds join and count it where it lies.
+The sketch's counters go to the driver by way of compressed planes of bytes.
 A pair is dropped before its texts are moved if the places of a shared shingle prove it too far apart:
 what both hold before it is at most what either's prefix shares with anyone, and what they hold after
 it at most what either has left. In the last round over frequent shingles it is dropped, too, if the sets'
@@ -29,15 +31,15 @@ row; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import FEW_KEYS, components, dropped, frugal, narrowed, python_batches, saved, shuffle_parts, widened, without_rows
+from auditloom.llm.common import FEW_KEYS, bucketed, components, dropped, frugal, narrowed, python_batches, saved, shuffle_parts, widened, without_rows
 from auditloom.llm.shingles import mixed, shingle_sets
 
 SHINGLE = 5
@@ -57,6 +59,8 @@ CHUNK = 64
 HOT = 1 << 16
 #: Words of 64 bits of a set's marks.
 MARKS = ("m0", "m1", "m2", "m3")
+#: How tables of shingles are bucketed.
+BUCKETS = ["token", "part"]
 #: What a class brings to a pair.
 FIELDS = ("set", "n", "shared", "label", "place", "nth")
 
@@ -75,30 +79,37 @@ def marks(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def packed(counters: np.ndarray) -> bytes:
+    """32-bit counters, small for the most part, as compressed planes of their bytes."""
+    return zstandard.ZstdCompressor(level=1).compress(counters.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpacked(planes: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(planes), np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel()
+
+
 @frugal
 def described(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """(id, n, set, text_key, MARKS): each document's set size, key and marks, of rows (id, text, text_key); and (block, cells, counts) of the partition's sketch."""
+    """(id, n, set, text_key, MARKS): each document's set size, key and marks, of rows (id, text, text_key); and (block, counts) of the partition's sketch."""
     counters = np.zeros(1 << SKETCH_BITS, np.int32)
     mask, kind = np.uint64((1 << SKETCH_BITS) - 1), pa.int64()
-    names = ["id", "n", "set", "text_key", *MARKS, "block", "cells", "counts"]
+    names = ["id", "n", "set", "text_key", *MARKS, "block", "counts"]
     for batch in batches:
         kind = batch.schema.field(0).type
         sets = shingle_sets(batch.column(1), k)
         for s in sets:
             np.add.at(counters, (s & mask).astype(np.int64), 1)
         m = len(sets)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), batch.column(2), *[pa.array(x, pa.int64()) for x in (np.array([marks(s) for s in sets]).reshape(m, 4).T)], pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], names=names)
-    blocks, cells, counts = [], [], []
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), batch.column(2), *[pa.array(x, pa.int64()) for x in (np.array([marks(s) for s in sets]).reshape(m, 4).T)], pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
+    blocks, counts = [], []
     for b in range(1 << (SKETCH_BITS - BLOCK_BITS)):
         part = counters[b << BLOCK_BITS : (b + 1) << BLOCK_BITS]
-        at = np.flatnonzero(part)
-        if len(at):
+        if part.any():
             blocks.append(b)
-            cells.append(at.astype(np.uint16).tobytes())
-            counts.append(part[at].tobytes())
+            counts.append(packed(part))
     m = len(blocks)
     if m:
-        yield pa.RecordBatch.from_arrays([pa.nulls(m, kind), *[pa.nulls(m, pa.int64())] * (3 + len(MARKS)), pa.array(blocks, pa.int32()), pa.array(cells, pa.binary()), pa.array(counts, pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(m, kind), *[pa.nulls(m, pa.int64())] * (3 + len(MARKS)), pa.array(blocks, pa.int32()), pa.array(counts, pa.binary())], names=names)
 
 
 @frugal
@@ -106,10 +117,10 @@ def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row a block: the sums of its counters."""
     total: dict[int, np.ndarray] = {}
     for batch in batches:
-        for b, cells, counts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+        for b, counts in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
             own = total.setdefault(b, np.zeros(1 << BLOCK_BITS, np.int64))
-            own[np.frombuffer(cells, np.uint16)] += np.frombuffer(counts, np.int32)
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([np.minimum(v, (1 << 31) - 1).astype(np.int32).tobytes() for v in total.values()], pa.binary())], names=["block", "counts"])
+            own += unpacked(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([packed(np.minimum(v, (1 << 31) - 1).astype(np.int32)) for v in total.values()], pa.binary())], names=["block", "counts"])
 
 
 def sketch_of(blocks: DataFrame) -> np.ndarray:
@@ -117,7 +128,7 @@ def sketch_of(blocks: DataFrame) -> np.ndarray:
     rows = blocks.repartition(min(16, shuffle_parts(blocks.sparkSession)), "block").mapInArrow(summed, "block int, counts binary").collect()
     out = np.zeros(1 << SKETCH_BITS, np.int32)
     for r in rows:
-        out[r["block"] << BLOCK_BITS : (r["block"] + 1) << BLOCK_BITS] = np.frombuffer(r["counts"], np.int32)
+        out[r["block"] << BLOCK_BITS : (r["block"] + 1) << BLOCK_BITS] = unpacked(r["counts"])
     return out
 
 
@@ -218,16 +229,11 @@ def each_part(rows: DataFrame) -> DataFrame:
     return rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
 
-def possible_pairs(left: DataFrame, right: DataFrame, percent: int, marked: bool = False) -> DataFrame:
-    """(a, b, common, least), a < b, from shingles that ``left`` holds and ``right``, a part of it, too.
-
-    Classes are of different components; left rows that are in right have ``chosen`` set, so that a
-    pair comes once a shingle. common: how many shingles the two share here that don't prove them apart.
-    marked: rows have MARKS, and pairs that these prove apart are dropped.
-    """
+def meetings(left: DataFrame, right: DataFrame, percent: int, marked: bool) -> DataFrame:
+    """(a, b, least) for each shingle and part in which a class of left meets one of right, unless it proves them apart."""
     there = {"set": "b", "n": "m", "shared": "shared_b", "label": "label_b", "place": "place_b", "nth": "nth_b"}
     there |= {m: f"{m}_b" for m in MARKS} if marked else {}
-    r = each_part(right.select("token", "parts", *there)).select(F.col("token").alias("token_b"), F.col("part").alias("part_b"), *[F.col(k).alias(v) for k, v in there.items()])
+    r = right.select(F.col("token").alias("token_b"), F.col("part").alias("part_b"), *[F.col(k).alias(v) for k, v in there.items()])
     most = F.least("nth", "nth_b") + F.least(F.col("n") - F.col("place"), F.col("m") - F.col("place_b"))
     near = most * (100 + percent) >= (F.col("n") + F.col("m")) * percent
     if marked:
@@ -235,8 +241,28 @@ def possible_pairs(left: DataFrame, right: DataFrame, percent: int, marked: bool
         near = near & (apart * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent))
     once = (F.col("set") < F.col("b")) | (~F.col("chosen") & (F.col("set") != F.col("b")))
     both = left.join(r.hint("merge"), (F.col("token") == F.col("token_b")) & (F.col("part") == F.col("part_b")) & once & (F.col("label") != F.col("label_b")) & near)
-    pairs = both.select(F.least("set", "b").alias("a"), F.greatest("set", "b").alias("b"), F.least("shared", "shared_b").alias("least"))
-    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"), F.first("least").alias("least"))
+    return both.select(F.least("set", "b").alias("a"), F.greatest("set", "b").alias("b"), F.least("shared", "shared_b").alias("least"))
+
+
+def possible_pairs(held: DataFrame, chosen: Column, partners: Callable[[DataFrame, list[str]], DataFrame], percent: int, marked: bool = False) -> DataFrame:
+    """(a, b, common, least), a < b, from shingles that held's classes have and ``partners``, some of them, too.
+
+    Classes are of different components; chosen marks the rows of held that are partners, so that a pair
+    comes once a shingle. common: how many shingles the two share here that don't prove them apart.
+    partners: gets rows and the columns that name a shingle in them. marked: rows have MARKS, and pairs
+    that these prove apart are dropped. Shingles of one part meet where held lies.
+    """
+    rows = held.withColumn("chosen", chosen)
+    cold, hot = held.filter("parts = 1"), held.filter("parts > 1")
+    met = meetings(rows.filter("parts = 1"), partners(cold, ["token", "part"]), percent, marked)
+    met = met.union(meetings(rows.filter("parts > 1"), each_part(partners(hot, ["token", "parts"]).drop("part")), percent, marked))
+    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"), F.first("least").alias("least"))
+
+
+def central(rows: DataFrame, shingle: list[str]) -> DataFrame:
+    """Of each shingle's classes the one whose prefix most others hold."""
+    one = rows.groupBy(*shingle).agg(F.max_by(F.struct(*FIELDS), F.struct("weight", F.xxhash64("set"))).alias("one"))
+    return one.select(*shingle, "one.*")
 
 
 def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -253,9 +279,15 @@ def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 def relabelled(held: DataFrame, labels: DataFrame) -> DataFrame:
     """held with labels, without the shingles whose classes are all in one component."""
-    fresh = saved(held.drop("label", "classes").join(labels.hint("merge"), "set", "left").withColumn("label", F.coalesce("label", "set")))
-    split = fresh.groupBy("token", "parts").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("classes")).filter("lo <> hi")
-    out = saved(fresh.drop("parts").join(each_part(split).drop("lo", "hi").hint("merge"), ["token", "part"]))
+    few = labels.count() <= FEW_KEYS
+    named = held.drop("label", "classes").join(F.broadcast(labels) if few else labels.hint("merge"), "set", "left").withColumn("label", F.coalesce("label", "set"))
+    fresh = bucketed(named, *BUCKETS, dealt=few)
+    cold, hot = fresh.filter("parts = 1"), fresh.filter("parts > 1")
+    whole = Window.partitionBy(*BUCKETS)
+    split = cold.select("*", F.min("label").over(whole).alias("lo"), F.max("label").over(whole).alias("hi"), F.count(F.lit(1)).over(whole).alias("classes")).filter("lo <> hi").drop("lo", "hi")
+    parted = hot.groupBy("token", "parts").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("classes")).filter("lo <> hi")
+    parted = hot.drop("parts").join(each_part(parted).drop("lo", "hi").hint("merge"), BUCKETS)
+    out = bucketed(split.unionByName(parted), *BUCKETS, dealt=True)
     dropped(fresh)
     return out
 
@@ -274,7 +306,7 @@ def shared_shingles(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -
     both = cold.unionByName(hot.drop("parts").join(each_part(sums), ["token", "part"]))
     nth = F.row_number().over(Window.partitionBy("set").orderBy("place")).cast("long")
     weight = F.sum("classes").over(Window.partitionBy("set"))
-    held = saved(both.withColumn("nth", nth).withColumn("weight", weight).withColumn("label", F.col("set")))
+    held = bucketed(both.withColumn("nth", nth).withColumn("weight", weight).withColumn("label", F.col("set")), *BUCKETS)
     dropped(counted)
     return held
 
@@ -291,8 +323,7 @@ def class_components(docs: DataFrame, keys: DataFrame, sketch: np.ndarray, k: in
     held = shared_shingles(docs, sketch, k, percent)
     enough = lambda pairs: pairs.filter("common >= least").select("a", "b")
 
-    central = held.groupBy("token", "parts").agg(F.max_by(F.struct(*FIELDS), F.struct("weight", F.xxhash64("set"))).alias("one")).select("token", "parts", "one.*")
-    tested = saved(enough(possible_pairs(held.withColumn("chosen", F.lit(False)), central, percent)))
+    tested = saved(enough(possible_pairs(held, F.lit(False), central, percent)))
     found = verify(tested, docs, keys, k, percent)
     labels = merged(None, found)
     last, held = held, relabelled(held, labels)
@@ -304,8 +335,8 @@ def class_components(docs: DataFrame, keys: DataFrame, sketch: np.ndarray, k: in
         if not rows.limit(1).count():
             break
         if not most:
-            rows = saved(rows.join(keys.select("set", *MARKS).dropDuplicates(["set"]), "set"))
-        pairs = possible_pairs(rows.withColumn("chosen", chosen), rows.filter(chosen), percent, marked=not most)
+            rows = bucketed(rows.join(keys.select("set", *MARKS).dropDuplicates(["set"]), "set"), *BUCKETS)
+        pairs = possible_pairs(rows, chosen, lambda r, _, chosen=chosen: r.filter(chosen), percent, marked=not most)
         pairs = saved(enough(pairs if most else topped(saved(pairs), rare)).join(tested, ["a", "b"], "left_anti"))
         if not most:
             dropped(rows)
@@ -322,11 +353,11 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, d
     """(doc_id, n_shingles, component_id) for each row of docs: who reaches whom by links of Jaccard >= percent / 100."""
     python_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("id"), "text")
-    schema = f"id {docs.schema['id'].dataType.simpleString()}, n long, set long, text_key long, m0 long, m1 long, m2 long, m3 long, block int, cells binary, counts binary"
+    schema = f"id {docs.schema['id'].dataType.simpleString()}, n long, set long, text_key long, m0 long, m1 long, m2 long, m3 long, block int, counts binary"
     seen = saved(docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(lambda b: described(b, k), schema))
     rows = seen.filter("block is null").select("id", "n", "set")
     keys = seen.filter("block is null and n > 0").select("set", "text_key", *MARKS)
-    labels = class_components(docs, keys, sketch_of(seen.filter("block is not null").select("block", "cells", "counts")), k, percent)
+    labels = class_components(docs, keys, sketch_of(seen.filter("block is not null").select("block", "counts")), k, percent)
     labelled = saved(rows.join(labels.hint("merge"), "set", "left").withColumn("label", F.coalesce("label", "set")))
     dropped(seen, labels)
     least = labelled.filter("n > 0").groupBy("label").agg(F.min("id").alias("least"))

@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +57,37 @@ def test_join_with_frequent_shingles(spark, monkeypatch):
     assert check_join(spark, [(i, t, "s") for i, t in enumerate(texts)], 3, 90)
 
 
+def test_join_with_shingles_in_parts(spark, monkeypatch):
+    """Shingles that the sketch calls hot are dealt in parts, beside others that are not."""
+    hot = np.where(np.arange(1 << 10) % 5 < 2, 200_000, 0).astype(np.int32)
+    monkeypatch.setattr(ngram_join, "sketch_of", lambda blocks: hot)
+    monkeypatch.setattr(ngram_join, "SMALL", 3)
+    monkeypatch.setattr(ngram_join, "ROUNDS", (1,))
+    texts = family(1, 30, 60, 7) + family(9, 20, 40, 5)
+    assert check_join(spark, [(i, t, "s") for i, t in enumerate(texts)], 3, 90)
+
+
+def test_sketch_takes_less_than_a_byte_a_shingle():
+    rng = np.random.default_rng(2)
+    texts = [" ".join(map(str, rng.integers(0, 10**9, 40_000))) for _ in range(30)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30)), pa.array(texts), pa.array(range(30))], names=["id", "text", "text_key"])
+    found = pa.Table.from_batches(ngram_join.described(iter([batch]), 3))
+    total = sum(n for n in found["n"].to_pylist() if n)
+    binary = [f.name for f in found.schema if pa.types.is_binary(f.type)]
+    assert sum(len(v) for c in binary for v in found[c].to_pylist() if v) < total
+    blocks = found.filter(pa.compute.is_valid(found["block"])).select(["block", *binary])
+    summed = pa.Table.from_batches(ngram_join.summed(iter(blocks.to_batches() * 2)))
+    assert sum(int(ngram_join.unpacked(v).sum()) for v in summed["counts"].to_pylist()) == 2 * total
+
+
+def test_shingles_meet_where_they_lie(spark):
+    """Only partners of shingles in parts move; before, all that classes hold did, three times a round."""
+    docs = frame(spark, [(i, t, "s") for i, t in enumerate(family(1, 20, 40, 2))]).select("text")
+    pairs = ngram_join.possible_pairs(ngram_join.shared_shingles(docs, np.zeros(16, np.int32), 3, 90), F.lit(False), ngram_join.central, 90)
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(token") <= 2
+    assert pairs.count()
+
+
 def test_join_edges(spark):
     rows = ngram_join.near_duplicates(frame(spark, edge_rows()), 3, 90).collect()
     assert len(rows) == len(edge_rows())
